@@ -25,6 +25,10 @@ from rowloom.session import written
 MAX_SERIES_ROWS = 1_000_000
 # Rows of one segment when a series is cut.
 SEGMENT_ROWS = 250_000
+# Rows with one and the same key that a single task may get, at least; and as a share of the table.
+MAX_TIED_ROWS = 1_000_000
+_TIED_SHARE = 0.0005
+_SKETCH_ITEMS = 20_000
 
 _PLACE = "__place"
 _PLACE_BITS = 33  # monotonically_increasing_id: partition above, row number in the low 33 bits
@@ -61,8 +65,34 @@ def ascending(keys: Sequence[Column]) -> list[Column]:
 def dense_index(
     df: DataFrame, keys: Sequence[Column], name: str = "row_index", partitions: int | None = None
 ) -> DataFrame:
-    """``df`` with a gap-free 0-based row number in the order of ``keys``."""
+    """``df`` with a gap-free 0-based row number in the order of ``keys``.
+
+    Rows with equal keys fall into one range.  Where such a tie is heavier than a
+    task should bear, the rows are written first with a fixed id, which then
+    continues the key and lets the tie be divided.
+    """
     order = ascending(keys)
+    if heavy_tie(df, keys):
+        named = {f"__order{i}": k for i, k in enumerate(keys)}
+        df = written(df.withColumns(named).withColumn("__row_id", F.monotonically_increasing_id()), "tied-rows")
+        order = [*ascending([F.col(n) for n in named]), F.col("__row_id").asc()]
+        return _indexed(df, order, name, partitions).drop("__row_id", *named)
+    return _indexed(df, order, name, partitions)
+
+
+def heavy_tie(df: DataFrame, keys: Sequence[Column]) -> bool:
+    """Does one key value hold more rows than one task should get?
+
+    A frequent-items sketch, one pass combined map-side.  It never misses a heavy key;
+    an overestimate only costs the extra write.
+    """
+    sketch = F.call_function("approx_top_k", F.xxhash64(*keys), F.lit(1), F.lit(_SKETCH_ITEMS))
+    seen = df.agg(F.count(F.lit(1)).alias("n"), sketch.alias("top")).first()
+    heaviest = seen["top"][0]["count"] if seen["top"] else 0
+    return heaviest > max(MAX_TIED_ROWS, seen["n"] * _TIED_SHARE)
+
+
+def _indexed(df: DataFrame, order: Sequence[Column], name: str, partitions: int | None) -> DataFrame:
     spread = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     placed = written(
         spread.sortWithinPartitions(*order).withColumn(_PLACE, F.monotonically_increasing_id()),
