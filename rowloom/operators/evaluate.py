@@ -71,9 +71,14 @@ def batch_weighted_custom(
         except Exception as error:
             raise TrainingError(f"metric {name!r} failed: {error}", "metric_computation_error") from error
 
-    sizes = df.groupBy(col(batch)).agg(F.count("*").alias("__n"))
-    values = df.groupBy(col(batch)).agg(per_batch(col(truth), col(prediction)).alias("__m"))
-    return sizes.join(values, batch).agg(F.try_divide(F.sum(F.col("__m") * F.col("__n")), F.sum("__n")).alias(name))
+    @F.pandas_udf("long")
+    def rows_of(y: pd.Series) -> int:
+        return len(y)
+
+    scored = df.groupBy(col(batch)).agg(
+        per_batch(col(truth), col(prediction)).alias("__m"), rows_of(col(truth)).alias("__n")
+    )
+    return scored.agg(F.try_divide(F.sum(F.col("__m") * F.col("__n")), F.sum("__n")).alias(name))
 
 
 def require_samples(df: DataFrame) -> None:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowloom.errors import DataError, require_columns
 from rowloom.functions.coerce import col, number
-from rowloom.operators.profile import quantiles
+from rowloom.operators.quantile import quantiles
 from rowloom.operators.tables import infer_roles
 from rowloom.session import written
 
@@ -179,7 +179,7 @@ def _fit_numeric(df: DataFrame, columns: Sequence[str], spec: PreprocessSpec) ->
     elif strategy == "mean":
         fills = {c: seen[f"m{i}"] for i, c in enumerate(columns)}
     elif strategy == "median":
-        fills = {c: q[0] for c, q in quantiles(df, columns, [0.5], spec.approx_median).items()}
+        fills = {c: q[0] for c, q in quantiles(df, columns, [0.5], spec.approx_median, seen["rows"]).items()}
     elif strategy == "most_frequent":
         pairs = df.select(
             F.inline(F.array(*[F.struct(F.lit(c).alias("column"), number(df, c).alias("value")) for c in columns]))

@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rowloom.errors import require_columns
 from rowloom.functions.coerce import col, number, present
-from rowloom.operators.ordering import dense_index
+from rowloom.operators.quantile import quantile_table
 from rowloom.operators.tables import numeric_columns
 
-# Exact percentiles keep one counter per distinct value; beyond this many rows and
-# distinct values the quantiles are read from a sorted table instead.
-PERCENTILE_MAP_ROWS = 1_000_000
 QUARTILES = (0.25, 0.5, 0.75)
+_QUARTILE_NAMES = ("q25", "q50", "q75")
 
 
 def _rows(df: DataFrame, structs: Sequence[Column]) -> DataFrame:
@@ -98,107 +96,29 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, approx:
     """``(column, count, mean, std, min, q25, q50, q75, max)`` of the numeric columns."""
     names = numeric_columns(df) if columns is None else list(columns)
     require_columns(df.columns, names, "profile_missing_columns", "numeric summary")
-    method = quantile_method(df, names, approx)
     aggs = []
     for i, c in enumerate(names):
         x = number(df, c)
-        aggs += [
-            F.count(x).alias(f"n{i}"),
-            F.avg(x).alias(f"avg{i}"),
-            F.stddev_samp(x).alias(f"sd{i}"),
-            F.min(x).alias(f"lo{i}"),
-            F.max(x).alias(f"hi{i}"),
-        ]
-        if method != "sorted":
-            aggs.append(_percentiles(x, QUARTILES, method).alias(f"q{i}"))
-    wide = df.agg(*aggs)
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"avg{i}"), F.stddev_samp(x).alias(f"sd{i}")]
+        aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        if approx:
+            aggs.append(F.percentile_approx(x, list(QUARTILES), 10_000).alias(f"q{i}"))
     rows = []
     for i, c in enumerate(names):
-        fields = [F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"avg{i}").alias("mean")]
-        fields += [F.col(f"sd{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max")]
-        if method != "sorted":
-            fields += [F.col(f"q{i}")[j].alias(n) for j, n in enumerate(("q25", "q50", "q75"))]
-        rows.append(F.struct(*fields))
-    summary = _rows(wide, rows)
-    if method == "sorted":
-        found = sorted_quantiles(df, names, QUARTILES)
-        pick = lambda q: F.max(F.when(F.col("q") == q, F.col("value")))
-        quartiles = found.groupBy("column").agg(
-            pick(0.25).alias("q25"), pick(0.5).alias("q50"), pick(0.75).alias("q75")
+        fields = {"column": F.lit(c), "count": F.col(f"n{i}"), "mean": F.col(f"avg{i}"), "std": F.col(f"sd{i}")}
+        fields.update({"min": F.col(f"lo{i}"), "max": F.col(f"hi{i}")})
+        if approx:
+            fields.update({n: F.col(f"q{i}")[j] for j, n in enumerate(_QUARTILE_NAMES)})
+        rows.append(F.struct(*[v.alias(n) for n, v in fields.items()]))
+    summary = _rows(df.agg(*aggs), rows)
+    if not approx:
+        at = lambda q: F.max(F.when(F.col("q") == q, F.col("value")))
+        quartiles = quantile_table(df, names, QUARTILES).groupBy("column").agg(
+            *[at(q).alias(n) for q, n in zip(QUARTILES, _QUARTILE_NAMES)]
         )
-        summary = summary.join(quartiles, "column", "left")
-    return summary.select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
-
-
-def quantile_method(df: DataFrame, columns: Sequence[str], approx: bool = False) -> str:
-    """``approx`` on request; else ``map`` while its memory is bounded, ``sorted`` beyond."""
-    if approx:
-        return "approx"
-    if not columns or df.count() <= PERCENTILE_MAP_ROWS:
-        return "map"
-    spread = df.agg(*[F.approx_count_distinct(number(df, c)).alias(f"d{i}") for i, c in enumerate(columns)]).first()
-    return "map" if max(spread) <= PERCENTILE_MAP_ROWS else "sorted"
-
-
-def _percentiles(x: Column, qs: Sequence[float], method: str) -> Column:
-    if method == "approx":
-        return F.percentile_approx(x, list(qs), 10_000)
-    return F.percentile(x, F.array(*[F.lit(q) for q in qs]))
-
-
-def quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float], approx: bool = False) -> dict[str, list]:
-    """Quantiles with linear interpolation, as plain numbers: a few per column."""
-    method = quantile_method(df, columns, approx)
-    if method == "sorted":
-        found = {(r["column"], r["q"]): r["value"] for r in sorted_quantiles(df, columns, qs).collect()}
-        return {c: [found.get((c, float(q))) for q in qs] for c in columns}
-    row = df.agg(*[_percentiles(number(df, c), qs, method).alias(f"q{i}") for i, c in enumerate(columns)]).first()
-    return {c: list(row[f"q{i}"] or [None] * len(qs)) for i, c in enumerate(columns)}
-
-
-def sorted_quantiles(
-    df: DataFrame, columns: Sequence[str], qs: Sequence[float], block_rows: int = 100_000
-) -> DataFrame:
-    """``(column, q, value)`` exactly, at any size.
-
-    Equal values are counted before they are sorted, the sorted distinct values are
-    numbered in blocks, block totals locate the wanted ranks, and only the blocks that
-    hold one are read again.
-    """
-    values = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), number(df, c).alias("value")) for c in columns]))
-    ).where("value is not null")
-    counted = values.groupBy("column", "value").agg(F.count("*").alias("n"))
-    ranked = dense_index(counted, [F.col("column"), F.col("value")], "__pos").withColumn(
-        "__block", F.expr(f"__pos div {block_rows}")
-    )
-    blocks = ranked.groupBy("column", "__block").agg(F.sum("n").alias("rows"))
-    earlier = Window.partitionBy("column").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
-
-    spot = (F.col("total") - 1) * F.col("q")
-    wanted = (
-        blocks.groupBy("column")
-        .agg(F.sum("rows").alias("total"))
-        .withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
-        .withColumn("share", spot - F.floor(spot))
-        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(spot), F.ceil(spot)))))
-    )
-    # At most two ranks per column and quantile: the table of located blocks stays tiny.
-    located = wanted.join(blocks, "column").where("rank >= before and rank < before + rows")
-    within = Window.partitionBy("column", "__block").orderBy("__pos").rowsBetween(Window.unboundedPreceding, 0)
-    needed = located.select("column", "__block", "before").distinct()
-    running = ranked.join(F.broadcast(needed), ["column", "__block"]).withColumn(
-        "upto", F.col("before") + F.sum("n").over(within)
-    )
-    hit = (
-        running.drop("before")
-        .join(F.broadcast(located.select("column", "__block", "q", "share", "rank")), ["column", "__block"])
-        .where("rank < upto and rank >= upto - n")
-    )
-    return hit.groupBy("column", "q").agg(
-        (F.min("value") + (F.max("value") - F.min("value")) * F.max("share")).alias("value")
-    )
+        # One row per column on both sides.
+        summary = summary.join(F.broadcast(quartiles), "column", "left")
+    return summary.select("column", "count", "mean", "std", "min", *_QUARTILE_NAMES, "max")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rowloom.errors import require_columns
 from rowloom.functions.coerce import col, moment, number
 from rowloom.operators.ordering import as_list
-from rowloom.operators.profile import numeric_summary, quantiles, value_counts
+from rowloom.operators.profile import numeric_summary, value_counts
+from rowloom.operators.quantile import quantiles
 
 
 def coverage(df: DataFrame, time_column: str, series: str | Sequence[str] | None = None) -> DataFrame:

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowloom.errors import DataError, require_columns
 from rowloom.functions.coerce import col
-from rowloom.operators.ordering import as_list, dense_index, tie_columns
+from rowloom.operators.ordering import as_list, ascending, dense_index, tie_columns
 from rowloom.session import written
 
 TRAIN, VALIDATION = "train", "validation"
@@ -178,15 +178,19 @@ def _with_group(
 
 def _class_quotas(sizes: DataFrame, group_names: Sequence[str], fraction: float) -> DataFrame:
     """Whole parts of ``n_c * n_val / n``, then one more for the largest remainders."""
-    total = sizes.agg(F.sum("n")).scalar()
-    wanted = F.ceil(total * F.lit(fraction))
+    sizes = written(sizes, "class-sizes")
+    seen = sizes.agg(F.count("*").alias("classes"), F.sum("n").alias("rows")).first()
+    total, wanted = F.lit(seen["rows"]), F.ceil(F.lit(seen["rows"]) * F.lit(fraction))
     exact = F.col("n") * wanted / total
-    shared = sizes.withColumns({"whole": F.floor(exact), "rest": exact - F.floor(exact), "wanted": wanted})
-    ranked = dense_index(shared, [-F.col("rest"), *[F.col(g) for g in group_names]], "place")
-    missing = ranked.agg(F.first("wanted") - F.sum("whole")).scalar()
-    return ranked.withColumn("n_val", F.col("whole") + F.when(F.col("place") < missing, 1).otherwise(0)).drop(
-        "whole", "rest", "wanted", "place"
-    )
+    shared = sizes.withColumns({"whole": F.floor(exact), "rest": exact - F.floor(exact)})
+    order = [-F.col("rest"), *[F.col(g) for g in group_names]]
+    if seen["classes"] <= BROADCAST_GROUPS:
+        ranked = shared.withColumn("place", F.row_number().over(Window.orderBy(*ascending(order))) - 1)
+    else:
+        ranked = dense_index(shared, order, "place")
+    missing = wanted - shared.agg(F.sum("whole")).scalar()
+    one_more = F.when(F.col("place") < missing, 1).otherwise(0)
+    return ranked.withColumn("n_val", F.col("whole") + one_more).drop("whole", "rest", "place")
 
 
 def batches(

@@ -254,7 +254,7 @@ def classifier_baseline(spark, folder):
 
 @query("tabular_flow")
 def tabular_flow(spark, folder):
-    trained = train_tabular(scan(spark, folder, "lineitem").drop("l_linenumber"), "l_extendedprice", "l_orderkey")
+    trained = train_tabular(scan(spark, folder, "lineitem"), "l_extendedprice")
     return evaluate.score(trained.predictions, "target", "prediction", ["mse", "mae", "rmse"])
 
 

@@ -134,7 +134,7 @@ def one_hot_unknown_ignored(spark, folder):
 
 @query(
     "one_hot_min_frequency",
-    category_sql("where n >= (select avg(n) from c)").replace("(select avg(n) from c)", "60"),
+    category_sql("where n >= 60"),
 )
 def one_hot_min_frequency(spark, folder):
     return set_indicators(applied(spark, folder, categories(min_frequency=60)))

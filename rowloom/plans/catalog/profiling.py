@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowloom.operators import profile, series_profile, tables
+from rowloom.operators import profile, quantile, series_profile, tables
 from rowloom.operators.series_features import time_deltas
 from rowloom.plans.catalog.registry import query, rounded, scan
 
@@ -114,7 +114,7 @@ def numeric_summary(spark, folder):
 )
 def sorted_quantiles(spark, folder):
     qs = (0.05, 0.25, 0.5, 0.75, 0.95)
-    return rounded(profile.sorted_quantiles(gappy_lines(spark, folder), LINE_NUMBERS, qs, block_rows=1000), 4)
+    return rounded(quantile.sorted_quantiles(gappy_lines(spark, folder), LINE_NUMBERS, qs, block_rows=1000), 4)
 
 
 def _histogram_sql(table: str, column: str, bins: int) -> str:
