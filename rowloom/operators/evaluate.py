@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rowloom.errors import TrainingError, require_columns
 from rowloom.functions.coerce import INF, col
 from rowloom.functions.metrics import METRICS
+from rowloom.operators.ordering import MAX_SERIES_ROWS, SEGMENT_ROWS, dense_index, needs_segments
 
 
 def array_errors(truth: Column, prediction: Column) -> dict[str, Column]:
@@ -122,6 +123,9 @@ def early_stopping(
     mode: str = "min",
     patience: int = 10,
     min_delta: float = 0.0,
+    strategy: str = "auto",
+    max_run_epochs: int = MAX_SERIES_ROWS,
+    segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """Replay early stopping over each run of ``(run_id, epoch, metric, value)``.
 
@@ -138,10 +142,7 @@ def early_stopping(
     seen = history.where(F.col("metric") == monitor).select(
         "run_id", "epoch", (F.col("value").cast("double") * F.lit(sign)).alias("v")
     )
-    order = Window.partitionBy("run_id").orderBy("epoch")
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    # NaN never improves: Spark sorts it above every number, as a worse score should be.
-    ranked = seen.withColumns({"i": F.row_number().over(order), "low": F.min("v").over(earlier)})
+    ranked = _ranked_epochs(seen, needs_segments(seen, ["run_id"], strategy, max_run_epochs), segment_rows)
     record = (F.col("i") == 1) | (F.col("v") < F.col("low"))
     runs = ranked.groupBy("run_id").agg(
         F.max("i").alias("n"),
@@ -178,6 +179,35 @@ def early_stopping(
     )
 
 
+def _ranked_epochs(seen: DataFrame, divided: bool, segment_rows: int) -> DataFrame:
+    """``i``: place of an epoch in its run; ``low``: smallest value before it.
+
+    NaN never improves: Spark sorts it above every number, as a worse score should be.
+    A long run is cut into pieces, and each piece starts from the totals of the earlier ones.
+    """
+    if not divided:
+        order = Window.partitionBy("run_id").orderBy("epoch")
+        earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+        return seen.withColumns({"i": F.row_number().over(order), "low": F.min("v").over(earlier)})
+    indexed = dense_index(seen, [F.col("run_id"), F.col("epoch")], "__pos")
+    pieces = indexed.withColumn("__segment", F.expr(f"__pos div {segment_rows}"))
+    totals = pieces.groupBy("run_id", "__segment").agg(F.count("*").alias("rows"), F.min("v").alias("lowest"))
+    before = Window.partitionBy("run_id").orderBy("__segment").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(
+        "run_id",
+        "__segment",
+        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("passed"),
+        F.min("lowest").over(before).alias("floor"),
+    )
+    order = Window.partitionBy("run_id", "__segment").orderBy("__pos")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        pieces.join(carried, ["run_id", "__segment"])
+        .withColumns({"i": F.row_number().over(order) + F.col("passed"), "low": F.least(F.min("v").over(earlier), "floor")})
+        .select("run_id", "epoch", "v", F.col("i").cast("int").alias("i"), "low")
+    )
+
+
 def require_metric(history: DataFrame, monitor: str) -> None:
     """Every run must carry the monitored metric."""
     lacking = (

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
@@ -32,6 +33,7 @@ from rowloom.operators.ordering import (
     SEGMENT_ROWS,
     as_list,
     ascending,
+    dense_index,
     needs_segments,
     segments,
     tie_columns,
@@ -313,16 +315,31 @@ def latest_rows(
     rows: int,
     series: str | Sequence[str] | None = None,
     tie_breakers: str | Sequence[str] | None = None,
+    strategy: str = "auto",
+    max_series_rows: int = MAX_SERIES_ROWS,
 ) -> DataFrame:
     """The most recent ``rows`` rows of each series.
 
     ``row_number() <= rows`` lets Spark cut every series to ``rows`` in each map task
     before the shuffle, so the largest series costs ``rows`` per task, not its length.
-    That rule stops at ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 unless set).
+    That rule stops at ``spark.sql.optimizer.windowGroupLimitThreshold``; beyond it long
+    series are numbered in one total order instead and kept by distance from their end.
     """
     names = as_list(series)
     require_columns(df.columns, [*names, time_column], "ts_missing_datetime_column", "latest rows")
     ties = tie_columns(df, [*names, time_column], tie_breakers)
-    order = [col(time_column).desc_nulls_last(), *[col(c).desc_nulls_last() for c in ties]]
-    window = Window.partitionBy(*[col(s) for s in names]).orderBy(*order)
+    by = [col(s) for s in names]
+    pruned = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if rows > pruned and needs_segments(df, names, strategy, max_series_rows):
+        # The latest first, missing times last, as below.
+        newest = [-F.unix_micros(col(time_column).cast("timestamp")), *[col(c) for c in ties]]
+        indexed = dense_index(df, [*by, *newest], "__pos")
+        heads = indexed.groupBy(*[c.alias(f"__s{i}") for i, c in enumerate(by)]).agg(F.min("__pos").alias("__head"))
+        if not names:
+            return indexed.where(F.col("__pos") < rows).drop("__pos")
+        same = reduce(lambda a, b: a & b, [c.eqNullSafe(F.col(f"__s{i}")) for i, c in enumerate(by)])
+        kept = indexed.join(heads, same).where(F.col("__pos") < F.col("__head") + rows)
+        return kept.select(*[col(c) for c in df.columns])
+    order = [col(time_column).desc_nulls_last(), *[col(c).asc_nulls_last() for c in ties]]
+    window = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn("__recent", F.row_number().over(window)).where(F.col("__recent") <= rows).drop("__recent")

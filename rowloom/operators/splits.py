@@ -130,7 +130,7 @@ def _label(
     )
     cuts = written(counted.select(*group_names, "lo", "n", "n_val", "__cut"), "cut-positions")
     seen = cuts.agg(F.count("*").alias("groups"), F.sum("n").alias("rows"), F.sum("n_val").alias("held")).first()
-    if not seen["groups"]:
+    if not seen["rows"]:
         raise DataError("nothing to split", "split_empty_table")
     if seen["held"] >= seen["rows"]:
         raise DataError(f"{seen['held']} validation rows of {seen['rows']} leave none for training", "split_empty_train")

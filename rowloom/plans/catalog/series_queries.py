@@ -238,7 +238,7 @@ def normalized(spark, folder):
 
 @query(
     "latest_rows_per_series",
-    "select event_id, user_id from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) <= 20",
+    "select event_id, user_id from events qualify row_number() over (partition by user_id order by ts desc, event_id) <= 20",
 )
 def latest(spark, folder):
     return latest_rows(events(spark, folder), "ts", 20, "user_id", "event_id").select("event_id", "user_id")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, types as T
 
@@ -43,7 +44,7 @@ def load_table(
         if error.getCondition() == "PATH_NOT_FOUND":
             raise DataError(f"no file at {path}", "data_file_not_found", {"path": path}, cause=error) from error
         raise DataError(f"cannot read {path}", "data_load_error", {"path": path}, cause=error) from error
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         raise DataError(f"cannot read {path}", "data_load_error", {"path": path}, cause=error) from error
     require_columns(df.columns, required_columns, "data_missing_columns", path)
     return df
