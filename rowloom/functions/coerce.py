@@ -85,17 +85,24 @@ def moment(
     if is_temporal(dtype):
         return col(name)
     if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
-        return F.try_to_timestamp(col(name), F.lit(fmt)) if fmt else F.try_to_timestamp(col(name))
+        return parsed_time(name, fmt)
     raise DataError(
         f"column {name!r} of type {dtype.simpleString()} cannot be read as a time", code, {"column": name}
     )
 
 
+def parsed_time(name: str, fmt: str | None = None) -> Column:
+    """Text as a time without zone, NULL where it does not parse."""
+    parsed = F.try_to_timestamp(col(name), F.lit(fmt)) if fmt else F.try_to_timestamp(col(name))
+    return parsed.cast("timestamp_ntz")
+
+
 def strict_moment(df: DataFrame, name: str, fmt: str | None = None) -> Column:
     """Parse as timestamp and fail the job on the first bad value (ANSI)."""
     if is_temporal(type_of(df, name)):
         return moment(df, name)
-    return F.to_timestamp(col(name), fmt) if fmt else F.to_timestamp(col(name))
+    parsed = F.to_timestamp(col(name), fmt) if fmt else F.to_timestamp(col(name))
+    return parsed.cast("timestamp_ntz")
 
 
 def invalid_count(df: DataFrame, name: str, coerced: Column) -> Column:

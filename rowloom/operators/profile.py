@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rowloom.errors import require_columns
-from rowloom.functions.coerce import col, number, present
+from rowloom.functions.coerce import col, is_fraction, number, present, type_of
 from rowloom.operators.quantile import quantile_table
-from rowloom.operators.tables import numeric_columns
+from rowloom.operators.tables import concatenate, numeric_columns
 
 QUARTILES = (0.25, 0.5, 0.75)
 _QUARTILE_NAMES = ("q25", "q50", "q75")
@@ -65,10 +65,32 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approx:
     """``(column, n_unique)`` of non-missing values, fewest first."""
     names = df.columns if columns is None else list(columns)
     require_columns(df.columns, names, "profile_missing_columns", "distinct counts")
-    count = F.approx_count_distinct if approx else F.count_distinct
-    counted = df.agg(*[count(present(df, c)).alias(f"n{i}") for i, c in enumerate(names)])
-    rows = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("n_unique")) for i, c in enumerate(names)]
-    return _rows(counted, rows).orderBy("n_unique", "column")
+    if approx:
+        counted = df.agg(*[F.approx_count_distinct(present(df, c)).alias(f"n{i}") for i, c in enumerate(names)])
+        rows = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("n_unique")) for i, c in enumerate(names)]
+        return _rows(counted, rows).orderBy("n_unique", "column")
+    # Columns of one type share a narrow (column, value) table; several distinct counts in
+    # one aggregate would carry every column through the shuffle for every row and column.
+    kinds: dict[str, list[int]] = {}
+    for i, c in enumerate(names):
+        kinds.setdefault(_shared_type(type_of(df, c)), []).append(i)
+    parts = []
+    for kind, places in kinds.items():
+        cells = [
+            F.struct(F.lit(i).alias("place"), present(df, names[i]).cast(kind).alias("value")) for i in places
+        ]
+        values = df.select(F.inline(F.array(*cells))).where("value is not null").distinct()
+        parts.append(values.groupBy("place").agg(F.count("*").alias("n_unique")))
+    every = df.sparkSession.createDataFrame(list(enumerate(names)), "place int, column string")
+    found = every.join(F.broadcast(concatenate(parts)), "place", "left")
+    return found.select("column", F.coalesce("n_unique", F.lit(0)).alias("n_unique")).orderBy("n_unique", "column")
+
+
+def _shared_type(dtype: T.DataType) -> str:
+    """A type that holds every value of ``dtype`` apart from its neighbours."""
+    if isinstance(dtype, T.IntegralType):
+        return "bigint"
+    return "double" if is_fraction(dtype) else dtype.simpleString()
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rowloom.errors import DataError, require_columns
 from rowloom.functions import numeric
 from rowloom.functions.calendar import calendar_parts, short_date_parts
-from rowloom.functions.coerce import col, invalid_count, is_temporal, moment, number, present, type_of
+from rowloom.functions.coerce import col, invalid_count, is_temporal, moment, number, parsed_time, present, type_of
 
 
 @dataclass(frozen=True)
@@ -164,12 +164,12 @@ def parse_date_columns(df: DataFrame, max_cols: int = 10) -> DataFrame:
         return df
     parses = df.agg(
         *[
-            F.bool_and(col(c).isNull() | F.try_to_timestamp(col(c)).isNotNull()).alias(f"p{i}")
+            F.bool_and(col(c).isNull() | parsed_time(c).isNotNull()).alias(f"p{i}")
             for i, c in enumerate(candidates)
         ]
     ).first()
     good = [c for i, c in enumerate(candidates) if parses[f"p{i}"] is not False]
-    return df.withColumns({c: F.try_to_timestamp(col(c)) for c in good}) if good else df
+    return df.withColumns({c: parsed_time(c) for c in good}) if good else df
 
 
 def coercion_report(df: DataFrame, times: Sequence[str] = (), numbers: Sequence[str] = ()) -> DataFrame:

@@ -52,8 +52,22 @@ def scratch_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def _app_folder(spark: SparkSession) -> str:
+    return f"{scratch_dir(spark)}/rowloom/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_dir(spark)}/rowloom/{label}-{uuid.uuid4().hex}"
+    return f"{_app_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> bool:
+    """Delete the tables this application wrote to the scratch folder.
+
+    Frames returned by operators may still read them: call this when their results are
+    written.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_app_folder(spark))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -101,7 +101,7 @@ def test_strict_time_fails(spark):
 
 def test_detected_dates(spark):
     df = spark.createDataFrame([("2020-01-01", "x"), (None, "2020-01-02")], "a string, b string")
-    assert dict(parse_date_columns(df).dtypes) == {"a": "timestamp", "b": "string"}
+    assert dict(parse_date_columns(df).dtypes) == {"a": "timestamp_ntz", "b": "string"}
     assert dict(parse_date_columns(df, max_cols=0).dtypes) == {"a": "string", "b": "string"}
 
 

@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from pyarrow import feather
 
+from rowloom import session
 from rowloom.errors import DataError
 from rowloom.operators import tables
 from rowloom.session import scratch_dir, written
@@ -148,3 +149,10 @@ def test_written_table_keeps_rows_and_types(spark):
     again = written(df, "test")
     assert again.dtypes == df.dtypes and again.collect() == df.collect()
     assert again.inputFiles()[0].removeprefix("file://").startswith(scratch_dir(spark).removeprefix("file:"))
+
+
+def test_released_tables_are_gone(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "scratch_dir", lambda _: str(tmp_path))
+    table = written(spark.range(3), "test")
+    assert table.count() == 3 and list(tmp_path.glob("rowloom/*/test-*"))
+    assert session.release(spark) and not list(tmp_path.glob("rowloom/*"))
