@@ -1,4 +1,7 @@
-"""Errors with stable codes: callers branch on ``code``, people read the message."""
+"""Errors with stable codes: callers branch on ``code``, people read the message.
+
+The codes raised throughout the package are fixed values and part of its contract.
+"""
 
 from __future__ import annotations
 

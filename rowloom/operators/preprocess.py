@@ -17,7 +17,7 @@ from rowloom.errors import DataError, require_columns
 from rowloom.functions.coerce import col, number
 from rowloom.operators.quantile import quantiles
 from rowloom.operators.tables import infer_roles
-from rowloom.session import written
+from rowloom.session import small_table, written
 
 INFREQUENT = "<infrequent>"
 
@@ -79,7 +79,7 @@ class Preprocessor:
             rows.append((c.column, "fill", None, c.fill))
             rows += [(c.column, "category", float(i), v) for i, v in enumerate(c.categories)]
             rows += [(c.column, "infrequent", None, v) for v in c.infrequent]
-        return spark.createDataFrame(rows, "column string, parameter string, number double, text string")
+        return small_table(spark, rows, "column string, parameter string, number double, text string")
 
     def transform(self, df: DataFrame, validate: str = "eager") -> DataFrame:
         """Numeric columns in place, ``{column}__{category}`` indicators, then the remainder.

@@ -10,6 +10,7 @@ from rowloom.errors import require_columns
 from rowloom.functions.coerce import col, is_fraction, number, present, type_of
 from rowloom.operators.quantile import quantile_table
 from rowloom.operators.tables import concatenate, numeric_columns
+from rowloom.session import small_table
 
 QUARTILES = (0.25, 0.5, 0.75)
 _QUARTILE_NAMES = ("q25", "q50", "q75")
@@ -36,7 +37,7 @@ def schema_table(df: DataFrame) -> DataFrame:
 def dtype_counts(df: DataFrame) -> DataFrame:
     """``(dtype, n_columns)``."""
     return (
-        df.sparkSession.createDataFrame(df.dtypes, "column string, dtype string")
+        small_table(df.sparkSession, df.dtypes, "column string, dtype string")
         .groupBy("dtype")
         .agg(F.count("*").alias("n_columns"))
     )
@@ -81,7 +82,7 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approx:
         ]
         values = df.select(F.inline(F.array(*cells))).where("value is not null").distinct()
         parts.append(values.groupBy("place").agg(F.count("*").alias("n_unique")))
-    every = df.sparkSession.createDataFrame(list(enumerate(names)), "place int, column string")
+    every = small_table(df.sparkSession, list(enumerate(names)), "place int, column string")
     found = every.join(F.broadcast(concatenate(parts)), "place", "left")
     return found.select("column", F.coalesce("n_unique", F.lit(0)).alias("n_unique")).orderBy("n_unique", "column")
 
@@ -181,8 +182,8 @@ def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     both = values.select(F.inline(F.array(*cells))).where("a is not null and b is not null")
     corr = F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b"))
     found = both.groupBy("pair").agg(corr.alias("corr"))
-    names = df.sparkSession.createDataFrame(
-        [(k, a, b) for k, (a, b) in enumerate(pairs)], "pair int, column_a string, column_b string"
+    names = small_table(
+        df.sparkSession, [(k, a, b) for k, (a, b) in enumerate(pairs)], "pair int, column_a string, column_b string"
     )
     # The list of pairs is fixed by the columns, not by the rows.
     return F.broadcast(names).join(found, "pair", "left").select("column_a", "column_b", "corr")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowloom.functions.coerce import number
 from rowloom.operators.ordering import dense_index
-from rowloom.session import written
+from rowloom.session import small_table, written
 
 # Rows of a table, or counted values, that one window task per column may get.
 PLAIN_ROWS = 1_000_000
@@ -80,7 +80,7 @@ def _long(df: DataFrame, columns: Sequence[str], edges: list[list[float]] | None
     width = max(len(bounds) for bounds in edges)
     rows = [(i, *bounds, *[None] * (width - len(bounds))) for i, bounds in enumerate(edges)]
     names = [f"b{i}" for i in range(width)]
-    table = df.sparkSession.createDataFrame(rows, ", ".join(["column int", *[f"{n} double" for n in names]]))
+    table = small_table(df.sparkSession, rows, ", ".join(["column int", *[f"{n} double" for n in names]]))
     region = F.lit(0)
     for i, name in enumerate(names):
         # Both ends belong to the bracket.

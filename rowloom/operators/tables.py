@@ -20,6 +20,7 @@ from rowloom.functions.coerce import (
     type_of,
 )
 from rowloom.operators.ordering import as_list, ascending
+from rowloom.session import small_table
 
 
 def features_and_target(df: DataFrame, target: str, id_column: str | None = None) -> tuple[list[str], str]:
@@ -95,13 +96,13 @@ def roles_table(
         "derived": derived,
     }
     rows = [(role, name) for role, names in roles.items() for name in names]
-    return df.sparkSession.createDataFrame(rows, "role string, column string")
+    return small_table(df.sparkSession, rows, "role string, column string")
 
 
 def audit_columns(df: DataFrame, expected: Sequence[str]) -> DataFrame:
     """``(column, present)`` for every column a configuration names."""
     rows = [(c, c in df.columns) for c in expected]
-    return df.sparkSession.createDataFrame(rows, "column string, present boolean")
+    return small_table(df.sparkSession, rows, "column string, present boolean")
 
 
 def drop_missing(df: DataFrame, columns: Sequence[str], dropped_as: str | None = None):

@@ -10,8 +10,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from rowloom.errors import DataError
 
@@ -34,6 +37,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     return builder.getOrCreate()
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few literal rows as a local relation: known to the planner, no Python stage."""
+    fields = T._parse_datatype_string(schema)
+    cells = list(zip(*rows)) if rows else [[] for _ in fields]
+    arrow = to_arrow_schema(fields)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(cells, arrow)], schema=arrow), fields)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary folder only for a local master."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

@@ -7,6 +7,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rowloom.session import small_table
+
 _PARAMS = "run_id string, key string, value string"
 _METRICS = "run_id string, step int, metric string, value double"
 
@@ -38,7 +40,7 @@ def params_frame(
     """``(run_id, key, value)``; values that are no plain scalar are kept as their text."""
     data = flatten(params) if flat else params
     rows = [(run_id, f"{prefix}{k}", None if v is None else str(v)) for k, v in data.items()]
-    return spark.createDataFrame(rows, _PARAMS)
+    return small_table(spark, rows, _PARAMS)
 
 
 def log_params(
@@ -55,7 +57,7 @@ def log_metrics(
     """Append one step's metrics to the Parquet table at ``path``."""
     if metrics:
         rows = [(run_id, step, name, float(value)) for name, value in metrics.items()]
-        spark.createDataFrame(rows, _METRICS).write.mode("append").parquet(path)
+        small_table(spark, rows, _METRICS).write.mode("append").parquet(path)
 
 
 def log_history(history: DataFrame, path: str) -> None:
