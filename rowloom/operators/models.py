@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -126,10 +126,13 @@ class Layer:
     eps: float = 1e-5
 
 
-_erf = np.frompyfunc(math.erf, 1, 1)
+def _erf(x: np.ndarray) -> np.ndarray:
+    return np.vectorize(math.erf, otypes=[float])(x)
+
+
 ACTIVATIONS = {
     "relu": lambda x: np.maximum(x, 0.0),
-    "gelu": lambda x: 0.5 * x * (1.0 + _erf(x / math.sqrt(2.0)).astype(float)),
+    "gelu": lambda x: 0.5 * x * (1.0 + _erf(x / math.sqrt(2.0))),
     "silu": lambda x: x / (1.0 + np.exp(-x)),
     "swish": lambda x: x / (1.0 + np.exp(-x)),
     "leaky_relu": lambda x: np.where(x >= 0, x, 0.01 * x),
@@ -163,7 +166,8 @@ def score_network(df: DataFrame, layers: Sequence[Layer], features: str = "featu
     for layer in layers:
         if layer.activation and layer.activation.lower() not in ACTIVATIONS:
             raise ModelError(f"unknown activation {layer.activation!r}", "tabular_mlp_bad_activation")
-    shared = df.sparkSession.sparkContext.broadcast(list(layers))
+    # Plain dictionaries: a broadcast value is pickled by reference to its classes.
+    shared = df.sparkSession.sparkContext.broadcast([asdict(layer) for layer in layers])
     schema = df.select("*", F.lit(None).cast("array<double>").alias(output)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +178,7 @@ def score_network(df: DataFrame, layers: Sequence[Layer], features: str = "featu
             if len(flat) != rows * width or column.null_count:
                 raise ModelError(f"features must have {width} values", "tabular_mlp_bad_input_shape")
             block = flat.to_numpy(zero_copy_only=False).astype(float).reshape(rows, width)
-            result = forward(shared.value, block)
+            result = forward([Layer(**parts) for parts in shared.value], block)
             outputs = result.shape[1]
             offsets = pa.array(np.arange(0, (rows + 1) * outputs, outputs, dtype=np.int32))
             listed = pa.ListArray.from_arrays(offsets, pa.array(result.reshape(-1)))

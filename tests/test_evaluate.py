@@ -144,3 +144,27 @@ def test_output_width():
         with pytest.raises(ModelError) as error:
             models.output_dim(*args)
         assert error.value.code == code
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """Run from a folder that does not hold the package: functions must travel with the job."""
+    import pathlib
+    import subprocess
+    import sys
+
+    root = pathlib.Path(__file__).resolve().parent.parent
+    script = f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+import numpy as np
+from rowloom.operators import evaluate, models
+from rowloom.session import local_session
+spark = local_session(2)
+df = spark.createDataFrame([([1.0, 2.0], 0, 1.0, 2.0)], "features array<double>, batch int, y double, p double")
+layers = [models.Layer(np.ones((1, 2)), np.zeros(1), "gelu")]
+assert abs(models.score_network(df, layers).first()["logits"][0] - 2.99595) < 1e-4
+assert evaluate.batch_weighted_custom(df, "y", "p", lambda a, b: (b - a).sum(), "m").first()["m"] == 1.0
+print("travelled")
+"""
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert "travelled" in done.stdout, done.stderr[-2000:]
