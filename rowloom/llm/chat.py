@@ -71,17 +71,15 @@ def format_conversations(
     rows = df.groupBy(F.col(f"`{conv}`").alias("conv_id")).agg(F.array_sort(F.collect_list(one)).alias("turns"))
     moves = [(f"{a}\n{r}", b) for a, to in template.moves.items() for r, b in to.items()]
     table = F.create_map(*[F.lit(x) for pair in moves for x in pair])
+    # A move that the table lacks leads to the empty state, which no move leaves.
+    go = lambda s, t: F.coalesce(F.try_element_at(table, F.concat(s["state"], F.lit("\n"), t["role"])), F.lit(""))
     walked = F.aggregate(
         "turns",
-        F.struct(F.lit(template.start).alias("state"), F.lit(0).alias("at"), F.lit(None).cast("int").alias("bad")),
+        F.struct(F.lit(template.start).alias("state"), F.lit(0).alias("at"), F.lit(-1).alias("bad")),
         lambda s, t: F.struct(
-            # A move that the table lacks gives no state, and no move leaves that.
-            F.try_element_at(table, F.concat(s["state"], F.lit("\n"), t["role"])).alias("state"),
+            go(s, t).alias("state"),
             (s["at"] + 1).alias("at"),
-            F.coalesce(
-                s["bad"],
-                F.when(F.try_element_at(table, F.concat(s["state"], F.lit("\n"), t["role"])).isNull(), s["at"]),
-            ).alias("bad"),
+            F.when((s["bad"] < 0) & (go(s, t) == ""), s["at"]).otherwise(s["bad"]).alias("bad"),
         ),
     )
     segments = F.flatten(
@@ -102,8 +100,8 @@ def format_conversations(
         "conv_id",
         "segments",
         F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"),
-        (F.col("walk.bad").isNull() & F.coalesce(F.col("walk.state").isin(*template.accepting), F.lit(False))).alias("valid"),
-        F.col("walk.bad").alias("bad_turn"),
+        F.col("walk.state").isin(*template.accepting).alias("valid"),
+        F.when(F.col("walk.bad") >= 0, F.col("walk.bad")).alias("bad_turn"),
     )
 
 

@@ -127,7 +127,8 @@ class MergeVocabulary:
 
     def decode(self, ids: list[int]) -> str:
         """Without the space that encoding put in front."""
-        return _unprefixed(self.surface(ids))
+        first = next((i for i in ids if i in self.byte_of or i in self.text), None)
+        return self.surface(ids) if first == self.unknown else _unprefixed(self.surface(ids))
 
 
 def _unprefixed(text: str) -> str:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowloom.llm import chat, mixing, naming, pieces, quality, secrets
-from rowloom.llm.common import documents
+from rowloom.llm import chat, jaccard, langid, mixing, naming, pieces, quality, secrets
+from rowloom.llm.common import documents, held_out
 from rowloom.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from rowloom.session import small_table
 
@@ -133,3 +133,13 @@ def piece_agenda(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     return pieces.encode_documents(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op5_ngram_language")
+def ngram_language(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(documents(spark, folder), held_out(F.col("doc_id"), 0))
+
+
+@query("op9_shingle_jaccard")
+def shingle_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.components_of(documents(spark, folder)).select("doc_id", "n_shingles", "component_id")
