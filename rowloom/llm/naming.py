@@ -121,7 +121,8 @@ def exact_duplicates(df: DataFrame, **how) -> DataFrame:
         -F.col("n_points"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), F.col("row").alias("row")
     )
     groups = named.groupBy("n_blocks", "name").agg(F.count("*").alias("group_size"), F.min(best).alias("best"))
-    joined = named.join(groups, ["n_blocks", "name"])
+    # Written, so that the join below is one of two plain shuffles, which can be split at a hot name.
+    joined = named.join(written(groups, "identity-groups"), ["n_blocks", "name"])
     return joined.select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
