@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowloom.llm import chat, jaccard, langid, mixing, naming, pieces, quality, secrets
+from rowloom.llm import chat, ctw, jaccard, langid, lines, mixing, naming, pieces, quality, secrets
 from rowloom.llm.common import documents, held_out
 from rowloom.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from rowloom.session import small_table
@@ -143,3 +143,14 @@ def ngram_language(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_shingle_jaccard")
 def shingle_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.components_of(documents(spark, folder)).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op1_context_tree_scores")
+def context_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return ctw.score_documents(documents(spark, folder), held_out(F.col("doc_id"), 1))
+
+
+@query("op10_line_join")
+def line_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = lines.removals(lines.mark_lines(documents(spark, folder)))
+    return found.select("doc_id", "n_lines", "n_removed", F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
