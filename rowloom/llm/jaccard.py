@@ -6,17 +6,18 @@ Nodes are the distinct shingle sets, named by (size, 64-bit digest); copies shar
    rarity, so passages that many documents share come last.
 2. A set of n shingles sends its rarest ones as postings.  Sets that link share at least
    ``need(n)`` of them, so a set with fewer shared postings can link with nothing.
-3. Texts of the sets that are left are fetched once; each gives a 1024-bit parity bitmap
+3. Texts of the sets that are left are fetched once; each gives a 2048-bit parity bitmap
    and its sorted shingles.
-4. Per (shingle, size band) every set is compared with the smallest set of its band and
-   of the band below: linear in the group.  What links becomes components.
-5. Only shingles whose sets lie in more than one component are left.  Their bands are cut
-   into tiles of at most about ``TILE`` sets a side, and sets of different components are
-   compared tile by tile.
+4. In rounds, every set is compared with ``LEADERS`` sets drawn by hash from its (shingle,
+   size band) and the bands beside it: linear in the group.  What links becomes components, and the next
+   round looks only at shingles whose sets lie in more than one component.
+5. When a round finds nothing new, the bands still open are cut into tiles of at most about
+   ``TILE`` sets a side, and sets of different components are compared tile by tile; a pair must meet in as
+   many tiles as it must share postings.
 
 Comparing means: the bit count of the xor of two bitmaps bounds the overlap from above;
 pairs that pass get an exact intersection of sorted arrays.  Step 5 looks at every pair
-that step 4 left open, so the components are those of the full link graph, without the
+that the rounds left open, so the components are those of the full link graph, without the
 pairs inside a component being made.  A hot shingle is spread over tasks by the size of
 its bands, groups of copies are one node, and tables read twice are written.
 
@@ -45,8 +46,9 @@ from rowloom.session import written
 WORDS = 4
 PERCENT = 85
 SLOTS = 1 << 16
-BITS = 1024
+BITS = 2048
 TILE = 256
+LEADERS = 3
 _K1, _K2, _K3 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -76,7 +78,7 @@ def set_digest(s: np.ndarray) -> int:
 
 def bitmap(s: np.ndarray) -> np.ndarray:
     """Parity of the shingles per bit, as 64-bit words."""
-    odd = np.bincount((s >> np.uint64(54)).astype(np.int64), minlength=BITS) & 1
+    odd = np.bincount((s >> np.uint64(53)).astype(np.int64), minlength=BITS) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
@@ -271,11 +273,32 @@ def bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select(*_PAIR, "bits", "bits2").mapInArrow(run, "n int, d long, n2 int, d2 long")
 
 
-def star_pairs(shared: DataFrame, percent: int) -> DataFrame:
-    """Every set with the smallest one of its (token, band) and of the band below."""
-    first = shared.groupBy("token", "band").agg(F.min(F.struct("n", "d")).alias("p"))
-    first = first.select("token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), F.col("p.n").alias("n2"), F.col("p.d").alias("d2"))
-    pairs = shared.join(first, ["token", "band"]).where("n <> n2 or d <> d2").where(_sizes_fit(percent))
+def _rooted(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """``shared`` with the component of each set, without tokens of one component only."""
+    if roots is None:
+        return shared.withColumn("root", F.struct("n", "d"))
+    known = shared.drop("root").join(roots.select(F.col("v.n").alias("n"), F.col("v.d").alias("d"), "root"), ["n", "d"], "left")
+    known = known.withColumn("root", F.coalesce("root", F.struct("n", "d")))
+    mixed = known.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("token")
+    return written(known.join(mixed, "token", "left_semi"), "open-postings")
+
+
+def leader_pairs(open_: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Every set with the leaders of its (token, band) and of the bands beside it, unless linked already.
+
+    A leader is the set of least hash; tokens draw with one of ``LEADERS`` hashes, new in
+    every turn, so a set with many shared tokens meets that many leaders of its group.
+    """
+    draw = F.xxhash64(F.lit(turn), F.pmod("token", F.lit(LEADERS)), "n", "d")
+    first = open_.groupBy("token", "band").agg(F.min(F.struct(draw.alias("draw"), "n", "d", "root")).alias("p"))
+    first = first.select(
+        "token",
+        F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)).alias("band"),
+        F.col("p.n").alias("n2"),
+        F.col("p.d").alias("d2"),
+        F.col("p.root").alias("root2"),
+    )
+    pairs = open_.join(written(first, "leaders"), ["token", "band"]).where("root <> root2").where(_sizes_fit(percent))
     return pairs.select(*_PAIR).distinct()
 
 
@@ -283,13 +306,9 @@ def _sizes_fit(percent: int) -> Column:
     return 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
 
 
-def tile_pairs(shared: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, tile: int = TILE) -> DataFrame:
+def tile_pairs(open_: DataFrame, sets: DataFrame, percent: int, tile: int = TILE) -> DataFrame:
     """Pairs of different components that share a token and pass the bit count."""
-    node = F.struct("n", "d")
-    known = shared.join(roots.select(F.col("v.n").alias("n"), F.col("v.d").alias("d"), "root"), ["n", "d"], "left")
-    known = known.withColumn("root", F.coalesce("root", node))
-    mixed = known.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("token")
-    rows = written(known.join(mixed, "token", "left_semi").select("token", "band", "n", "d", "root"), "open-postings")
+    rows = open_
     cuts = rows.groupBy("token", "band").agg(F.ceil(F.count("*") / tile).cast("int").alias("cuts"))
     cuts = written(cuts, "tile-cuts")
     for name, shift in (("cuts", 0), ("below", 1), ("above", -1)):
@@ -375,7 +394,9 @@ def tile_pairs(shared: DataFrame, roots: DataFrame, sets: DataFrame, percent: in
         if rest is not None:
             yield result(compare(rest, 0, len(rest["n"])))
 
-    return ordered.mapInArrow(run, "n int, d long, n2 int, d2 long").distinct()
+    # A pair meets once per token that both have: linked sets meet as often as the smaller one needs.
+    met = ordered.mapInArrow(run, "n int, d long, n2 int, d2 long").groupBy(*_PAIR).agg(F.count("*").alias("met"))
+    return met.where(F.col("met") >= need(F.least("n", "n2"), percent)).select(*_PAIR)
 
 
 def _edges(pairs: DataFrame) -> DataFrame:
@@ -389,11 +410,17 @@ def similar_sets(
     rows, counts = profile(df, doc_id, text, words)
     shared = shared_postings(postings(df, text, counts, words, percent), percent)
     sets = set_table(df, rows, shared.select("n", "d").distinct(), doc_id, text, words)
-    near = written(exact(bounded(star_pairs(shared, percent), sets, percent), sets, percent), "links")
-    roots = components(_edges(near))
-    rest = written(exact(tile_pairs(shared, roots, sets, percent, tile), sets, percent), "links")
-    if not rest.isEmpty():
-        roots = components(_edges(near.union(rest)))
+    found, roots, turn = None, None, 0
+    while True:
+        open_ = _rooted(shared, roots)
+        near = written(exact(bounded(leader_pairs(open_, turn, percent), sets, percent), sets, percent), "links")
+        if near.isEmpty():
+            break
+        found, turn = (near if found is None else found.union(near)), turn + 1
+        roots = components(_edges(found))
+    rest = written(exact(tile_pairs(open_, sets, percent, tile), sets, percent), "links")
+    if roots is None or not rest.isEmpty():
+        roots = components(_edges(rest if found is None else found.union(rest)))
     return rows, roots
 
 
@@ -402,7 +429,7 @@ def components_of(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **h
     rows, roots = similar_sets(df, doc_id, text, **how)
     roots = roots.select(F.col("v.n").alias("n"), F.col("v.d").alias("d"), "root")
     rows = written(rows.join(roots, ["n", "d"], "left").withColumn("root", F.coalesce("root", F.struct("n", "d"))), "rooted")
-    least = rows.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
+    least = written(rows.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least")), "least-ids")
     joined = rows.join(least, "root", "left")
     component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", "key", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), "root")
