@@ -48,11 +48,20 @@ def line_words(line: Column) -> Column:
 
 
 def shingle_hashes(words: Column, width: int) -> Column:
-    """One 64-bit hash per shingle, in order."""
-    several = F.transform(
-        F.slice(words, 1, F.size(words) - (width - 1)),
-        lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, width)]),
-    )
+    """One 64-bit hash per shingle, in order.
+
+    Words are hashed once; a run of 2k hashes is two runs of k, k apart, so a shingle takes a few
+    steps over arrays of numbers instead of one over its words.
+    """
+    runs, have, need_ = {1: F.transform(words, lambda w: F.xxhash64(w))}, 1, width
+    while 2 * have <= width:
+        runs[2 * have] = _beside(runs[have], runs[have], have)
+        have *= 2
+    several, done = runs[have], have
+    for size in sorted(runs, reverse=True)[1:]:
+        if need_ - done >= size:
+            several, done = _beside(several, runs[size], done), done + size
+    several = F.slice(several, 1, F.greatest(F.size(words) - (width - 1), F.lit(0)))
     short = F.array(F.xxhash64(F.size(words), F.array_join(words, " ")))
     return (
         F.when(F.size(words) >= width, several)
@@ -61,6 +70,11 @@ def shingle_hashes(words: Column, width: int) -> Column:
     )
 
 
+def _beside(a: Column, b: Column, shift: int) -> Column:
+    """Hash of a[i] and b[i + shift], for every i; the last ones have no partner."""
+    return F.zip_with(a, F.slice(b, shift + 1, F.greatest(F.size(b) - shift, F.lit(0))), lambda x, y: F.xxhash64(x, y))
+
+
 def _slot(h: Column) -> Column:
     return h.bitwiseAND(SLOTS - 1).cast("int")
 
@@ -140,13 +154,14 @@ def mark_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "at", "lk")
     classes = written(lines.where("n > 0").groupBy(*_CLASS).agg(F.min(first).alias("first")), "line-classes")
 
-    postings = lines.where("n > 0").select(F.posexplode("prefix").alias("pos", "token"), *_CLASS)
-    by = Window.partitionBy("token").orderBy("h", "h2")
-    other = lambda f: f("h").over(by).isNotNull() & ((f("h").over(by) != F.col("h")) | (f("h2").over(by) != F.col("h2")))
+    # Half the digest travels with the postings; classes that share it meet again below and are told apart there.
+    postings = lines.where("n > 0").select(F.posexplode("prefix").alias("pos", "token"), "n", "h")
+    by = Window.partitionBy("token").orderBy("h")
+    other = lambda f: f("h").over(by).isNotNull() & (f("h").over(by) != F.col("h"))
     cold = postings.where(F.col("token") < hot_class).withColumn("shared", other(F.lag) | other(F.lead)).where("shared").drop("shared")
     shared = written(cold.union(postings.where(F.col("token") >= hot_class)).distinct(), "line-shared")
-    enough = shared.groupBy(*_CLASS).agg(F.count("*").alias("shared")).where(F.col("shared") >= need(F.col("n"), percent))
-    shared = shared.join(enough.drop("shared"), _CLASS, "left_semi").join(classes, _CLASS)
+    enough = shared.groupBy("n", "h").agg(F.count("*").alias("shared")).where(F.col("shared") >= need(F.col("n"), percent))
+    shared = shared.join(enough.drop("shared"), ["n", "h"], "left_semi").join(classes, ["n", "h"])
     band = F.floor(F.log("n") / math.log(1 / (percent / 100 - 0.01))).cast("int")
     shared = written(shared.withColumn("band", band), "line-postings")
 
