@@ -5,9 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from test_jaccard import brute_components
+
 import corpus_pipeline
 from rowloom.llm import mixing, quality
-from tests.llm.test_jaccard import brute_components
 
 
 @pytest.fixture(scope="module")
