@@ -6,14 +6,15 @@ Nodes are the distinct shingle sets, named by (size, 64-bit digest); copies shar
    rarity, so passages that many documents share come last.
 2. A set of n shingles sends its rarest ones as postings.  Sets that link share at least
    ``need(n)`` of them, so a set with fewer shared postings can link with nothing.
-3. Texts of the sets that are left are fetched once; each gives a 2048-bit parity bitmap
+3. Texts of the sets that are left are fetched once; each gives a 1024-bit parity bitmap
    and its sorted shingles.
-4. In rounds, every set is compared with ``LEADERS`` sets drawn by hash from its (shingle,
-   size band) and the bands beside it: linear in the group.  What links becomes components, and the next
-   round looks only at shingles whose sets lie in more than one component.
-5. When a round finds nothing new, the bands still open are cut into tiles of at most about
-   ``TILE`` sets a side, and sets of different components are compared tile by tile; a pair must meet in as
-   many tiles as it must share postings.
+4. In ``TURNS`` rounds, every set meets the leaders drawn by hash from its (shingle, size
+   band) and the bands beside it, with ``LEADERS`` draws: linear in the group.  The one with the
+   nearest bitmap is compared exactly.  What links becomes components, and the next round
+   looks only at shingles whose sets lie in more than one component.
+5. Bands that are still open are cut into tiles of at most about ``TILE`` sets a side, and
+   sets of different components are compared tile by tile; a pair must meet in as many
+   tiles as it must share postings.
 
 Comparing means: the bit count of the xor of two bitmaps bounds the overlap from above;
 pairs that pass get an exact intersection of sorted arrays.  Step 5 looks at every pair
@@ -46,9 +47,10 @@ from rowloom.session import written
 WORDS = 4
 PERCENT = 85
 SLOTS = 1 << 16
-BITS = 2048
+BITS = 1024
 TILE = 256
 LEADERS = 3
+TURNS = 2
 _K1, _K2, _K3 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -78,7 +80,7 @@ def set_digest(s: np.ndarray) -> int:
 
 def bitmap(s: np.ndarray) -> np.ndarray:
     """Parity of the shingles per bit, as 64-bit words."""
-    odd = np.bincount((s >> np.uint64(53)).astype(np.int64), minlength=BITS) & 1
+    odd = np.bincount((s >> np.uint64(54)).astype(np.int64), minlength=BITS) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
@@ -223,15 +225,16 @@ def set_table(df: DataFrame, rows: DataFrame, wanted: DataFrame, doc_id: str, te
                 types = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, types)], names=["n", "d", "bits", "items"])
 
-    return written(found.select("text", "n", "d").mapInArrow(run, "n int, d long, bits binary, items binary"), "sets")
+    sets = found.select("text", "n", "d").mapInArrow(run, "n int, d long, bits binary, items binary")
+    return written(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
 
 
-_PAIR = ["n", "d", "n2", "d2"]
+def _distance(bits: np.ndarray, bits2: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(bits ^ bits2).sum(axis=-1, dtype=np.int64)
 
 
-def _bound_passes(n, n2, bits, bits2, percent: int) -> np.ndarray:
+def _bound_passes(n: np.ndarray, n2: np.ndarray, apart: np.ndarray, percent: int) -> np.ndarray:
     """Can the overlap, at most half of what the bit count leaves, reach the threshold?"""
-    apart = np.bitwise_count(bits ^ bits2).sum(axis=-1, dtype=np.int64)
     most = (n + n2 - apart) // 2
     return 100 * most >= percent * (n + n2 - most)
 
@@ -240,45 +243,51 @@ def _words_of(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITS // 64)
 
 
+def _with_sets(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """``pairs`` of id, id2 with columns of both sets, those of the second one with a 2 behind."""
+    right = sets.select(F.col("id").alias("id2"), *[F.col(c).alias(c + "2") for c in columns])
+    return pairs.join(sets.select("id", *columns), "id").join(right, "id2").select("id", "id2", *columns, *[c + "2" for c in columns])
+
+
 def exact(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs n, d, n2, d2 whose sorted arrays intersect enough."""
-    right = sets.select(F.col("n").alias("n2"), F.col("d").alias("d2"), F.col("items").alias("items2"))
-    joined = pairs.join(sets.select("n", "d", "items"), ["n", "d"]).join(right, ["n2", "d2"])
+    """The pairs whose sorted arrays intersect enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 piece = batch.slice(at, 200)
                 keep = []
-                for a, b in zip(piece.column(4), piece.column(5)):
+                for a, b in zip(piece.column(2), piece.column(3)):
                     x, y = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
                     keep.append(links(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent))
-                yield piece.select([0, 1, 2, 3]).filter(pa.array(keep, pa.bool_()))
+                yield piece.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.select(*_PAIR, "items", "items2").mapInArrow(run, "n int, d long, n2 int, d2 long")
+    return _with_sets(pairs, sets, "items").mapInArrow(run, "id long, id2 long")
 
 
-def bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that the bit counts leave."""
-    right = sets.select(F.col("n").alias("n2"), F.col("d").alias("d2"), F.col("bits").alias("bits2"))
-    joined = pairs.join(sets.select("n", "d", "bits"), ["n", "d"]).join(right, ["n2", "d2"])
+def closest(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """For each id the id2 whose bitmap is nearest, of those that the bit counts leave."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                n, n2 = (b.column(i).to_numpy().astype(np.int64) for i in (0, 2))
-                keep = _bound_passes(n, n2, _words_of(b.column(4)), _words_of(b.column(5)), percent)
-                yield b.select([0, 1, 2, 3]).filter(pa.array(keep))
+                n, n2 = (b.column(i).to_numpy().astype(np.int64) for i in (2, 4))
+                apart = _distance(_words_of(b.column(3)), _words_of(b.column(5)))
+                keep = pa.array(_bound_passes(n, n2, apart, percent))
+                found = pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(apart)], names=["id", "id2", "apart"])
+                yield found.filter(keep)
 
-    return joined.select(*_PAIR, "bits", "bits2").mapInArrow(run, "n int, d long, n2 int, d2 long")
+    left = _with_sets(pairs, sets, "n", "bits").mapInArrow(run, "id long, id2 long, apart long")
+    best = left.groupBy("id").agg(F.min(F.struct("apart", "id2")).alias("best"))
+    return best.select("id", F.col("best.id2").alias("id2"))
 
 
 def _rooted(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
     """``shared`` with the component of each set, without tokens of one component only."""
     if roots is None:
-        return shared.withColumn("root", F.struct("n", "d"))
-    known = shared.drop("root").join(roots.select(F.col("v.n").alias("n"), F.col("v.d").alias("d"), "root"), ["n", "d"], "left")
-    known = known.withColumn("root", F.coalesce("root", F.struct("n", "d")))
+        return shared.withColumn("root", F.col("id"))
+    known = shared.join(roots.withColumnRenamed("v", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    known = written(known, "rooted-postings")
     mixed = known.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("token")
     return written(known.join(mixed, "token", "left_semi"), "open-postings")
 
@@ -289,17 +298,17 @@ def leader_pairs(open_: DataFrame, turn: int, percent: int) -> DataFrame:
     A leader is the set of least hash; tokens draw with one of ``LEADERS`` hashes, new in
     every turn, so a set with many shared tokens meets that many leaders of its group.
     """
-    draw = F.xxhash64(F.lit(turn), F.pmod("token", F.lit(LEADERS)), "n", "d")
-    first = open_.groupBy("token", "band").agg(F.min(F.struct(draw.alias("draw"), "n", "d", "root")).alias("p"))
+    draw = F.xxhash64(F.lit(turn), F.pmod("token", F.lit(LEADERS)), "id")
+    first = open_.groupBy("token", "band").agg(F.min(F.struct(draw.alias("draw"), "n", "id", "root")).alias("p"))
     first = first.select(
         "token",
         F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)).alias("band"),
         F.col("p.n").alias("n2"),
-        F.col("p.d").alias("d2"),
+        F.col("p.id").alias("id2"),
         F.col("p.root").alias("root2"),
     )
     pairs = open_.join(written(first, "leaders"), ["token", "band"]).where("root <> root2").where(_sizes_fit(percent))
-    return pairs.select(*_PAIR).distinct()
+    return pairs.select("id", "id2").distinct()
 
 
 def _sizes_fit(percent: int) -> Column:
@@ -313,7 +322,7 @@ def tile_pairs(open_: DataFrame, sets: DataFrame, percent: int, tile: int = TILE
     cuts = written(cuts, "tile-cuts")
     for name, shift in (("cuts", 0), ("below", 1), ("above", -1)):
         rows = rows.join(cuts.select("token", (F.col("band") + shift).alias("band"), F.col("cuts").alias(name)), ["token", "band"], "left")
-    rows = rows.withColumn("salt", F.pmod(F.col("d"), F.col("cuts")).cast("int"))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int"))
 
     def spread(other: Column, lower: Column, band2: int, left: bool) -> Column:
         """Tiles against parts lower .. other - 1 of a band; empty where there are none."""
@@ -337,9 +346,9 @@ def tile_pairs(open_: DataFrame, sets: DataFrame, percent: int, tile: int = TILE
         spread(F.col("salt"), none, 0, False),
         spread(F.coalesce("below", none), none, -1, False),
     )
-    rows = rows.join(sets.select("n", "d", "bits"), ["n", "d"])
-    rows = rows.select("token", F.explode(tiles).alias("t"), "n", "d", F.xxhash64("root").alias("root"), "bits")
-    rows = rows.select("token", "t.*", "n", "d", "root", "bits")
+    rows = rows.join(sets.select("id", "bits"), "id")
+    rows = rows.select("token", F.explode(tiles).alias("t"), "n", "id", "root", "bits")
+    rows = rows.select("token", "t.*", "n", "id", "root", "bits")
     key = ["token", "b1", "s1", "b2", "s2"]
     ordered = rows.repartition(*key).sortWithinPartitions(*key)
 
@@ -356,9 +365,10 @@ def tile_pairs(open_: DataFrame, sets: DataFrame, percent: int, tile: int = TILE
         n, n2 = cut["n"][i], cut["n"][j]
         ok = 100 * np.minimum(n, n2) >= percent * np.maximum(n, n2)
         i, j = i[ok], j[ok]
-        keep = _bound_passes(cut["n"][i], cut["n"][j], cut["bits"][i], cut["bits"][j], percent)
+        apart = _distance(cut["bits"][i], cut["bits"][j])
+        keep = _bound_passes(cut["n"][i], cut["n"][j], apart, percent)
         i, j = i[keep], j[keep]
-        return [np.array([cut["n"][i], cut["d"][i], cut["n"][j], cut["d"][j]])] if len(i) else []
+        return [np.array([cut["id"][i], cut["id"][j], np.minimum(cut["n"][i], cut["n"][j])])] if len(i) else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: dict[str, np.ndarray] | None = None
@@ -368,12 +378,9 @@ def tile_pairs(open_: DataFrame, sets: DataFrame, percent: int, tile: int = TILE
             return t | {"n": t["n"].astype(np.int64), "bits": _words_of(b.column(b.schema.names.index("bits")))}
 
         def result(found: list[np.ndarray]) -> pa.RecordBatch:
-            f = np.concatenate(found, axis=1) if found else np.empty((4, 0), np.int64)
-            swap = (f[0] > f[2]) | ((f[0] == f[2]) & (f[1] > f[3]))
-            f = np.where(swap, f[[2, 3, 0, 1]], f)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(f[0], pa.int32()), pa.array(f[1]), pa.array(f[2], pa.int32()), pa.array(f[3])], names=_PAIR
-            )
+            f = np.concatenate(found, axis=1) if found else np.empty((3, 0), np.int64)
+            cells = [np.minimum(f[0], f[1]), np.maximum(f[0], f[1]), f[2]]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cells], names=["id", "id2", "least"])
 
         for b in batches:
             if not b.num_rows:
@@ -395,40 +402,36 @@ def tile_pairs(open_: DataFrame, sets: DataFrame, percent: int, tile: int = TILE
             yield result(compare(rest, 0, len(rest["n"])))
 
     # A pair meets once per token that both have: linked sets meet as often as the smaller one needs.
-    met = ordered.mapInArrow(run, "n int, d long, n2 int, d2 long").groupBy(*_PAIR).agg(F.count("*").alias("met"))
-    return met.where(F.col("met") >= need(F.least("n", "n2"), percent)).select(*_PAIR)
-
-
-def _edges(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.struct("n", "d").alias("u"), F.struct(F.col("n2").alias("n"), F.col("d2").alias("d")).alias("v"))
+    met = ordered.mapInArrow(run, "id long, id2 long, least long").groupBy("id", "id2", "least").agg(F.count("*").alias("met"))
+    return met.where(F.col("met") >= need(F.col("least"), percent)).select("id", "id2")
 
 
 def similar_sets(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, tile: int = TILE
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, key, n, d), and v, root of the linked sets."""
+    """Rows (doc_id, key, n, d), and n, d, root of the linked sets."""
     rows, counts = profile(df, doc_id, text, words)
     shared = shared_postings(postings(df, text, counts, words, percent), percent)
     sets = set_table(df, rows, shared.select("n", "d").distinct(), doc_id, text, words)
-    found, roots, turn = None, None, 0
-    while True:
-        open_ = _rooted(shared, roots)
-        near = written(exact(bounded(leader_pairs(open_, turn, percent), sets, percent), sets, percent), "links")
-        if near.isEmpty():
-            break
-        found, turn = (near if found is None else found.union(near)), turn + 1
-        roots = components(_edges(found))
-    rest = written(exact(tile_pairs(open_, sets, percent, tile), sets, percent), "links")
-    if roots is None or not rest.isEmpty():
-        roots = components(_edges(rest if found is None else found.union(rest)))
-    return rows, roots
+    shared = written(shared.join(sets.select("n", "d", "id"), ["n", "d"]).select("token", "band", "n", "id"), "set-postings")
+    edges = F.col("id").alias("u"), F.col("id2").alias("v")
+    found, roots = None, None
+    for turn in range(TURNS):
+        near = written(exact(closest(leader_pairs(_rooted(shared, roots), turn, percent), sets, percent), sets, percent), "links")
+        found = near if found is None else found.union(near)
+        roots = components(found.select(*edges))
+    rest = written(exact(tile_pairs(_rooted(shared, roots), sets, percent, tile), sets, percent), "links")
+    if not rest.isEmpty():
+        roots = components(found.union(rest).select(*edges))
+    roots = roots.union(roots.select(F.col("root").alias("v"), "root").distinct())
+    return rows, roots.join(sets.select("n", "d", F.col("id").alias("v")), "v").select("n", "d", "root")
 
 
 def components_of(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """One row per row: doc_id, key, n_shingles, component_id."""
     rows, roots = similar_sets(df, doc_id, text, **how)
-    roots = roots.select(F.col("v.n").alias("n"), F.col("v.d").alias("d"), "root")
-    rows = written(rows.join(roots, ["n", "d"], "left").withColumn("root", F.coalesce("root", F.struct("n", "d"))), "rooted")
+    group = F.when(F.col("root").isNull(), F.struct("n", "d")).otherwise(F.struct(F.lit(-1).alias("n"), F.col("root").alias("d")))
+    rows = written(rows.join(roots, ["n", "d"], "left").withColumn("root", group), "rooted")
     least = written(rows.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least")), "least-ids")
     joined = rows.join(least, "root", "left")
     component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
