@@ -147,5 +147,7 @@ def keep_good(df: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text")
     The columns travel as one struct, so names of the counts cannot clash with them.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__q_row")
-    judged = judge(measures(df, [row], text), rules).where("kept")
-    return judged.select(*[F.col("__q_row")[c].alias(c) for c in df.columns])
+    judged = judge(measures(df, [row], text), rules)
+    # A plain filter on ``kept`` would be pushed down with all counts written out in it, again and again.
+    kept = judged.select(F.explode_outer(F.when(F.col("kept"), F.array("__q_row"))).alias("__q_row"))
+    return kept.where("__q_row is not null").select(*[F.col("__q_row")[c].alias(c) for c in df.columns])
