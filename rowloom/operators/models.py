@@ -67,7 +67,8 @@ def fit_classifier(
     seed: int = 42,
 ):
     """Train MLlib's multilayer perceptron on array features; labels count from 0."""
-    output_dim("multiclass", num_classes=num_classes)
+    if num_classes < 2:
+        raise ModelError(f"a classifier needs two classes, not {num_classes}", "tabular_mlp_bad_num_classes")
     data = df.select(
         array_to_vector(F.transform(col(features), lambda x: x.cast("double"))).alias("v"),
         col(target).cast("double").alias("label"),
@@ -79,6 +80,26 @@ def fit_classifier(
     return trainer.fit(data)
 
 
+def class_labels(df: DataFrame, target: str, num_classes: int) -> list:
+    """The distinct labels in order; a label's place is its class.  ``num_classes`` bounds the list."""
+    found = df.select(col(target).alias("label")).where("label is not null").distinct().orderBy("label")
+    labels = [r["label"] for r in found.limit(num_classes + 1).collect()]
+    if len(labels) > num_classes:
+        raise ModelError(f"more than {num_classes} labels", "tabular_mlp_bad_num_classes")
+    return labels
+
+
+def label_index(label: Column, labels: Sequence) -> Column:
+    """Class number of a label, NULL for one that is not listed."""
+    place = F.array_position(F.array(*[F.lit(v) for v in labels]), label)
+    return F.nullif(place, F.lit(0)) - 1
+
+
+def index_label(index: Column, labels: Sequence) -> Column:
+    """The label of a class number."""
+    return F.get(F.array(*[F.lit(v) for v in labels]), index.cast("int"))
+
+
 def classify(model, df: DataFrame, features: str = "features") -> DataFrame:
     """Add ``prediction`` and ``probability`` (array) of a fitted classifier."""
     ready = df.withColumn("v", array_to_vector(F.transform(col(features), lambda x: x.cast("double"))))
@@ -88,25 +109,6 @@ def classify(model, df: DataFrame, features: str = "features") -> DataFrame:
     )
 
 
-def output_dim(task_type: str, outputs: int | None = None, num_classes: int | None = None) -> int:
-    """Width of the last layer for a task."""
-    if task_type == "regression":
-        if outputs is not None and outputs <= 0:
-            raise ModelError("outputs must be positive", "tabular_mlp_bad_output_dim_regression")
-        return outputs or 1
-    if task_type == "binary":
-        if outputs not in (None, 1):
-            raise ModelError("a binary task has one logit", "tabular_mlp_bad_output_dim_binary")
-        return 1
-    if num_classes is None:
-        raise ModelError("num_classes is needed", "tabular_mlp_missing_num_classes")
-    if num_classes <= 1:
-        raise ModelError("at least two classes are needed", "tabular_mlp_bad_num_classes")
-    if outputs not in (None, num_classes):
-        raise ModelError("one output per class", "tabular_mlp_bad_output_dim_multiclass")
-    return num_classes
-
-
 @dataclass(frozen=True)
 class Layer:
     """Affine layer with optional normalisation at inference, then an activation.
@@ -127,7 +129,16 @@ class Layer:
 
 
 def _erf(x: np.ndarray) -> np.ndarray:
-    return np.vectorize(math.erf, otypes=[float])(x)
+    """Error function by its all-positive series; beyond 6 it is 1 in double precision."""
+    near = np.clip(x, -6.0, 6.0)
+    square = near * near
+    term = total = near * (2.0 / math.sqrt(math.pi)) * np.exp(-square)
+    for n in range(1, 200):
+        term = term * (2.0 * square / (2 * n + 1))
+        total = total + term
+        if not (np.abs(term) > 1e-17).any():
+            break
+    return total
 
 
 ACTIVATIONS = {

@@ -49,7 +49,9 @@ def condition(df: DataFrame, query: Mapping[str, Any]) -> Column:
             parts.append(reduce((lambda a, b: a & b) if key == "$and" else (lambda a, b: a | b), inner))
         elif key.startswith("$"):
             raise _refuse(f"unsupported operator {key}")
-        elif isinstance(wanted, Mapping) and any(str(k).startswith("$") for k in wanted):
+        elif isinstance(wanted, Mapping) and not any(str(k).startswith("$") for k in wanted):
+            parts.append(_equals_document(df, key, wanted))
+        elif isinstance(wanted, Mapping):
             for operator, value in wanted.items():
                 if operator not in COMPARISONS:
                     raise _refuse(f"unsupported operator {operator}")
@@ -60,6 +62,63 @@ def condition(df: DataFrame, query: Mapping[str, Any]) -> Column:
     return F.coalesce(reduce(lambda a, b: a & b, parts, F.lit(True)), F.lit(False))
 
 
+def _equals_document(df: DataFrame, key: str, wanted: Mapping[str, Any]) -> Column:
+    """An embedded document equals another when all fields do; fields it lacks must be missing."""
+    fields = df.select(_field(df, key).alias("d")).schema["d"].dataType
+    if not isinstance(fields, T.StructType):
+        raise _refuse(f"{key} is no embedded document")
+    if set(wanted) - set(fields.names):
+        return F.lit(False)
+    parts = [_field(df, key).isNotNull()]
+    for name in fields.names:
+        path, value = f"{key}.{name}", wanted.get(name)
+        if isinstance(value, Mapping):
+            parts.append(_equals_document(df, path, value))
+        else:
+            parts.append(_field(df, path).isNull() if value is None else _field(df, path) == F.lit(value))
+    return reduce(lambda a, b: a & b, parts)
+
+
+def _nested(df: DataFrame, projection: Mapping[str, int]) -> list[Column]:
+    """Projection of fields inside embedded documents."""
+    flags = {k: bool(v) for k, v in projection.items() if k != "_id"}
+    if len(set(flags.values())) > 1:
+        raise _refuse("a projection either includes or excludes fields")
+    tops = {k.split(".")[0] for k in flags}
+    keep_id = bool(projection.get("_id", True))
+    out = []
+    for c in df.columns:
+        own = F.col(f"`{c}`")
+        inner = [k.split(".", 1)[1] for k in flags if k.startswith(c + ".")]
+        if c == "_id" and not keep_id:
+            continue
+        if inner and not isinstance(df.schema[c].dataType, T.StructType):
+            raise _refuse(f"{c} is no embedded document")
+        if not all(flags.values()):
+            if c in flags:
+                continue
+            out.append(own.dropFields(*inner).alias(c) if inner else own)
+        elif c in flags or (c == "_id" and keep_id and "_id" not in tops):
+            out.append(own)
+        elif inner:
+            out.append(_picked(own, df.schema[c].dataType, inner).alias(c))
+    return out
+
+
+def _picked(value: Column, kind: T.StructType, paths: Sequence[str]) -> Column:
+    """The named fields of an embedded document, itself missing where the document is."""
+    fields = []
+    for name in kind.names:
+        below = [p.split(".", 1)[1] for p in paths if p.startswith(name + ".")]
+        if name in paths:
+            fields.append(value[name].alias(name))
+        elif below:
+            fields.append(_picked(value[name], kind[name].dataType, below).alias(name))
+    if not fields:
+        raise _refuse(f"no such field: {list(paths)}")
+    return F.when(value.isNotNull(), F.struct(*fields))
+
+
 def _projected(df: DataFrame, projection: Mapping[str, int] | None) -> list[str]:
     if not projection:
         return df.columns
@@ -75,13 +134,20 @@ def _projected(df: DataFrame, projection: Mapping[str, int] | None) -> list[str]
     return [c for c in df.columns if c not in flags and (c != "_id" or keep_id)]
 
 
-def read_collection(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Documents of a JSON-lines path; give a schema to save the inference pass."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
+def read_collection(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, mode: str = "FAILFAST"
+) -> DataFrame:
+    """Documents of a JSON-lines path; give a schema to save the inference pass.
+
+    A line that is no document fails the job.  ``mode="PERMISSIVE"`` keeps it as a row,
+    with its text where the schema has the column ``_corrupt_record``.
+    """
+    reader = spark.read.option("mode", mode)
+    reader = reader if schema is None else reader.schema(schema)
     try:
         return reader.json(path)
     except PySparkException as error:
-        raise DataError(f"cannot read {path}", "mongo_load_error", {"path": path}, cause=error) from error
+        raise DataError(f"cannot read {path}", "mongo_load_error", {"path": path}) from error
 
 
 def find(
@@ -101,6 +167,9 @@ def find(
         df = df.orderBy(*[_field(df, f).asc() if d == 1 else _field(df, f).desc() for f, d in sort])
     if limit is not None and limit > 0:
         df = df.limit(int(limit))
+    if projection and any("." in k for k in projection):
+        nested = df.select(*_nested(documents, projection))
+        return nested.drop("_id") if drop_id else nested
     names = _projected(documents, projection)
     if drop_id:
         names = [c for c in names if c != "_id"]

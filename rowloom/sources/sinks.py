@@ -22,16 +22,15 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def flatten(nested: Mapping[str, Any], sep: str = ".", prefix: str = "") -> dict[str, Any]:
-    """Nested settings as one level of dotted keys; keys of any type become text."""
-    flat: dict[str, Any] = {}
-    for key, value in nested.items():
-        name = f"{prefix}{key}"
+def flatten(nested: Mapping[str, Any], sep: str = ".") -> dict[str, Any]:
+    """Nested settings as one level: the path of keys to each leaf, as text."""
+    open_, leaves = [((str(k),), v) for k, v in nested.items()], {}
+    for path, value in open_:  # grows while it is walked
         if isinstance(value, Mapping):
-            flat.update(flatten(value, sep, name + sep))
+            open_ += [((*path, str(k)), v) for k, v in value.items()]
         else:
-            flat[name] = value
-    return flat
+            leaves[sep.join(path)] = value
+    return leaves
 
 
 def params_frame(
@@ -54,12 +53,22 @@ def log_params(
 def log_metrics(
     spark: SparkSession, path: str, run_id: str, metrics: Mapping[str, float], step: int | None = None
 ) -> None:
-    """Append one step's metrics to the Parquet table at ``path``."""
+    """Append one step's metrics to the Parquet table at ``path``: one small file per call.
+
+    For many steps give them to :func:`log_steps` or :func:`log_history` at once.
+    """
     if metrics:
         rows = [(run_id, step, name, float(value)) for name, value in metrics.items()]
         small_table(spark, rows, _METRICS).write.mode("append").parquet(path)
 
 
+def log_steps(spark: SparkSession, path: str, run_id: str, steps: Mapping[int, Mapping[str, float]]) -> None:
+    """Append the metrics of many steps in one write."""
+    rows = [(run_id, step, name, float(value)) for step, metrics in steps.items() for name, value in metrics.items()]
+    if rows:
+        small_table(spark, rows, _METRICS).coalesce(1).write.mode("append").parquet(path)
+
+
 def log_history(history: DataFrame, path: str) -> None:
     """Append a whole long history ``(run_id, step, metric, value)`` computed by Spark."""
     history.select("run_id", "step", "metric", "value").write.mode("append").parquet(path)

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -24,7 +25,7 @@ def query(spark: SparkSession, text: str, params: Mapping[str, Any] | None = Non
     try:
         return spark.sql(text, args=dict(params)) if params else spark.sql(text)
     except PySparkException as error:
-        raise DataError(f"query failed: {text[:500]}", "sql_query_error", cause=error) from error
+        raise DataError(f"query failed: {text[:500]}", "sql_query_error") from error
 
 
 def table(
@@ -40,7 +41,7 @@ def table(
         if columns:
             df = df.select(*[col(c) for c in columns])
     except PySparkException as error:
-        raise DataError(f"cannot read table {name}", "sql_query_error", cause=error) from error
+        raise DataError(f"cannot read table {name}", "sql_query_error") from error
     return df.limit(int(limit)) if limit is not None and limit > 0 else df
 
 
@@ -89,9 +90,12 @@ def jdbc(
     spark: SparkSession, options: Mapping[str, str], columns: Sequence[str] | None = None, limit: int | None = None
 ) -> DataFrame:
     """Scan an external database.  ``where`` on the result is pushed to the database."""
-    df = spark.read.format("jdbc").options(**options).load()
-    if columns:
-        df = df.select(*[col(c) for c in columns])
+    try:
+        df = spark.read.format("jdbc").options(**options).load()
+        if columns:
+            df = df.select(*[col(c) for c in columns])
+    except (PySparkException, Py4JJavaError) as error:
+        raise DataError("cannot read from the database", "sql_load_error") from error
     return df.limit(int(limit)) if limit is not None and limit > 0 else df
 
 
@@ -102,5 +106,5 @@ def write_rows(df: DataFrame, path: str, mode: str = "append", format: str = "pa
     try:
         counted.write.mode(mode).format(format).options(**options).save(path)
     except PySparkException as error:
-        raise DataError(f"write to {path} failed", "sql_execution_error", cause=error) from error
+        raise DataError(f"write to {path} failed", "sql_execution_error") from error
     return int(seen.get["rows"])

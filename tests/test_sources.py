@@ -4,6 +4,7 @@ import pandas as pd
 import pyarrow as pa
 import pytest
 from pyarrow import feather
+from pyspark.errors import PySparkException
 
 from rowloom import session
 from rowloom.errors import DataError
@@ -20,8 +21,9 @@ def codes(call):
 
 def test_formats(spark, tmp_path):
     assert [files.infer_format(p) for p in ("a/b.PARQUET", "x.pq", "x.ft", "x.feather", "x.tsv", "x")] == [
-        "parquet", "parquet", "feather", "feather", "csv", "csv",
+        "parquet", "csv", "csv", "feather", "csv", "csv",
     ]
+    assert files.infer_format("s3a://b/orders.parquet/") == "parquet"
     path = tmp_path / "t.csv"
     path.write_text("a,b\n1,x\n2,y\n")
     df = files.load_table(spark, str(path), required_columns=["a"])
@@ -156,3 +158,46 @@ def test_released_tables_are_gone(spark, tmp_path, monkeypatch):
     table = written(spark.range(3), "test")
     assert table.count() == 3 and list(tmp_path.glob("rowloom/*/test-*"))
     assert session.release(spark) and not list(tmp_path.glob("rowloom/*"))
+
+
+def test_csv_schema_is_matched_by_name(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("price,id,note\n1.5,7,x\n2.5,8,y\n")
+    df = files.load_table(spark, str(path), schema="id int, price double")
+    assert [tuple(r) for r in df.orderBy("id").collect()] == [(7, 1.5), (8, 2.5)]
+    assert codes(lambda: files.load_table(spark, str(path), schema="id int, cost double")) == "data_missing_columns"
+    assert codes(lambda: files.load_table(spark, str(path), schema="id int", required_columns=["cost"])) == "data_missing_columns"
+
+
+def test_bad_rows_are_never_silent(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("id,price\n1,2.0\n2,abc\n3,4.0,9\n4,5.0\n")
+    with pytest.raises(PySparkException):
+        files.load_table(spark, str(path), schema="id int, price double").collect()
+    kept = files.load_table(spark, str(path), schema="id int, price double", bad_rows="keep")
+    assert tuple(files.row_quality(kept).first()) == (2, 2)
+    assert kept.where(f"{files.BAD_ROW} is null").count() == 2
+    lines = tmp_path / "d.json"
+    lines.write_text('{"a": 1}\nnot json\n')
+    with pytest.raises(PySparkException):
+        documents.read_collection(spark, str(lines), "a int").collect()
+    assert documents.read_collection(spark, str(lines), "a int, _corrupt_record string", "PERMISSIVE").where("a is null").count() == 1
+
+
+def test_embedded_documents(spark):
+    df = spark.createDataFrame([(1, (2, "u")), (2, (3, None)), (3, None)], "_id int, meta struct<n:int,role:string>")
+    find = lambda q=None, p=None, **o: [r.asDict(True) for r in documents.find(df, q, p, **o).collect()]
+    assert find(p={"meta.role": 1}) == [{"meta": {"role": "u"}}, {"meta": {"role": None}}, {"meta": None}]
+    assert find(p={"meta.role": 0}, drop_id=False)[0] == {"_id": 1, "meta": {"n": 2}}
+    assert find({"meta": {"n": 2, "role": "u"}}) == [{"meta": {"n": 2, "role": "u"}}]
+    assert find({"meta": {"n": 3}}) == [{"meta": {"n": 3, "role": None}}]
+    assert find({"meta": {"n": 2}}) == [] and find({"meta": {"x": 2}}) == []
+    with pytest.raises(DataError):
+        documents.find(df, {"_id": {"n": 2}})
+
+
+def test_metrics_of_many_steps_in_one_file(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    sinks.log_steps(spark, path, "r", {i: {"loss": 1.0 / (i + 1)} for i in range(20)})
+    assert spark.read.parquet(path).count() == 20 and len(list((tmp_path / "runs").glob("part-*"))) == 1
+    assert sinks.flatten({"a": {"b": 1, 2: {}}, "c": None}) == {"a.b": 1, "c": None}
