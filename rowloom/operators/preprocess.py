@@ -2,14 +2,16 @@
 
 Fitting runs one statistics job for the numeric columns and one counting job for the
 categorical ones.  The fitted numbers are a few per column and travel in the plan;
-a category list does so only up to ``max_dense_categories``, longer ones stay a
-written table that is joined.
+the encoding of categories is chosen by the spec, never by their number: ``dense`` gives
+an indicator column each, ``sparse`` one struct of size and set position, ``index`` the position.
+The last two keep (value, index) as a table that is joined, for any number of categories.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -20,6 +22,7 @@ from rowloom.operators.tables import infer_roles
 from rowloom.session import small_table, written
 
 INFREQUENT = "<infrequent>"
+ENCODINGS = ("dense", "sparse", "index")
 
 
 @dataclass(frozen=True)
@@ -37,7 +40,7 @@ class PreprocessSpec:
     max_categories: int | None = None
     remainder: str = "drop"  # drop, passthrough
     approx_median: bool = False
-    max_dense_categories: int = 200
+    encoding: str = "dense"  # dense, sparse, index
 
 
 @dataclass(frozen=True)
@@ -52,7 +55,8 @@ class NumericFit:
 class CategoryFit:
     """Sorted categories with an indicator each; the rest of the seen ones share one.
 
-    ``table`` holds (value, index) for a column with too many categories for indicators.
+    ``table`` holds (value, index) for the encodings without a column per category, and
+    ``size`` the number of positions.
     """
 
     column: str
@@ -60,6 +64,7 @@ class CategoryFit:
     categories: tuple[str, ...] = ()
     infrequent: tuple[str, ...] = ()
     table: str | None = None
+    size: int | None = None
 
 
 @dataclass(frozen=True)
@@ -79,10 +84,26 @@ class Preprocessor:
             rows.append((c.column, "fill", None, c.fill))
             rows += [(c.column, "category", float(i), v) for i, v in enumerate(c.categories)]
             rows += [(c.column, "infrequent", None, v) for v in c.infrequent]
+            if c.table is not None:
+                rows.append((c.column, "table", float(c.size), c.table))
         return small_table(spark, rows, "column string, parameter string, number double, text string")
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write everything that was fitted below ``path``: it outlives the application."""
+        moved = []
+        for i, c in enumerate(self.categorical):
+            if c.table is not None:
+                spark.read.parquet(c.table).write.mode("overwrite").parquet(f"{path}/table-{i}")
+                c = replace(c, table=f"table-{i}")
+            moved.append(c)
+        kept = replace(self, categorical=tuple(moved))
+        about = json.dumps({"spec": asdict(self.spec), "used": list(self.used), "order": [c.column for c in (*self.numeric, *self.categorical)]})
+        extra = small_table(spark, [("", "about", None, about)], "column string, parameter string, number double, text string")
+        kept.parameters(spark).union(extra).coalesce(1).write.mode("overwrite").parquet(f"{path}/parameters")
+
     def transform(self, df: DataFrame, validate: str = "eager") -> DataFrame:
-        """Numeric columns in place, ``{column}__{category}`` indicators, then the remainder.
+        """Numeric columns in place, then the categories (``{column}__{category}`` indicators,
+        ``{column}__onehot`` or ``{column}__index``), then the remainder.
 
         A projection (plus a join per written category table), so it also applies to
         streams; there use ``validate="lazy"`` with ``handle_unknown="error"``.
@@ -96,17 +117,19 @@ class Preprocessor:
             if c.table is None:
                 out += _indicators(df, c, strict and validate == "lazy")
             else:
-                index = f"{c.column}__index"
-                table = df.sparkSession.read.parquet(c.table).select(
-                    col("value").alias(f"__value_{c.column}"), col("index").alias(index)
-                )
-                df = df.join(table, _text(df, c) == col(f"__value_{c.column}"), "left")
-                out.append(col(index))
+                value, index = f"__value_{c.column}", f"__index_{c.column}"
+                table = df.sparkSession.read.parquet(c.table).select(col("value").alias(value), col("index").alias(index))
+                text = _text(df, c)
+                df = df.join(table, text == col(value), "left")
+                found = col(index)
+                if strict and validate == "lazy":
+                    message = F.concat(F.lit(f"[unknown_category] {c.column}: "), text)
+                    found = F.when(text.isNull() | found.isNotNull(), found).otherwise(F.raise_error(message).cast("bigint"))
+                out.append(_placed(c, self.spec.encoding, found))
         if self.spec.remainder == "passthrough":
             used = {*self.used, *self.spec.drop_features}
-            rest = [c for c in df.columns if c not in used and not c.startswith("__value_")]
-            taken = {f"{c.column}__index" for c in self.categorical if c.table}
-            out += [col(c) for c in rest if c not in taken]
+            joined = {f"__{kind}_{c.column}" for c in self.categorical if c.table for kind in ("value", "index")}
+            out += [col(c) for c in df.columns if c not in used and c not in joined]
         return df.select(*out)
 
     def _refuse_unknown(self, df: DataFrame) -> None:
@@ -239,8 +262,10 @@ def _fit_categories(df: DataFrame, columns: Sequence[str], spec: PreprocessSpec)
         filled = filled.withColumn("rare", F.col("count") < spec.min_frequency)
     else:
         filled = filled.withColumn("rare", F.lit(False))
+    if spec.encoding not in ENCODINGS:
+        raise ValueError(f"unknown encoding {spec.encoding!r}")
     sizes = {r["column"]: r for r in filled.groupBy("column").agg(F.count("*").alias("k"), F.count_if("rare").alias("r")).collect()}
-    dense = [c for c in columns if c in sizes and sizes[c]["k"] <= spec.max_dense_categories]
+    dense = [c for c in columns if c in sizes and spec.encoding == "dense"]
     rows = filled.where(F.col("column").isin(dense)).collect() if dense else []
 
     fitted = []
@@ -253,7 +278,8 @@ def _fit_categories(df: DataFrame, columns: Sequence[str], spec: PreprocessSpec)
             fitted.append(CategoryFit(c, fills[c], kept, rest))
         else:
             ranked = filled.where(F.col("column") == c)
-            fitted.append(CategoryFit(c, fills[c], table=_index_table(ranked, spec.max_categories, sizes[c])))
+            table, size = _index_table(ranked, spec.max_categories, sizes[c])
+            fitted.append(CategoryFit(c, fills[c], table=table, size=size))
     return fitted
 
 
@@ -275,8 +301,11 @@ def _frequent(counts: dict[str, tuple[int, bool]], limit: int | None) -> tuple[t
     return tuple(frequent), tuple(sorted(v for v in counts if v not in frequent))
 
 
-def _index_table(filled: DataFrame, limit: int | None, size) -> str:
-    """Write (value, index): index by category order, one shared last index for rare ones."""
+def _index_table(filled: DataFrame, limit: int | None, size) -> tuple[str, int]:
+    """Write (value, index), index by category order with one shared last index for rare ones; and the number of indices.
+
+    The categories kept under a limit are those of :func:`_frequent`.
+    """
     from rowloom.operators.ordering import dense_index
     from rowloom.session import scratch_path
 
@@ -284,18 +313,51 @@ def _index_table(filled: DataFrame, limit: int | None, size) -> str:
     n_kept = size["k"] - size["r"]
     outputs = n_kept + (1 if size["r"] else 0)
     if limit is not None and outputs > limit:
-        by_count = dense_index(filled.where("not rare"), [-F.col("count"), F.col("value")], "place")
+        # Least frequent first; equal counts give way in category order.
+        by_count = dense_index(filled.where("not rare"), [F.col("count"), F.col("value")], "place")
+        dropped = n_kept - max(limit - 1, 0)
         ranked = dense_index(
             filled.join(by_count.select("value", "place"), "value", "left").withColumn(
-                "rare", F.coalesce(F.col("place") >= limit - 1, F.lit(True))
+                "rare", F.coalesce(F.col("place") < dropped, F.lit(True))
             ),
             [F.col("rare"), F.col("value")],
             "index",
         )
         n_kept = max(limit - 1, 0)
+        outputs = n_kept + 1
     path = scratch_path(filled.sparkSession, "category-index")
     ranked.select("value", F.least("index", F.lit(n_kept).cast("bigint")).alias("index")).write.parquet(path)
-    return path
+    return path, outputs
+
+
+def _placed(c: CategoryFit, encoding: str, index: Column) -> Column:
+    """The position as a column of its own, or as a one-hot vector with at most one set entry."""
+    if encoding == "index":
+        return index.alias(f"{c.column}__index")
+    return F.struct(F.lit(c.size).cast("int").alias("size"), index.cast("int").alias("index")).alias(f"{c.column}__onehot")
+
+
+def load_preprocessor(spark: SparkSession, path: str) -> Preprocessor:
+    """A preprocessor that :meth:`Preprocessor.save` wrote."""
+    rows = spark.read.parquet(f"{path}/parameters").collect()  # a few per column, and the listed categories
+    about = json.loads(next(r["text"] for r in rows if r["parameter"] == "about"))
+    numeric, categorical = [], []
+    for column in about["order"]:
+        mine = [r for r in rows if r["column"] == column]
+        one = {r["parameter"]: r for r in mine}
+        if "centre" in one:
+            numeric.append(NumericFit(column, *(one[k]["number"] for k in ("fill", "centre", "scale"))))
+            continue
+        listed = tuple(r["text"] for r in sorted((r for r in mine if r["parameter"] == "category"), key=lambda r: r["number"]))
+        rare = tuple(r["text"] for r in mine if r["parameter"] == "infrequent")
+        table = one.get("table")
+        categorical.append(
+            CategoryFit(
+                column, one["fill"]["text"], listed, tuple(sorted(rare)),
+                f"{path}/{table['text']}" if table else None, int(table["number"]) if table else None,
+            )
+        )
+    return Preprocessor(PreprocessSpec(**about["spec"]), tuple(numeric), tuple(categorical), tuple(about["used"]))
 
 
 def _text(df: DataFrame, c: CategoryFit) -> Column:

@@ -10,6 +10,7 @@ from rowloom.operators.preprocess import (
     build_preprocessor,
     fit_preprocessor,
     fit_transform_preprocessor,
+    load_preprocessor,
     standardize,
 )
 
@@ -66,13 +67,48 @@ def test_rare_categories_share_an_indicator(train, test):
     ({"min_frequency": 2}, [0, 0, 0, 1, 1, 2, 0]),
     ({"max_categories": 2}, [0, 0, 0, 1, 1, 1, 0]),
 ])
-def test_long_category_lists_become_an_index(train, test, options, expected):
-    fitted = fit_preprocessor(train, labels(max_dense_categories=1, **options))
+def test_index_encoding(train, test, options, expected):
+    fitted = fit_preprocessor(train, labels(encoding="index", **options))
     assert column(fitted.transform(train), "c__index", "i") == expected
     assert column(fitted.transform(test), "c__index", "i")[:3] == [0, None, 0]
     assert set(fitted.transform(test).columns) == {"i", "c__index"}
 
 
+@pytest.mark.parametrize("limit", [1, 2, 3, 4, None])
+def test_dense_and_sparse_keep_the_same_categories(spark, limit):
+    """Equal counts: b and c stay at a limit of three, whatever the encoding."""
+    df = spark.createDataFrame(list(enumerate(["a", "a", "b", "b", "c", "c", "d"])), "i int, c string")
+    dense = fit_preprocessor(df, labels(max_categories=limit))
+    sparse = fit_preprocessor(df, labels(max_categories=limit, encoding="sparse"))
+    names, rows = indicators(dense.transform(df))
+    got = [(r["c__onehot"]["size"], r["c__onehot"]["index"]) for r in sparse.transform(df).orderBy("i").collect()]
+    assert got == [(len(names), r.index(1)) for r in rows]
+    if limit == 3:
+        assert names[:2] == ["c__b", "c__c"]
+
+
+@pytest.mark.parametrize("encoding", ["dense", "sparse", "index"])
+def test_unknown_values_stop_every_encoding(train, test, encoding):
+    strict = fit_preprocessor(train, labels(handle_unknown="error", encoding=encoding))
+    with pytest.raises(DataError) as error:
+        strict.transform(test)
+    assert error.value.code == "unknown_category"
+    with pytest.raises(PySparkException, match="unknown_category"):
+        strict.transform(test, validate="lazy").collect()
+    assert strict.transform(train, validate="lazy").count() == 7
+
+
+@pytest.mark.parametrize("encoding", ["dense", "sparse"])
+def test_saved_and_loaded(spark, train, test, tmp_path, encoding):
+    spec = PreprocessSpec(["i"], ["c"], encoding=encoding, min_frequency=2)
+    fitted = fit_preprocessor(train, spec)
+    fitted.save(spark, str(tmp_path / "fitted"))
+    loaded = load_preprocessor(spark, str(tmp_path / "fitted"))
+    assert str(loaded.spec).replace("(", "[").replace(")", "]") == str(spec).replace("(", "[").replace(")", "]") and loaded.used == fitted.used and loaded.numeric == fitted.numeric
+    assert loaded.transform(test).collect() == fitted.transform(test).collect()
+
+
+
 def test_numeric_imputation_and_scaling(spark):
     df = spark.createDataFrame([(1, 1.0, 5), (2, None, 5), (3, 4.0, 5), (4, 4.0, 5)], "i int, x double, k int")
     fill = lambda **o: fit_preprocessor(df, PreprocessSpec(["x"], (), **o)).numeric[0].fill
