@@ -91,18 +91,35 @@ def moment(
     )
 
 
+# A clock time with a zone behind it: read as that moment in UTC.
+_ZONED = r":[0-9]{2}([.][0-9]+)?\s*(Z|UTC|[+-][0-9]{1,2}(:?[0-9]{2})?)\s*$"
+_EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+
+
+def _utc_clock(moment_: Column) -> Column:
+    """Clock time in UTC of a moment, whatever the session's zone."""
+    seconds = (F.unix_micros(moment_).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return F.expr(_EPOCH) + F.make_dt_interval(zero, zero, zero, seconds)
+
+
 def parsed_time(name: str, fmt: str | None = None) -> Column:
-    """Text as a time without zone, NULL where it does not parse."""
-    parsed = F.try_to_timestamp(col(name), F.lit(fmt)) if fmt else F.try_to_timestamp(col(name))
-    return parsed.cast("timestamp_ntz")
+    """Text as a time without zone, NULL where it does not parse; the session's zone plays no part."""
+    text = col(name)
+    if fmt:
+        # Read as UTC and written down in UTC.
+        return _utc_clock(F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(f"{fmt} xx")))
+    return F.when(text.rlike(_ZONED), _utc_clock(text.try_cast("timestamp"))).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def strict_moment(df: DataFrame, name: str, fmt: str | None = None) -> Column:
     """Parse as timestamp and fail the job on the first bad value (ANSI)."""
     if is_temporal(type_of(df, name)):
         return moment(df, name)
-    parsed = F.to_timestamp(col(name), fmt) if fmt else F.to_timestamp(col(name))
-    return parsed.cast("timestamp_ntz")
+    text = col(name)
+    if fmt:
+        return _utc_clock(F.to_timestamp(F.concat(text, F.lit(" +0000")), f"{fmt} xx"))
+    return F.when(text.rlike(_ZONED), _utc_clock(text.cast("timestamp"))).otherwise(text.cast("timestamp_ntz"))
 
 
 def invalid_count(df: DataFrame, name: str, coerced: Column) -> Column:
@@ -111,13 +128,27 @@ def invalid_count(df: DataFrame, name: str, coerced: Column) -> Column:
 
 
 def target_column(df: DataFrame, name: str) -> Column:
-    """Integer targets are class labels (bigint), all others float."""
-    if isinstance(type_of(df, name), T.IntegralType):
+    """Integer targets are class labels (bigint), all others float; text has no such reading."""
+    dtype = type_of(df, name)
+    if isinstance(dtype, T.IntegralType):
         return col(name).cast("bigint")
+    if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
+        raise DataError(
+            f"target {name!r} is text: index its labels first", "numeric_coercion_unsupported", {"column": name}
+        )
     return number(df, name).cast("float")
 
 
 def seconds_between(later: Column, earlier: Column) -> Column:
-    """Seconds from ``earlier`` to ``later`` with microsecond resolution."""
-    micros = lambda c: F.unix_micros(c.cast("timestamp"))
-    return (micros(later) - micros(earlier)) / F.lit(1e6)
+    """Seconds from ``earlier`` to ``later`` with microsecond resolution.
+
+    Moments differ by elapsed time; times without zone by their clocks, whatever the
+    session's zone.
+    """
+    moments = (F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))) / F.lit(1e6)
+    a, b = later.cast("timestamp_ntz"), earlier.cast("timestamp_ntz")
+    second = lambda c: F.extract(F.lit("SECOND"), c)
+    minutes = F.datediff(a, b).cast("bigint") * 1440 + (F.hour(a) - F.hour(b)) * 60 + F.minute(a) - F.minute(b)
+    clocks = (minutes.cast("decimal(20,0)") * 60 + second(a) - second(b)).cast("double")
+    # The type is known when the plan is made, so one branch is left.
+    return F.when(F.typeof(later) == "timestamp", moments).otherwise(clocks)

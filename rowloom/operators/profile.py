@@ -144,10 +144,14 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, approx:
     return summary.select("column", "count", "mean", "std", "min", *_QUARTILE_NAMES, "max")
 
 
-def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
-    """``(bin, lower, upper, count)``: equal-width bins, the last closed, empty bins included."""
+def histogram(df: DataFrame, column: str, bins: int = 30, infinite: bool = False) -> DataFrame:
+    """``(bin, lower, upper, count)``: equal-width bins of the finite values, the last closed, empty bins included.
+
+    ``infinite=True`` adds bin 0, without edges, with the number of infinite values.
+    """
     require_columns(df.columns, [column], "profile_missing_columns", "histogram")
-    values = df.select(number(df, column).alias("x")).where("x is not null")
+    present_ = df.select(number(df, column).alias("x")).where("x is not null")
+    values = present_.where(F.abs("x") < F.lit(float("inf")))
     ends = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     # A constant column gets one unit of room around its value.
     room = F.when(F.col("lo") == F.col("hi"), F.lit(0.5)).otherwise(F.lit(0.0))
@@ -156,12 +160,17 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     counted = values.groupBy(placed.alias("bin")).agg(F.count("*").alias("n"))
     width = (span["hi"] - span["lo"]) / F.lit(float(bins))
     every = df.sparkSession.range(1, bins + 1).select(F.col("id").alias("bin"))
-    return every.join(counted, "bin", "left").select(
+    binned = every.join(counted, "bin", "left").select(
         "bin",
         (span["lo"] + width * (F.col("bin") - 1)).alias("lower"),
         (span["lo"] + width * F.col("bin")).alias("upper"),
         F.coalesce("n", F.lit(0)).alias("count"),
     )
+    if not infinite:
+        return binned
+    nothing = F.lit(None).cast("double")
+    others = present_.agg(F.count_if(F.abs("x") == F.lit(float("inf"))).alias("count"))
+    return binned.union(others.select(F.lit(0).cast("bigint"), nothing, nothing, "count"))
 
 
 def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -200,7 +209,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
 
 
 def target_correlation(
-    df: DataFrame, target: str, columns: Sequence[str] | None = None, top: int | None = 20
+    df: DataFrame, target: str, columns: Sequence[str] | None = None, top: int | None = None
 ) -> DataFrame:
     """``(column, abs_corr)`` with the target, strongest first."""
     names = [c for c in (numeric_columns(df) if columns is None else columns) if c != target]

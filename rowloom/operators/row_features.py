@@ -157,8 +157,8 @@ def add_shifted_log1p(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def parse_date_columns(df: DataFrame, max_cols: int = 10) -> DataFrame:
-    """Turn the first ``max_cols`` text columns into timestamps where every value parses."""
+def parse_date_columns(df: DataFrame, max_cols: int | None = None) -> DataFrame:
+    """Turn the text columns (the first ``max_cols``, if given) into timestamps where every value parses."""
     candidates = [f.name for f in df.schema if f.dataType.typeName() == "string"][:max_cols]
     if not candidates:
         return df

@@ -254,7 +254,8 @@ def time_deltas(
         diff_features={"delta_seconds": (time_column, 1)},
         tie_breakers=as_list(tie_breakers),
     )
-    deltas = build_series_features(df.select(*[col(c) for c in kept]), spec, strategy, **sizes)
+    rows = df.select(*[col(c) for c in kept]).withColumn(time_column, moment(df, time_column))
+    deltas = build_series_features(rows, spec, strategy, **sizes)
     return deltas.where("delta_seconds is not null").select(*[col(c) for c in (*names, time_column)], "delta_seconds")
 
 
@@ -329,10 +330,12 @@ def latest_rows(
     require_columns(df.columns, [*names, time_column], "ts_missing_datetime_column", "latest rows")
     ties = tie_columns(df, [*names, time_column], tie_breakers)
     by = [col(s) for s in names]
+    when = moment(df, time_column)
+    time_type = df.select(when.alias("t")).schema["t"].dataType
     pruned = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if rows > pruned and needs_segments(df, names, strategy, max_series_rows):
         # The latest first, missing times last, as below.
-        newest = [-F.unix_micros(col(time_column).cast("timestamp")), *[col(c) for c in ties]]
+        newest = [-seconds_between(when, F.lit("1970-01-01").cast(time_type)), *[col(c) for c in ties]]
         indexed = dense_index(df, [*by, *newest], "__pos")
         heads = indexed.groupBy(*[c.alias(f"__s{i}") for i, c in enumerate(by)]).agg(F.min("__pos").alias("__head"))
         if not names:
@@ -340,6 +343,6 @@ def latest_rows(
         same = reduce(lambda a, b: a & b, [c.eqNullSafe(F.col(f"__s{i}")) for i, c in enumerate(by)])
         kept = indexed.join(heads, same).where(F.col("__pos") < F.col("__head") + rows)
         return kept.select(*[col(c) for c in df.columns])
-    order = [col(time_column).desc_nulls_last(), *[col(c).asc_nulls_last() for c in ties]]
+    order = [when.desc_nulls_last(), *[col(c).asc_nulls_last() for c in ties]]
     window = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn("__recent", F.row_number().over(window)).where(F.col("__recent") <= rows).drop("__recent")

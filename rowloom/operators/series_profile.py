@@ -11,6 +11,7 @@ from rowloom.functions.coerce import col, moment, number
 from rowloom.operators.ordering import as_list
 from rowloom.operators.profile import numeric_summary, value_counts
 from rowloom.operators.quantile import quantiles
+from rowloom.session import written
 
 
 def coverage(df: DataFrame, time_column: str, series: str | Sequence[str] | None = None) -> DataFrame:
@@ -38,10 +39,10 @@ def series_overview(df: DataFrame, time_column: str, series: str) -> DataFrame:
 
 def delta_summary(deltas: DataFrame) -> DataFrame:
     """Summary of ``delta_seconds`` (see :func:`time_deltas`)."""
-    return numeric_summary(deltas, ["delta_seconds"])
+    return numeric_summary(written(deltas.select("delta_seconds"), "deltas"), ["delta_seconds"])
 
 
-def common_deltas(deltas: DataFrame, top: int = 10) -> DataFrame:
+def common_deltas(deltas: DataFrame, top: int | None = None) -> DataFrame:
     return value_counts(deltas, "delta_seconds", top)
 
 
@@ -53,10 +54,26 @@ def gap_threshold(deltas: DataFrame, factor: float = 1.5) -> float | None:
 
 def large_gaps(deltas: DataFrame, factor: float = 1.5) -> DataFrame:
     """Steps longer than the threshold, with the threshold beside them."""
+    deltas = written(deltas, "deltas")  # the window behind them is not run again for the median
     limit = F.lit(gap_threshold(deltas, factor)).cast("double")
     return deltas.where(F.col("delta_seconds") > limit).withColumn("threshold", limit)
 
 
+def gap_summary(deltas: DataFrame, factor: float = 1.5) -> DataFrame:
+    """One row: n_deltas, n_gaps, threshold, and the mean, longest and total gap in seconds."""
+    deltas = written(deltas.select("delta_seconds"), "deltas")
+    limit = F.lit(gap_threshold(deltas, factor)).cast("double")
+    gap = F.when(F.col("delta_seconds") > limit, F.col("delta_seconds"))
+    return deltas.agg(
+        F.count("*").alias("n_deltas"),
+        F.count(gap).alias("n_gaps"),
+        F.first(limit).alias("threshold"),
+        F.avg(gap).alias("mean_gap"),
+        F.max(gap).alias("longest_gap"),
+        F.sum(gap).alias("total_gap"),
+    )
+
+
 def seasonal_means(df: DataFrame, time_column: str, target: str, by: str = "hour") -> DataFrame:
     """Mean target by hour of day or by day of week (0 = Monday)."""
     t = moment(df, time_column)

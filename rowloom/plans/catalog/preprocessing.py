@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rowloom.functions.coerce import col
-from rowloom.operators.preprocess import PreprocessSpec, fit_preprocessor, fit_transform_preprocessor, standardize
+from rowloom.operators import encodings
+from rowloom.operators.preprocess import (
+    PreprocessSpec,
+    fit_preprocessor,
+    fit_transform_preprocessor,
+    load_preprocessor,
+    standardize,
+)
 from rowloom.plans.catalog.registry import query, rounded, scan
+from rowloom.session import scratch_path
 
 TRAIN = "p_partkey % 5 <> 0"
 
@@ -152,10 +160,54 @@ def one_hot_max_categories(spark, folder):
 )
 def category_index(spark, folder):
     parts = scan(spark, folder, "part").select("p_partkey", "p_name")
-    spec = categories(categorical_features=["p_name"], max_dense_categories=3)
+    spec = categories(categorical_features=["p_name"], encoding="index")
     return fit_preprocessor(parts.where(TRAIN), spec).transform(parts).select("p_partkey", "p_name__index")
 
 
+@query(
+    "one_hot_sparse",
+    """with c as (select p_name, row_number() over (order by p_name) - 1 as i, count(*) over () as size
+        from (select distinct p_name from part where p_partkey % 5 <> 0))
+    select p_partkey, (select max(size) from c)::integer as size, i::integer as set_index from part left join c using (p_name)""",
+)
+def one_hot_sparse(spark, folder):
+    parts = scan(spark, folder, "part").select("p_partkey", "p_name")
+    made = fit_preprocessor(parts.where(TRAIN), categories(categorical_features=["p_name"], encoding="sparse")).transform(parts)
+    return made.select("p_partkey", F.col("p_name__onehot.size").alias("size"), F.col("p_name__onehot.index").alias("set_index"))
+
+
+@query(
+    "one_hot_ties",
+    """with t as (select p_partkey, 'k' || (p_partkey % 7) as k from part where p_partkey <= 7 * ((select max(p_partkey) from part) // 7)),
+        top as (select k from t group by k order by count(*) desc, k desc limit 3),
+        i as (select k, row_number() over (order by k) - 1 as i from top)
+    select p_partkey, coalesce(i, 3)::integer as dense, coalesce(i, 3)::integer as sparse from t left join i using (k)""",
+)
+def one_hot_ties(spark, folder):
+    """Equal counts under a limit: both encodings keep the same categories."""
+    parts = scan(spark, folder, "part").select("p_partkey")
+    last = parts.agg(F.max("p_partkey")).first()[0]
+    keyed = parts.where(F.col("p_partkey") <= 7 * (last // 7)).withColumn("k", F.concat(F.lit("k"), F.col("p_partkey") % 7))
+    options = {"categorical_features": ["k"], "max_categories": 4}
+    dense = fit_preprocessor(keyed, categories(**options)).transform(keyed)
+    names = [c for c in dense.columns if c.startswith("k__")]
+    place = F.array_position(F.array(*[col(c) for c in names]), F.lit(1.0)) - 1
+    sparse = fit_preprocessor(keyed, categories(**options, encoding="sparse")).transform(keyed)
+    sparse = sparse.select("p_partkey", F.col("k__onehot.index").alias("sparse"))
+    return dense.select("p_partkey", place.cast("int").alias("dense")).join(sparse, "p_partkey")
+
+
+@query(
+    "preprocessor_reloaded",
+    category_sql("where n >= 60"),
+)
+def preprocessor_reloaded(spark, folder):
+    parts = gappy_parts(spark, folder)
+    path = scratch_path(spark, "fitted")
+    fit_preprocessor(parts.where(TRAIN), categories(min_frequency=60)).save(spark, path)
+    return set_indicators(load_preprocessor(spark, path).transform(parts))
+
+
 @query(
     "preprocess_table",
     f"""with {GAPPY}, s as (select median(p_size) as fs from gappy where {TRAIN}),
@@ -193,3 +245,38 @@ def fitted_parameters(spark, folder):
     train = gappy_parts(spark, folder).where(TRAIN)
     _, fitted = fit_transform_preprocessor(train, numbers(numeric_features=["p_size"]))
     return rounded(fitted.parameters(spark).select("column", "parameter", "number"))
+
+
+@query(
+    "frequency_encoding",
+    f"""with {GAPPY}, n as (select p_brand, count(*) * 1.0 / (select count(*) from gappy where {TRAIN}) as f from gappy where {TRAIN} group by p_brand)
+    select p_partkey, round(coalesce(f, 0), 6) as p_brand__frequency from gappy g left join n on g.p_brand is not distinct from n.p_brand""",
+)
+def frequency_encoding(spark, folder):
+    parts = gappy_parts(spark, folder)
+    made = encodings.fit_frequency(parts.where(TRAIN), "p_brand").transform(parts)
+    return rounded(made.select("p_partkey", "p_brand__frequency"))
+
+
+@query(
+    "target_encoding",
+    f"""with m as (select avg(p_retailprice) as m from part where {TRAIN}),
+        n as (select p_name, count(*) as n, sum(p_retailprice) as s from part where {TRAIN} group by p_name)
+    select p_partkey, round(coalesce((s + 10 * m) / (n + 10), m), 4) as p_name__target_mean from m, part left join n using (p_name)""",
+)
+def target_encoding(spark, folder):
+    parts = scan(spark, folder, "part").select("p_partkey", "p_name", "p_retailprice")
+    made = encodings.fit_target_mean(parts.where(TRAIN), "p_name", "p_retailprice").transform(parts)
+    return rounded(made.select("p_partkey", "p_name__target_mean"), 4)
+
+
+@query(
+    "quantile_bins",
+    f"""with q as (select quantile_cont(p_retailprice, [0.25, 0.5, 0.75]) as q from part where {TRAIN})
+    select p_partkey, ((p_retailprice >= q[1])::integer + (p_retailprice >= q[2])::integer + (p_retailprice >= q[3])::integer) as p_retailprice__bin
+    from part, q""",
+)
+def quantile_bins(spark, folder):
+    parts = scan(spark, folder, "part").select("p_partkey", "p_retailprice")
+    made = encodings.fit_bins(parts.where(TRAIN), "p_retailprice", 4).transform(parts)
+    return made.select("p_partkey", "p_retailprice__bin")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowloom.operators import profile, quantile, series_profile, tables
+from rowloom.operators import profile, quantile, segments, series_profile, tables
 from rowloom.operators.series_features import time_deltas
 from rowloom.plans.catalog.registry import query, rounded, scan
 
@@ -155,7 +155,7 @@ def correlation_matrix(spark, folder):
 )
 def target_correlation(spark, folder):
     columns = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_partkey"]
-    return rounded(profile.target_correlation(gappy_lines(spark, folder), "l_extendedprice", columns))
+    return rounded(profile.target_correlation(gappy_lines(spark, folder), "l_extendedprice", columns, top=20))
 
 
 @query(
@@ -257,7 +257,7 @@ def delta_summary(spark, folder):
 )
 def common_deltas(spark, folder):
     hours = deltas(spark, folder).select(F.round(F.col("delta_seconds") / 3600).alias("delta_seconds"))
-    return series_profile.common_deltas(hours)
+    return series_profile.common_deltas(hours, 10)
 
 
 @query(
@@ -281,3 +281,65 @@ def seasonal_by_hour(spark, folder):
 )
 def seasonal_by_weekday(spark, folder):
     return rounded(series_profile.seasonal_means(scan(spark, folder, "events"), "ts", "value", "dow"))
+
+
+@query(
+    "gap_summary",
+    f"""with {DELTAS}, m as (select median(delta_seconds) * 1.5 as threshold from d), g as (select delta_seconds as g from d, m where delta_seconds > threshold)
+    select (select count(*) from d) as n_deltas, count(*) as n_gaps, round((select threshold from m), 3) as threshold,
+        round(avg(g), 3) as mean_gap, round(max(g), 3) as longest_gap, round(sum(g), 3) as total_gap from g""",
+)
+def gap_summary(spark, folder):
+    return rounded(series_profile.gap_summary(deltas(spark, folder)), 3)
+
+
+@query(
+    "time_deltas_of_text",
+    f"with {DELTAS} select user_id, round(sum(delta_seconds), 3) as total, count(*) as n from d group by user_id",
+)
+def time_deltas_of_text(spark, folder):
+    events = scan(spark, folder, "events").withColumn("ts", F.col("ts").cast("string"))
+    found = time_deltas(events, "ts", "user_id", "event_id")
+    return rounded(found.groupBy("user_id").agg(F.sum("delta_seconds").alias("total"), F.count("*").alias("n")), 3)
+
+
+@query(
+    "histogram_with_infinities",
+    """with v as (select case when o_orderkey % 100 = 0 then 'infinity'::double else o_totalprice end as x from orders),
+        f as (select x from v where not isinf(x)), e as (select min(x) as lo, max(x) as hi from f),
+        b as (select least(floor((x - lo) / ((hi - lo) / 10))::bigint + 1, 10) as bin, count(*) as n from f, e group by 1)
+    select r.i as bin, round(lo + (hi - lo) / 10 * (r.i - 1), 4) as lower, round(lo + (hi - lo) / 10 * r.i, 4) as upper, coalesce(n, 0) as count
+    from range(1, 11) r(i) cross join e left join b on b.bin = r.i
+    union all select 0, null, null, count(*) from v where isinf(x)""",
+)
+def histogram_with_infinities(spark, folder):
+    orders = scan(spark, folder, "orders")
+    x = F.when(F.col("o_orderkey") % 100 == 0, F.lit(float("inf"))).otherwise(F.col("o_totalprice"))
+    return rounded(profile.histogram(orders.select(x.alias("x")), "x", 10, infinite=True), 4)
+
+
+@query(
+    "gap_segments",
+    """with s as (select *, coalesce(epoch_us(ts - lag(ts) over (partition by user_id order by ts, event_id)) / 1e6 > 86400, false)::integer as cut from events)
+    select event_id, sum(cut) over (partition by user_id order by ts)::integer as segment from s""",
+)
+def gap_segments(spark, folder):
+    events = scan(spark, folder, "events").select("event_id", "user_id", "ts")
+    return segments.gap_segments(events, "ts", 86400.0, "user_id", "event_id").select("event_id", "segment")
+
+
+@query(
+    "interpolated_in_segments",
+    """with s as (select *, case when event_id % 4 <> 0 then value end as v, coalesce(epoch_us(ts - lag(ts) over (partition by user_id order by ts, event_id)) / 1e6 > 86400, false)::integer as cut from events),
+        g as (select *, sum(cut) over (partition by user_id order by ts) as segment from s),
+        n as (select *, last_value(case when v is not null then {'t': epoch_us(ts) / 1e6, 'x': v} end ignore nulls) over b as p,
+            first_value(case when v is not null then {'t': epoch_us(ts) / 1e6, 'x': v} end ignore nulls) over a as q from g
+            window b as (partition by user_id, segment order by ts, event_id rows between unbounded preceding and current row),
+                a as (partition by user_id, segment order by ts, event_id rows between current row and unbounded following))
+    select event_id, round(coalesce(v, p.x + (q.x - p.x) * (epoch_us(ts) / 1e6 - p.t) / nullif(q.t - p.t, 0)), 5) as filled from n""",
+)
+def interpolated_in_segments(spark, folder):
+    events = scan(spark, folder, "events").select("event_id", "user_id", "ts", F.when(F.col("event_id") % 4 != 0, F.col("value")).alias("v"))
+    cut = segments.gap_segments(events, "ts", 86400.0, "user_id", "event_id")
+    filled = segments.interpolate(cut, "ts", "v", "user_id")
+    return rounded(filled.select("event_id", F.col("v__filled").alias("filled")), 5)

@@ -18,6 +18,9 @@ def as_feather(df: DataFrame, path: str) -> int:
     """
     import pyarrow as pa
 
+    hadoop = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    path = hadoop.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+
     def save(parts):
         from pyarrow import fs
         from pyspark import TaskContext
@@ -164,6 +167,30 @@ def documents_top(spark, folder):
     )
 
 
+@query(
+    "documents_nested_projection",
+    "select conv_id, turn, role from conversations where role = 'assistant' and turn = 1",
+)
+def documents_nested_projection(spark, folder):
+    """Dotted projection, and equality with an embedded document."""
+    docs = conversation_documents(spark, folder)
+    found = documents.find(docs, {"meta.role": "assistant", "turn": 1}, {"conv_id": 1, "turn": 1, "meta.role": 1})
+    return found.select("conv_id", "turn", F.col("meta.role").alias("role"))
+
+
+@query(
+    "scan_csv_bad_rows_counted",
+    "select count(*) filter (o_orderkey % 50 <> 0) as good_rows, count(*) filter (o_orderkey % 50 = 0) as bad_rows from orders",
+)
+def scan_csv_bad_rows_counted(spark, folder):
+    path = scratch_path(spark, "bad-orders")
+    price = F.when(F.col("o_orderkey") % 50 == 0, F.lit("unknown")).otherwise(F.col("o_totalprice").cast("string"))
+    orders = scan(spark, folder, "orders").select("o_orderkey", price.alias("o_totalprice"))
+    orders.write.option("header", True).csv(path)
+    kept = files.load_table(spark, path, "csv", schema="o_orderkey bigint, o_totalprice double", bad_rows="keep")
+    return files.row_quality(kept)
+
+
 @query("documents_count", "select count(*) as count from conversations where role <> 'user' or turn = 0")
 def documents_count(spark, folder):
     docs = conversation_documents(spark, folder)

@@ -12,11 +12,19 @@ from rowloom.plans.flows import forecast_windows
 @query(
     "random_split",
     """with n as (select count(*) as n, ceil(count(*) * 0.2::double)::bigint as v from orders)
-    select 'validation' as split, v as n_rows from n union all select 'train', n - v from n""",
+    select 'validation' as split, v as n_rows, v as n_keys, 0 as n_moved from n union all select 'train', n - v, n - v, 0 from n""",
 )
 def random_split(spark, folder):
-    parts = splits.random_split(scan(spark, folder, "orders"), 0.2, 42, "o_orderkey")
-    return parts.groupBy("split").agg(F.count("*").alias("n_rows"))
+    orders = scan(spark, folder, "orders")
+    return membership(splits.random_split(orders, 0.2, 42, "o_orderkey"), splits.random_split(orders.repartition(5), 0.2, 42, "o_orderkey"))
+
+
+def membership(parts, again, key="o_orderkey", *by):
+    """Rows and distinct keys per part, and keys that another layout of the table puts elsewhere."""
+    other = again.select(key, F.col("split").alias("other"))
+    joined = parts.join(other, key)  # a key that one of them holds twice or lacks shows in the counts
+    moved = F.count_if(F.col("split") != F.col("other"))
+    return joined.groupBy(*by, "split").agg(F.count("*").alias("n_rows"), F.count_distinct(key).alias("n_keys"), moved.alias("n_moved"))
 
 
 @query(
@@ -25,11 +33,13 @@ def random_split(spark, folder):
         w as (select ceil(sum(n) * 0.2::double)::double as wanted, sum(n)::double as total from c),
         e as (select k, n, floor(n * wanted / total) as whole, n * wanted / total - floor(n * wanted / total) as rest, wanted from c, w),
         q as (select k, n, (whole + (row_number() over (order by rest desc, k) <= wanted - sum(whole) over ())::integer)::bigint as v from e)
-    select k as o_orderpriority, 'validation' as split, v as n_rows from q union all select k, 'train', n - v from q""",
+    select k as o_orderpriority, 'validation' as split, v as n_rows, v as n_keys, 0 as n_moved from q
+    union all select k, 'train', n - v, n - v, 0 from q""",
 )
 def stratified_split(spark, folder):
-    parts = splits.stratified_split(scan(spark, folder, "orders"), "o_orderpriority", 0.2, 42, "o_orderkey")
-    return parts.groupBy("o_orderpriority", "split").agg(F.count("*").alias("n_rows"))
+    orders = scan(spark, folder, "orders")
+    split = lambda df: splits.stratified_split(df, "o_orderpriority", 0.2, 42, "o_orderkey")
+    return membership(split(orders), split(orders.repartition(5)), "o_orderkey", "o_orderpriority")
 
 
 def _chronological(n_val: str) -> str:

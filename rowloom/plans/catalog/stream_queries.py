@@ -16,8 +16,9 @@ from rowloom.streaming import features as streaming
 
 
 def stream_of(spark, folder, table):
+    """A table as a stream, whether it is one file or a folder of part files."""
     schema = scan(spark, folder, table).schema
-    return streaming.read_stream(spark, folder, schema, pathGlobFilter=f"{table}.parquet")
+    return streaming.read_stream(spark, f"{folder}/{table}.parquet*", schema)
 
 
 def drained(spark, stream, label):
@@ -56,6 +57,7 @@ def chunked_ingestion(spark, folder):
     scan(spark, folder, "orders").repartition(4).write.parquet(pieces)
     stream = streaming.read_stream(spark, pieces, spark.read.parquet(pieces).schema, files_per_trigger=1)
     target = scratch_path(spark, "ingested")
-    keep = lambda chunk, _: write_rows(chunk, target)
+    # One folder per batch: a batch that is tried again replaces what it wrote.
+    keep = lambda chunk, batch: write_rows(chunk, f"{target}/batch={batch}", mode="overwrite")
     streaming.each_chunk(stream, keep, scratch_path(spark, "ingest-progress")).awaitTermination()
     return rounded(spark.read.parquet(target).agg(F.count("*").alias("n_rows"), F.sum("o_totalprice").alias("total")), 2)

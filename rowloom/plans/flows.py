@@ -11,7 +11,15 @@ from pyspark.sql import DataFrame, functions as F
 from rowloom.errors import require_columns
 from rowloom.functions.coerce import col
 from rowloom.operators.evaluate import horizon_metrics
-from rowloom.operators.models import LinearForecaster, classify, fit_classifier, fit_linear
+from rowloom.operators.models import (
+    LinearForecaster,
+    class_labels,
+    classify,
+    fit_classifier,
+    fit_linear,
+    index_label,
+    label_index,
+)
 from rowloom.operators.preprocess import standardize
 from rowloom.operators.splits import VALIDATION, TRAIN, chronological_split, random_split, stratified_split
 from rowloom.operators.tables import assemble, features_and_target, infer_problem, numeric_columns
@@ -98,8 +106,11 @@ def train_tabular(
     matrix = assemble(scaled, target, feature_columns=numeric, keep=kept)
     fit_rows, held = matrix.where(F.col("split") == TRAIN), matrix.where(F.col("split") == VALIDATION)
     if is_class:
-        model = fit_classifier(fit_rows, len(numeric), int(found["num_classes"]), hidden, max_iter=max_iter, seed=seed)
-        return Trained(model, classify(model, held), "classification")
+        labels = class_labels(df, target, int(found["num_classes"]))
+        indexed = fit_rows.withColumn("target", label_index(col("target"), labels))
+        model = fit_classifier(indexed, len(numeric), len(labels), hidden, max_iter=max_iter, seed=seed)
+        scored = classify(model, held).withColumn("prediction", index_label(F.col("prediction"), labels))
+        return Trained(model, scored, "classification")
     forecaster = fit_linear(fit_rows)
     scored = forecaster.predict(held).withColumn("prediction", F.col("prediction")[0])
     return Trained(forecaster, scored, "regression")

@@ -131,19 +131,20 @@ def test_network_layers(spark):
     assert [r[0] for r in best.collect()] == h.argmax(1).tolist()
 
 
-def test_output_width():
-    assert models.output_dim("regression") == 1 and models.output_dim("binary") == 1
-    assert models.output_dim("multiclass", num_classes=3) == 3
-    for args, code in (
-        (("regression", 0), "tabular_mlp_bad_output_dim_regression"),
-        (("binary", 2), "tabular_mlp_bad_output_dim_binary"),
-        (("multiclass",), "tabular_mlp_missing_num_classes"),
-        (("multiclass", None, 1), "tabular_mlp_bad_num_classes"),
-        (("multiclass", 2, 3), "tabular_mlp_bad_output_dim_multiclass"),
-    ):
-        with pytest.raises(ModelError) as error:
-            models.output_dim(*args)
-        assert error.value.code == code
+def test_class_labels(spark):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("c",), ("a",)], "y string")
+    labels = models.class_labels(df, "y", 3)
+    assert labels == ["a", "b", "c"]
+    index = models.label_index(F.col("y"), labels)
+    rows = df.select("y", index.alias("i"), models.index_label(index, labels).alias("back")).collect()
+    assert [(r.y, r.i, r.back) for r in rows] == [("b", 1, "b"), ("a", 0, "a"), (None, None, None), ("c", 2, "c"), ("a", 0, "a")]
+    with pytest.raises(ModelError) as error:
+        models.class_labels(df, "y", 2)
+    assert error.value.code == "tabular_mlp_bad_num_classes"
+    with pytest.raises(ModelError):
+        models.fit_classifier(df, 1, 1)
+    x = np.linspace(-8, 8, 4001)
+    assert np.abs(models._erf(x) - [math.erf(v) for v in x]).max() < 4e-15
 
 
 def test_executors_need_no_copy_of_the_package(tmp_path):

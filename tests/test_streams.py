@@ -33,7 +33,7 @@ def test_bad_values_stop_the_stream(spark, skewed, folder, tmp_path):
 
 
 def test_fitted_preprocessor(spark, skewed, folder, tmp_path):
-    spec = PreprocessSpec(["v"], ["series"], handle_unknown="error", max_dense_categories=5)
+    spec = PreprocessSpec(["v"], ["series"], handle_unknown="error", encoding="sparse")
     fitted = fit_preprocessor(skewed, spec)
     stream = streaming.stream_preprocess(streaming.read_stream(spark, folder, skewed.schema), fitted)
     out = str(tmp_path / "out")
