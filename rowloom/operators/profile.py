@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rowloom.errors import require_columns
 from rowloom.functions.coerce import col, is_fraction, number, present, type_of
 from rowloom.operators.quantile import quantile_table
 from rowloom.operators.tables import concatenate, numeric_columns
-from rowloom.session import small_table
+from rowloom.session import small_table, written
 
 QUARTILES = (0.25, 0.5, 0.75)
 _QUARTILE_NAMES = ("q25", "q50", "q75")
@@ -176,26 +178,77 @@ def histogram(df: DataFrame, column: str, bins: int = 30, infinite: bool = False
 def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """``(column_a, column_b, corr)``: Pearson correlation over rows with both values.
 
-    NULL where one side is constant: the built-in ``corr`` fails there under ANSI.
-    Each row is taken apart into its pairs inside the scan stage and combined
-    map-side, so only one row per pair and task is shuffled, and the generated code
-    does not grow with the number of pairs.
+    NULL where one side is constant, NaN where one has an infinity.  Each task adds up masked matrix products of
+    its Arrow batches and sends one short row per pair: counts, means and central
+    moments, which are merged around the overall means.
     """
     columns = list(dict.fromkeys(c for pair in pairs for c in pair))
-    values = df.select(*[number(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
-    place = {c: i for i, c in enumerate(columns)}
-    cells = [
-        F.struct(F.lit(k).alias("pair"), F.col(f"v{place[a]}").alias("a"), F.col(f"v{place[b]}").alias("b"))
-        for k, (a, b) in enumerate(pairs)
-    ]
-    both = values.select(F.inline(F.array(*cells))).where("a is not null and b is not null")
-    corr = F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b"))
-    found = both.groupBy("pair").agg(corr.alias("corr"))
     names = small_table(
         df.sparkSession, [(k, a, b) for k, (a, b) in enumerate(pairs)], "pair int, column_a string, column_b string"
     )
-    # The list of pairs is fixed by the columns, not by the rows.
-    return F.broadcast(names).join(found, "pair", "left").select("column_a", "column_b", "corr")
+    values = df.select(*[number(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
+    place = {c: i for i, c in enumerate(columns)}
+    moments = _pair_moments([place[a] for a, _ in pairs], [place[b] for _, b in pairs])
+    schema = "pair int, n double, a double, b double, aa double, bb double, ab double"
+    parts = written(values.mapInArrow(moments, schema), "pair-moments")
+    n = F.col("n")
+    means = parts.groupBy("pair").agg(
+        F.sum("n").alias("rows"), (F.sum(n * F.col("a")) / F.sum("n")).alias("ma"), (F.sum(n * F.col("b")) / F.sum("n")).alias("mb")
+    )
+    # A row per pair: known by the columns, not by the rows.
+    off_a, off_b = F.col("a") - F.col("ma"), F.col("b") - F.col("mb")
+    merged = parts.join(F.broadcast(means), "pair").groupBy("pair").agg(
+        F.sum(F.col("aa") + n * off_a * off_a).alias("aa"),
+        F.sum(F.col("bb") + n * off_b * off_b).alias("bb"),
+        F.sum(F.col("ab") + n * off_a * off_b).alias("ab"),
+        F.first("rows").alias("rows"),
+        F.first("ma").alias("ma"),
+        F.first("mb").alias("mb"),
+    )
+    # What merging leaves of a constant is rounding noise.
+    real = lambda m, mean: F.when(F.col(m) > F.col("rows") * F.pow(F.col(mean) * F.lit(2.0**-48), F.lit(2.0)), F.sqrt(m)).otherwise(0.0)
+    corr = F.try_divide(F.col("ab"), real("aa", "ma") * real("bb", "mb"))
+    return F.broadcast(names).join(merged.select("pair", corr.alias("corr")), "pair", "left").select("column_a", "column_b", "corr")
+
+
+def _pair_moments(first: Sequence[int], second: Sequence[int]):
+    """Arrow batches of double columns to one row per pair of columns: n, means, central moments."""
+    a, b = np.array(first, int), np.array(second, int)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shift = total = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            there, infinite = ~np.isnan(x), np.isinf(x)
+            finite = there & ~infinite
+            if shift is None:
+                shift, total = np.full(x.shape[1], np.nan), [np.zeros((x.shape[1],) * 2) for _ in range(5)]
+            # The first value of a column is taken off: small numbers lose less.
+            new = np.isnan(shift) & finite.any(0)
+            shift[new] = x[finite.argmax(0), np.arange(x.shape[1])][new]
+            y = np.where(finite, x - np.where(np.isnan(shift), 0.0, shift), 0.0)
+            mask = there.astype(float)
+            for t, part in zip(total, (mask.T @ mask, y.T @ mask, (y * y).T @ mask, y.T @ y, infinite.astype(float).T @ mask)):
+                t += part
+        if shift is None:
+            return
+        n, s, q, c, bad = total
+        shift = np.where(np.isnan(shift), 0.0, shift)
+        rows = n[a, b]
+        used = rows > 0
+        safe = np.maximum(rows, 1.0)
+        sa, sb = s[a, b], s[b, a]
+        spoilt = np.where(bad[a, b] + bad[b, a] > 0, np.nan, 0.0)
+        cells = [
+            np.arange(len(a), dtype=np.int32), rows, shift[a] + sa / safe, shift[b] + sb / safe,
+            np.maximum(q[a, b] - sa * sa / safe, 0.0) + spoilt, np.maximum(q[b, a] - sb * sb / safe, 0.0) + spoilt,
+            c[a, b] - sa * sb / safe + spoilt,
+        ]
+        yield pa.RecordBatch.from_arrays([pa.array(v[used]) for v in cells], names=["pair", "n", "a", "b", "aa", "bb", "ab"])
+
+    return run
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
