@@ -7,6 +7,7 @@ from pyspark.sql import Window, functions as F
 
 from rowloom.functions import metrics
 from rowloom.operators import evaluate, models
+from rowloom.operators.series_features import SeriesFeatures, build_series_features
 from rowloom.operators.splits import batches
 from rowloom.operators.windows import first_step, flatten_windows, sliding_windows
 from rowloom.plans.catalog.registry import query, rounded, scan
@@ -72,10 +73,16 @@ def scalar_metrics(spark, folder):
 
 
 def naive(spark, folder):
-    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    events = scan(spark, folder, "events")
-    shifted = events.select("event_id", "ts", F.col("value").alias("y"), F.lag("value").over(order).alias("p"))
-    return shifted.where("p is not null")
+    shifted = with_previous(scan(spark, folder, "events"), value="p")
+    return shifted.select("event_id", "ts", F.col("value").alias("y"), "p").where("p is not null")
+
+
+def with_previous(events, **names):
+    """Columns of the user's previous event, by the plan that divides a long series."""
+    spec = SeriesFeatures(
+        "ts", "user_id", lag_features={new: (source, 1) for source, new in names.items()}, tie_breakers=["event_id"]
+    )
+    return build_series_features(events.select("event_id", "ts", "user_id", "value"), spec)
 
 
 @query(
@@ -207,9 +214,8 @@ def non_finite(spark, folder):
 )
 def linear_baseline(spark, folder):
     events = scan(spark, folder, "events").select("event_id", "ts", "user_id", "value")
-    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    pairs = events.select("event_id", F.array("value").alias("features"), F.lead("value").over(order).alias("target"))
-    pairs = pairs.where("target is not null")
+    pairs = with_previous(events, value="x", event_id="from_id").where("from_id is not null")
+    pairs = pairs.select(F.col("from_id").alias("event_id"), F.array("x").alias("features"), F.col("value").alias("target"))
     scored = models.fit_linear(pairs).predict(pairs)
     return rounded(scored.select("event_id", F.col("prediction")[0].alias("prediction")), 5)
 
