@@ -6,7 +6,7 @@ Nodes are the distinct shingle sets, named by (size, 64-bit digest); copies shar
    rarity, so passages that many documents share come last.
 2. A set of n shingles sends its rarest ones as postings.  Sets that link share at least
    ``need(n)`` of them, so a set with fewer shared postings can link with nothing.
-3. Texts of the sets that are left are fetched once; each gives a 1024-bit parity bitmap
+3. Texts of the sets that are left are fetched once; each gives a parity bitmap of at least two bits per shingle
    and its sorted shingles.
 4. In ``TURNS`` rounds, every set meets the leaders drawn by hash from its (shingle, size
    band) and the bands beside it, with ``LEADERS`` draws: linear in the group.  The one with the
@@ -33,7 +33,7 @@ rows of their own; an empty table gives an empty result; other columns are not r
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -78,10 +78,24 @@ def set_digest(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
-def bitmap(s: np.ndarray) -> np.ndarray:
-    """Parity of the shingles per bit, as 64-bit words."""
-    odd = np.bincount((s >> np.uint64(54)).astype(np.int64), minlength=BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+def bitmap(s: np.ndarray) -> bytes:
+    """Parity of the shingles per bit; at least two bits per shingle, in a power of two."""
+    width = BITS
+    while width < 2 * len(s):
+        width *= 2
+    at = ((s >> np.uint64(20)) & np.uint64(width - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=width) & 1).astype(np.uint8)).tobytes()
+
+
+def folded(cells: Sequence[bytes], width: int) -> np.ndarray:
+    """Bitmaps as 64-bit words of one width in bytes: wider ones are folded, which keeps parity."""
+    out = np.empty((len(cells), width // 8), np.uint64)
+    sizes = np.array([len(c) for c in cells])
+    for size in np.unique(sizes):
+        at = np.flatnonzero(sizes == size)
+        stacked = np.frombuffer(b"".join([cells[i] for i in at]), np.uint64).reshape(len(at), size // width, width // 8)
+        out[at] = np.bitwise_xor.reduce(stacked, axis=1)
+    return out
 
 
 def links(inter: int, a: int, b: int, percent: int = PERCENT) -> bool:
@@ -220,7 +234,7 @@ def set_table(df: DataFrame, rows: DataFrame, wanted: DataFrame, doc_id: str, te
                     s = shingles(t, words)
                     if (n, d) not in seen and (len(s), set_digest(s)) == (n, d):
                         seen.add((n, d))
-                        out.append((n, d, bitmap(s).tobytes(), s.tobytes()))
+                        out.append((n, d, bitmap(s), s.tobytes()))
                 cells = list(zip(*out)) or [[], [], [], []]
                 types = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, types)], names=["n", "d", "bits", "items"])
@@ -239,10 +253,6 @@ def _bound_passes(n: np.ndarray, n2: np.ndarray, apart: np.ndarray, percent: int
     return 100 * most >= percent * (n + n2 - most)
 
 
-def _words_of(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITS // 64)
-
-
 def _with_sets(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
     """``pairs`` of id, id2 with columns of both sets, those of the second one with a 2 behind."""
     right = sets.select(F.col("id").alias("id2"), *[F.col(c).alias(c + "2") for c in columns])
@@ -272,7 +282,11 @@ def closest(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for b in batches:
             if b.num_rows:
                 n, n2 = (b.column(i).to_numpy().astype(np.int64) for i in (2, 4))
-                apart = _distance(_words_of(b.column(3)), _words_of(b.column(5)))
+                x, y = b.column(3).to_pylist(), b.column(5).to_pylist()
+                widths, apart = np.array([min(len(p), len(q)) for p, q in zip(x, y)]), np.zeros(len(x), np.int64)
+                for width in np.unique(widths):
+                    at = np.flatnonzero(widths == width)
+                    apart[at] = _distance(folded([x[i] for i in at], width), folded([y[i] for i in at], width))
                 keep = pa.array(_bound_passes(n, n2, apart, percent))
                 found = pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(apart)], names=["id", "id2", "apart"])
                 yield found.filter(keep)
@@ -353,9 +367,10 @@ def tile_pairs(open_: DataFrame, sets: DataFrame, percent: int, tile: int = TILE
     ordered = rows.repartition(*key).sortWithinPartitions(*key)
 
     def compare(t: dict[str, np.ndarray], lo: int, hi: int) -> list[np.ndarray]:
-        if hi - lo < 2:
+        if hi - lo < 2 or (t["root"][lo:hi] == t["root"][lo]).all():
             return []
         cut = {k: v[lo:hi] for k, v in t.items()}
+        bits = folded(cut["bits"], min(map(len, cut["bits"])))
         i, j = np.triu_indices(hi - lo, 1)
         if cut["b1"][0] != cut["b2"][0] or cut["s1"][0] != cut["s2"][0]:
             apart = cut["left"][i] != cut["left"][j]
@@ -365,7 +380,7 @@ def tile_pairs(open_: DataFrame, sets: DataFrame, percent: int, tile: int = TILE
         n, n2 = cut["n"][i], cut["n"][j]
         ok = 100 * np.minimum(n, n2) >= percent * np.maximum(n, n2)
         i, j = i[ok], j[ok]
-        apart = _distance(cut["bits"][i], cut["bits"][j])
+        apart = _distance(bits[i], bits[j])
         keep = _bound_passes(cut["n"][i], cut["n"][j], apart, percent)
         i, j = i[keep], j[keep]
         return [np.array([cut["id"][i], cut["id"][j], np.minimum(cut["n"][i], cut["n"][j])])] if len(i) else []
@@ -375,7 +390,9 @@ def tile_pairs(open_: DataFrame, sets: DataFrame, percent: int, tile: int = TILE
 
         def arrays(b: pa.RecordBatch) -> dict[str, np.ndarray]:
             t = {c: b.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(b.schema.names) if c != "bits"}
-            return t | {"n": t["n"].astype(np.int64), "bits": _words_of(b.column(b.schema.names.index("bits")))}
+            bits = np.empty(b.num_rows, object)
+            bits[:] = b.column(b.schema.names.index("bits")).to_pylist()
+            return t | {"n": t["n"].astype(np.int64), "bits": bits}
 
         def result(found: list[np.ndarray]) -> pa.RecordBatch:
             f = np.concatenate(found, axis=1) if found else np.empty((3, 0), np.int64)
