@@ -5,9 +5,9 @@ shingles, or of its whole word sequence if it is shorter.  Two lines are similar
 Jaccard similarity of ``PERCENT`` per cent.  A line goes when an earlier line, by document id and
 place, is similar to it; blank lines stay.
 
-1. Tokens are counted into 2^16 hashed slots (one array of counts, whatever the corpus),
-   which orders them by rarity: log of the slot's count, then hash.  The count sits in
-   the top bits of the token, so sorting tokens sorts by rarity.
+1. Words are counted into 2^16 hashed slots (one array of counts, whatever the corpus).  A
+   token is as rare as its last word: log of the slot's count, then hash.  The count sits
+   in the top bits of the token, so sorting tokens sorts by rarity.
 2. Each line keeps its size, a 128-bit digest of its set and its prefix.  Equal sets are
    one class, of which all but the first line go.
 3. Prefix tokens that two classes share are postings; a class must share as many of them
@@ -47,69 +47,79 @@ def line_words(line: Column) -> Column:
     return F.when(folded == "", F.array().cast("array<string>")).otherwise(F.split(folded, " "))
 
 
-def shingle_hashes(words: Column, width: int) -> Column:
-    """One 64-bit hash per shingle, in order.
+def _beside(a: Column, b: Column, shift: int, join) -> Column:
+    """join(a[i], b[i + shift]) for every i; the last ones have no partner."""
+    return F.zip_with(a, F.slice(b, shift + 1, F.greatest(F.size(b) - shift, F.lit(0))), join)
 
-    Words are hashed once; a run of 2k hashes is two runs of k, k apart, so a shingle takes a few
-    steps over arrays of numbers instead of one over its words.
+
+def _runs(hashes: Column, length: int) -> Column:
+    """Hashes of runs of ``length`` neighbours; at the end come some shorter ones.
+
+    Two runs of k, k apart, make a run of 2k: a few steps over arrays of numbers.
     """
-    runs, have, need_ = {1: F.transform(words, lambda w: F.xxhash64(w))}, 1, width
-    while 2 * have <= width:
-        runs[2 * have] = _beside(runs[have], runs[have], have)
+    join = lambda x, y: F.xxhash64(x, y)
+    runs, have = {1: hashes}, 1
+    while 2 * have <= length:
+        runs[2 * have] = _beside(runs[have], runs[have], have, join)
         have *= 2
-    several, done = runs[have], have
+    out, done = runs[have], have
     for size in sorted(runs, reverse=True)[1:]:
-        if need_ - done >= size:
-            several, done = _beside(several, runs[size], done), done + size
-    several = F.slice(several, 1, F.greatest(F.size(words) - (width - 1), F.lit(0)))
-    short = F.array(F.xxhash64(F.size(words), F.array_join(words, " ")))
-    return (
-        F.when(F.size(words) >= width, several)
-        .when(F.size(words) > 0, short)
-        .otherwise(F.array().cast("array<bigint>"))
-    )
-
-
-def _beside(a: Column, b: Column, shift: int) -> Column:
-    """Hash of a[i] and b[i + shift], for every i; the last ones have no partner."""
-    return F.zip_with(a, F.slice(b, shift + 1, F.greatest(F.size(b) - shift, F.lit(0))), lambda x, y: F.xxhash64(x, y))
+        if length - done >= size:
+            out, done = _beside(out, runs[size], done, join), done + size
+    return out
 
 
 def _slot(h: Column) -> Column:
     return h.bitwiseAND(SLOTS - 1).cast("int")
 
 
-def slot_counts(lines: DataFrame, width: int) -> list[int]:
-    """How often tokens of each slot occur."""
-    tokens = lines.select(line_words(F.col("line")).alias("words")).select(F.explode(shingle_hashes(F.col("words"), width)).alias("h"))
+def slot_counts(lines: DataFrame) -> list[int]:
+    """How often words of each slot occur."""
+    words = lines.select(F.explode(line_words(F.col("line"))).alias("w"))
     counts = [0] * SLOTS
-    for r in tokens.groupBy(_slot(F.col("h")).alias("slot")).count().collect():  # at most SLOTS rows
+    for r in words.groupBy(_slot(F.xxhash64("w")).alias("slot")).count().collect():  # at most SLOTS rows
         counts[r.slot] = r["count"]
     return counts
 
 
+def _rarity_class(count: float) -> int:
+    return min(126, math.floor(3 * math.log2(1 + count))) << _HASH_BITS
+
+
 def rarity_table(counts: list[int]) -> Column:
     """Array literal: per slot the rarity class, in the top bits of a token."""
-    classes = ",".join(str(min(126, math.floor(3 * math.log2(1 + c))) << _HASH_BITS) for c in counts)
-    return F.split(F.lit(classes), ",").cast("array<bigint>")
+    return F.split(F.lit(",".join(str(_rarity_class(c)) for c in counts)), ",").cast("array<bigint>")
 
 
 def token_set(words: Column, table: Column, width: int) -> Column:
-    """Distinct tokens of a line, rarest first."""
-    tokens = F.transform(
-        shingle_hashes(words, width),
-        lambda h: F.get(table, _slot(h)).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS)),
+    """Distinct tokens of a line, rarest first: the class of the last word, then the hash of the shingle."""
+    low = lambda h: F.shiftrightunsigned(h, 64 - _HASH_BITS)
+    marked = F.transform(
+        F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.get(table, _slot(h)).bitwiseOR(low(h))
+    )
+    classes = 127 << _HASH_BITS
+    if width == 1:
+        several = marked
+    else:
+        several = _beside(
+            _runs(marked, width - 1), marked, width - 1, lambda x, y: y.bitwiseAND(classes).bitwiseOR(low(F.xxhash64(x, y)))
+        )
+        several = F.slice(several, 1, F.greatest(F.size(words) - (width - 1), F.lit(0)))
+    short = F.transform(
+        F.slice(words, -1, 1), lambda w: F.get(table, _slot(F.xxhash64(w))).bitwiseOR(low(F.xxhash64(F.size(words), F.array_join(words, " "))))
     )
+    none = F.array().cast("array<bigint>")
+    tokens = F.when(F.size(words) >= width, several).when(F.size(words) > 0, short).otherwise(none)
     return F.array_sort(F.array_distinct(tokens))
 
 
 def prefix_length(n: Column, percent: int) -> Column:
-    return F.least(n, n - F.ceil(percent * n / 100) + 1 + F.floor(n / 20)).cast("int")
+    return F.least(n, n - F.ceil(percent * n / 100) + 1 + F.floor(n / 40)).cast("int")
 
 
 def need(n: Column, percent: int) -> Column:
     """Postings that a line of n tokens shares, at least, with a line similar to it."""
-    return 1 + F.floor(F.floor(percent * n / 100) / 20)
+    return 1 + F.floor(F.floor(percent * n / 100) / 40)
 
 
 def text_lines(df: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -144,9 +154,9 @@ def _fits(percent: int) -> Column:
 
 def mark_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Written row, doc_id, key, at, removed: one row per line."""
-    counts = slot_counts(text_lines(df, doc_id, text), width)
+    counts = slot_counts(text_lines(df, doc_id, text))
     table = rarity_table(counts)
-    hot_class = min(126, math.floor(3 * math.log2(1 + 4 * sum(counts) / SLOTS + 4096))) << _HASH_BITS
+    hot_class = _rarity_class(4 * sum(counts) / SLOTS + 4096)
     lines = _digested(text_lines(df, doc_id, text), table, width)
     lines = lines.withColumn("prefix", F.slice("tokens", 1, F.greatest(prefix_length(F.col("n"), percent), F.lit(0))))
     lines = written(lines.select("row", "doc_id", "key", "at", F.xxhash64("line").alias("lk"), *_CLASS, "prefix"), "lines")
