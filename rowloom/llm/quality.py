@@ -24,6 +24,7 @@ from rowloom.llm.common import text_of, words_of
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
 MIN_WORDS = 10
+SPARED = 30
 
 #: Frequent function words of English, French, German and Spanish.
 STOP_WORDS = (
@@ -48,7 +49,8 @@ class Rule(NamedTuple):
 RULES = (
     Rule("word_length", "word_chars", "n_words", 2000, 12000),
     Rule("symbols", "n_symbols", "n_words", None, 100),
-    Rule("stop_words", "n_stop_words", "n_words", 60, None),
+    # Short texts may do without: the first SPARED words ask for none.
+    Rule("stop_words", "n_stop_words", "n_words_long", 60, None),
     Rule("repeated_lines", "n_dup_lines", "n_lines", None, 300),
     Rule("shouted_words", "n_shouted", "n_words", None, 300),
 )
@@ -98,6 +100,7 @@ def measures(df: DataFrame, keep: Sequence[str | Column] = (), text: str = "text
     return rows.select(
         *[F.col(f"`{c}`") for c in kept],
         as_long(F.size(words), "n_words"),
+        as_long(F.greatest(F.size(words) - SPARED, F.lit(0)), "n_words_long"),
         as_long(F.length(F.array_join(words, "")), "word_chars"),
         as_long(
             F.length(own + "text") - F.length(F.regexp_replace(own + "text", SYMBOLS, "")), "n_symbols"

@@ -72,7 +72,7 @@ _CHECKS = " and ".join(
         select r, bool_or(again) over (partition by r order by place rows between 4 preceding and current row) as hit from twice),
     repeated as (select r, count(*) filter (hit) as n from covered group by r),
     m as (
-        select doc_id, len(words) as n_words, coalesce(length(array_to_string(words, '')), 0) as word_chars,
+        select doc_id, len(words) as n_words, greatest(len(words) - {quality.SPARED}, 0) as n_words_long, coalesce(length(array_to_string(words, '')), 0) as word_chars,
             length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols, len(lines) as n_lines,
             len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(n, 0) as n_repeat_words,
             len(list_filter(words, lambda x: lower(x) in ({_STOP}))) as n_stop_words,
