@@ -25,6 +25,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 from sentencepiece import sentencepiece_model_pb2
@@ -34,7 +35,9 @@ from rowloom.llm.common import text_of
 MARK = "▁"
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 #: Parts kept per task before the table starts anew.
-MAX_KEPT = 400_000
+MAX_KEPT = 500_000
+_SHORT = 40  # symbols up to which the agenda is a plain list
+_NEVER = float("-inf")
 
 
 class MergeVocabulary:
@@ -62,16 +65,55 @@ class MergeVocabulary:
                 self.text[i] = proto.trainer_spec.unk_surface
         self.unknown_surface = proto.trainer_spec.unk_surface
         longer = [p for p in self.ids if len(p) > 1]
+        #: Neighbours inside some piece; between all others nothing ever merges.
+        self.pairs = {p[i : i + 2] for p in longer for i in range(len(p) - 1)}
         inner = "".join(re.escape(c) for c in sorted({c for p in longer for c in p} - {MARK}))
         if any(MARK in p.lstrip(MARK) for p in longer):
             self.parts = re.compile("(?s).+")
         else:
             self.parts = re.compile(f"(?s){MARK}+[{inner}]*|[{inner}]+|[^{MARK}{inner}]+")
 
+    def apart(self, part: str) -> list[str]:
+        """A part cut wherever no piece holds both neighbours."""
+        cuts = [i for i in range(1, len(part)) if part[i - 1 : i + 1] not in self.pairs]
+        return [part[a:b] for a, b in zip([0, *cuts], [*cuts, len(part)])] if cuts else [part]
+
     def encode_part(self, part: str) -> list[int]:
         """Pair agenda over one part: best score first, then leftmost."""
-        symbols, score = list(part), self.score
-        n = len(symbols)
+        symbols = list(part)
+        if len(symbols) > _SHORT:
+            self._merge_long(symbols)
+        else:
+            self._merge_short(symbols)
+        out = []
+        for s in symbols:
+            if s in self.ids:
+                out.append(self.ids[s])
+            elif s and self.bytes:
+                out += [self.bytes[b] for b in s.encode("utf-8")]
+            elif s:
+                out.append(self.unknown)
+        return out
+
+    def _merge_short(self, symbols: list[str]) -> None:
+        """The agenda as a list, one entry per neighbouring pair; its least entry is next."""
+        score = self.score.get
+        agenda = [-score(a + b, _NEVER) for a, b in zip(symbols, symbols[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == -_NEVER:
+                break
+            i = agenda.index(best)
+            symbols[i] += symbols.pop(i + 1)
+            del agenda[i]
+            if i:
+                agenda[i - 1] = -score(symbols[i - 1] + symbols[i], _NEVER)
+            if i < len(agenda):
+                agenda[i] = -score(symbols[i] + symbols[i + 1], _NEVER)
+
+    def _merge_long(self, symbols: list[str]) -> None:
+        """The agenda as a heap; outdated entries are passed over."""
+        n, score = len(symbols), self.score
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
         agenda = []
 
@@ -94,15 +136,6 @@ class MergeVocabulary:
                 offer(i, right[j])
             if left[i] >= 0:
                 offer(left[i], i)
-        out = []
-        for s in symbols:
-            if s in self.ids:
-                out.append(self.ids[s])
-            elif s and self.bytes:
-                out += [self.bytes[b] for b in s.encode("utf-8")]
-            elif s:
-                out.append(self.unknown)
-        return out
 
     def split(self, text: str) -> list[str]:
         return self.parts.findall((MARK + text).replace(" ", MARK)) if text else []
@@ -162,14 +195,24 @@ class CheckedParts:
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model) if check else None
         self.ids: dict[str, str] = {}
         self.surfaces: dict[str, str] = {}
+        self.pieces: dict[str, list[int]] = {}
         head = self.library.encode("\n") if check else []
         self.head = len(head)
 
     def learn(self, parts: set[str]) -> None:
-        if len(self.ids) > MAX_KEPT:
-            self.ids, self.surfaces = {}, {}
+        """Encode what is new among ``parts``; all of them are known afterwards."""
         new = [p for p in parts if p not in self.ids]
-        found = [self.vocabulary.encode_part(p) for p in new]
+        if len(self.ids) + len(new) > MAX_KEPT:
+            self.ids, self.surfaces, self.pieces, new = {}, {}, {}, list(parts)
+        found = []
+        for p in new:
+            ids: list[int] = []
+            for bit in self.vocabulary.apart(p):
+                known = self.pieces.get(bit)
+                if known is None:
+                    known = self.pieces[bit] = self.vocabulary.encode_part(bit)
+                ids += known
+            found.append(ids)
         if self.library is not None and new:
             # The library puts a mark in front; a part without one stands behind a line feed.
             marked = [p[0] == MARK for p in new]
@@ -183,14 +226,24 @@ class CheckedParts:
             self.ids[part] = ",".join(map(str, own))
             self.surfaces[part] = self.vocabulary.surface(own)
 
-    def row(self, text: str) -> tuple[str, str]:
-        """Ids joined by commas, and the decoded text."""
-        parts = self.vocabulary.split(text)
-        ids = list(map(self.ids.get, parts))
-        if None in ids:
-            self.learn({p for p, i in zip(parts, ids) if i is None} | set(parts))
-            ids = list(map(self.ids.get, parts))
-        return ",".join(ids), _unprefixed("".join(map(self.surfaces.get, parts)))
+    def rows(self, texts: list[str]) -> Iterator[tuple[str, str]]:
+        """Ids joined by commas, and the decoded text, of each text."""
+        split = [self.vocabulary.split(t) for t in texts]
+        self.learn(set().union(*split))
+        for parts in split:
+            yield ",".join(map(self.ids.__getitem__, parts)), _unprefixed("".join(map(self.surfaces.__getitem__, parts)))
+
+
+def _portions(batch: pa.RecordBatch, rows: int = 256, characters: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with few rows and, unless one row alone has more, few characters."""
+    sizes, start, held = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist(), 0, 0
+    for at, size in enumerate(sizes):
+        if at > start and (at - start == rows or held + size > characters):
+            yield batch.slice(start, at - start)
+            start, held = at, 0
+        held += size
+    if batch.num_rows:
+        yield batch.slice(start)
 
 
 def encode_documents(df: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
@@ -204,11 +257,9 @@ def encode_documents(df: DataFrame, model: str, doc_id: str = "doc_id", text: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = CheckedParts(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
+            for piece in _portions(batch):
                 n, sha, back, ids, decoded = [], [], [], [], []
-                for t in piece.column(1):
-                    joined, whole = parts.row(t.as_py())
+                for joined, whole in parts.rows(piece.column(1).to_pylist()):
                     n.append(joined.count(",") + 1 if joined else 0)
                     sha.append(hashlib.sha256(joined.encode()).hexdigest())
                     back.append(hashlib.sha256(whole.encode("utf-8")).hexdigest())
