@@ -140,7 +140,27 @@ def ngram_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(documents(spark, folder), held_out(F.col("doc_id"), 0))
 
 
-@query("op9_shingle_jaccard")
+_SHINGLES = r"""case when len(words) >= {k} then
+        list_distinct(list_transform(range(1, len(words) - {k} + 2), lambda i: array_to_string(words[i:i + {k} - 1], ' ')))
+        when len(words) > 0 then [array_to_string(words, ' ')] else [] end"""
+
+
+@query(
+    "op9_shingle_jaccard",
+    rf"""
+    with recursive d as (
+        select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce("text", ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words from documents),
+    sets as (select r, doc_id, {_SHINGLES.format(k=jaccard.WORDS)} as s from d),
+    items as (select r, len(s) as n, unnest(s) as item from sets),
+    links as (
+        select a.r as a, b.r as b from items a join items b on a.item = b.item and a.r <> b.r
+        group by a.r, b.r, a.n, b.n having 100 * count(*) >= {jaccard.PERCENT} * (a.n + b.n - count(*))),
+    reach as (select r, r as node from sets union select reach.r, links.b from reach join links on reach.node = links.a)
+    select s.doc_id, len(s.s) as n_shingles, coalesce(min(o.doc_id), s.doc_id) as component_id
+    from sets s join reach on s.r = reach.r join sets o on o.r = reach.node group by s.r, s.doc_id, s.s
+    """,
+)
 def shingle_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.components_of(documents(spark, folder)).select("doc_id", "n_shingles", "component_id")
 
@@ -150,7 +170,26 @@ def context_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
     return ctw.score_documents(documents(spark, folder), held_out(F.col("doc_id"), 1))
 
 
-@query("op10_line_join")
+@query(
+    "op10_line_join",
+    rf"""
+    with d as (select row_number() over (order by doc_id nulls last) as r, doc_id, string_split(lower(coalesce("text", '')), chr(10)) as l from documents),
+    x as (select r, doc_id, unnest(l) as line, generate_subscripts(l, 1) - 1 as line_no from d),
+    w as (select row_number() over (order by r, line_no) as place, *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') as words from x),
+    sets as (select place, r, doc_id, line_no, {_SHINGLES.format(k=lines.WORDS)} as s from w),
+    classes as (select list_sort(s) as c, min(place) as place from sets where len(s) > 0 group by c),
+    items as (select place, len(c) as n, unnest(c) as item from classes),
+    late as (
+        select b.place from items a join items b on a.item = b.item and a.place < b.place
+        group by a.place, b.place, a.n, b.n having 100 * count(*) >= {lines.PERCENT} * (a.n + b.n - count(*))),
+    gone as (
+        select s.r, s.line_no from sets s join classes c on list_sort(s.s) = c.c
+        where s.place <> c.place or c.place in (select place from late))
+    select s.doc_id, count(*) as n_lines, count(g.line_no) as n_removed,
+        coalesce(string_agg(g.line_no::varchar, ',' order by g.line_no), '') as removed_lines
+    from sets s left join gone g on s.r = g.r and s.line_no = g.line_no group by s.r, s.doc_id
+    """,
+)
 def line_join(spark: SparkSession, folder: str) -> DataFrame:
     found = lines.removals(lines.mark_lines(documents(spark, folder)))
     return found.select("doc_id", "n_lines", "n_removed", F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
