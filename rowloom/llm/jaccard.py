@@ -49,8 +49,8 @@ PERCENT = 85
 SLOTS = 1 << 16
 BITS = 1024
 TILE = 256
-LEADERS = 3
-TURNS = 2
+LEADERS = 4
+TURNS = 3
 _K1, _K2, _K3 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
