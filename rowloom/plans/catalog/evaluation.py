@@ -259,7 +259,22 @@ def network_scoring(spark, folder):
     "select 'class ' || label as target, count(*) as n_held, count(*) as n_labelled from embeddings where vec_id % 5 = 0 group by label",
 )
 def classifier_baseline(spark, folder):
-    """Text labels, scored on rows that were not learned from: rows per class, all with one of the labels."""
+    """Rows per class that were not learned from, all with one of the labels; what was found is in ``classifier_confusion``."""
+    scored, labels = held_out_classes(spark, folder)
+    return scored.groupBy("target").agg(F.count("*").alias("n_held"), F.count_if(F.col("found").isin(labels)).alias("n_labelled"))
+
+
+@query("classifier_confusion")
+def classifier_confusion(spark, folder):
+    """Held-out rows per true and predicted label, and the accuracy over all of them."""
+    scored, _ = held_out_classes(spark, folder)
+    counts = scored.groupBy("target", "found").agg(F.count("*").alias("n"))
+    right = scored.agg(F.avg((F.col("target") == F.col("found")).cast("int")).alias("accuracy"))
+    return counts.crossJoin(F.broadcast(right))
+
+
+def held_out_classes(spark, folder):
+    """Text labels and the label found for them, of rows that were not learned from; and all labels."""
     data = scan(spark, folder, "embeddings").select(
         "vec_id", F.col("embedding").alias("features"), F.concat(F.lit("class "), F.col("label")).alias("target")
     )
@@ -267,8 +282,7 @@ def classifier_baseline(spark, folder):
     train, held = data.where("vec_id % 5 <> 0"), data.where("vec_id % 5 = 0")
     indexed = train.withColumn("target", models.label_index(F.col("target"), labels))
     scored = models.classify(models.fit_classifier(indexed, 64, len(labels), [16], max_iter=40), held)
-    scored = written(scored.select("target", models.index_label(F.col("prediction"), labels).alias("found")), "classified")
-    return scored.groupBy("target").agg(F.count("*").alias("n_held"), F.count_if(F.col("found").isin(labels)).alias("n_labelled"))
+    return written(scored.select("vec_id", "target", models.index_label(F.col("prediction"), labels).alias("found")), "classified"), labels
 
 
 @query("tabular_flow")

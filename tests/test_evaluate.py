@@ -147,6 +147,28 @@ def test_class_labels(spark):
     assert np.abs(models._erf(x) - [math.erf(v) for v in x]).max() < 4e-15
 
 
+def test_held_out_classes_are_counted(spark, tmp_path):
+    import collections
+
+    from rowloom.plans.catalog import evaluation
+    from rowloom.plans.catalog.registry import QUERIES
+
+    draw = np.random.default_rng(3)
+    labels = [int(k) for k in draw.choice(3, 600, p=[0.5, 0.3, 0.2])]
+    centres = draw.normal(size=(3, 64))
+    rows = [(i, (centres[k] + draw.normal(size=64)).tolist(), k) for i, k in enumerate(labels)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    scored, _ = evaluation.held_out_classes(spark, str(tmp_path))
+    each = {r.vec_id: (r.target, r.found) for r in scored.collect()}
+    assert {i: t for i, (t, _) in each.items()} == {i: f"class {k}" for i, k in enumerate(labels) if i % 5 == 0}
+    found = QUERIES["classifier_confusion"](spark, str(tmp_path)).collect()
+    assert {(r.target, r.found): r.n for r in found} == collections.Counter(each.values())
+    right = sum(t == f for t, f in each.values()) / len(each)
+    assert all(abs(r.accuracy - right) < 1e-12 for r in found)
+    majority = max(collections.Counter(t for t, _ in each.values()).values()) / len(each)
+    assert right > majority + 0.3
+
+
 def test_executors_need_no_copy_of_the_package(tmp_path):
     """Run from a folder that does not hold the package: functions must travel with the job."""
     import pathlib
