@@ -10,8 +10,11 @@ Patterns give the base spans.  Beside them every long token is tested:
 * the number of switches between digits, small and capital letters gets a p-value under
   ordinary text, which switches with probability ``ORDINARY`` per character: the Chernoff
   bound, which falls with length, so a short token needs more evidence,
+* letters of one case cannot switch and get the p-value of their likelihood ratio, equal
+  shares against the shares of ordinary text (Markov's bound).  Digits alone get 1: from
+  24 in a row they are a base span, and in fewer nothing tells a key from a number,
 * Benjamini-Hochberg over all tokens of the corpus sets the p-value at which a token
-  counts as found.
+  counts as found; a token that fails a test of randomness has the p-value 1.
 
 The first pass sums tokens by binned p-value (a few hundred rows whatever the corpus);
 the second is a projection.  No text is shuffled.
@@ -23,6 +26,7 @@ other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -38,6 +42,11 @@ MIN_ASSIGNED, MIN_ACCESS, MIN_HEX, MIN_TOKEN = 6, 20, 24, 20
 TOKEN = f"[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}"
 ORDINARY = 0.05
 FALSE_SHARE = 0.01
+#: Letters of ordinary text, rounded shares of English, French, German and Spanish together; none below 5.
+LETTERS = dict(
+    a=83, b=15, c=33, d=41, e=145, f=15, g=17, h=35, i=70, j=5, k=8, l=46, m=27,
+    n=74, o=61, p=23, q=8, r=66, s=70, t=70, u=45, v=13, w=11, x=5, y=9, z=6,
+)
 LIMIT = 2.94  # two-sided 1 % over three tests
 _BINS = 400  # tenths of -log10(p)
 
@@ -156,21 +165,37 @@ def _battery(core: Column, alphabet: Column) -> Column:
 
 
 def evidence(token: Column) -> Column:
-    """Tenths of -log10 of the Chernoff bound on the class switches of an ordinary token."""
-    core = F.regexp_replace(token, "[-_=]", "")
+    """Tenths of -log10 of the p-value under ordinary text: of its class switches or, in letters of one case, of the letters."""
+    return _let(F.regexp_replace(token, "[-_=]", ""), _evidence)
+
+
+def _evidence(core: Column) -> Column:
     runs = F.size(F.regexp_extract_all(core, F.lit("[0-9]+|[a-z]+|[A-Z]+|[+/]+"), F.lit(0)))
     pairs = F.greatest(F.length(core) - 1, F.lit(1)).cast("double")
     rate = F.greatest(F.least((runs - 1) / pairs, F.lit(1 - 1e-12)), F.lit(1e-12))
     gain = pairs * (rate * F.log(rate / ORDINARY) + (1 - rate) * F.log((1 - rate) / (1 - ORDINARY)))
-    tenths = F.floor(10 * gain / 2.302585092994046).cast("int")
-    return F.when(rate > ORDINARY, F.least(tenths, F.lit(_BINS))).otherwise(0)
+    one_case = core.rlike("^([a-z]+|[A-Z]+)$")
+    switched = F.when(rate > ORDINARY, gain).otherwise(0.0)
+    gain = F.when(one_case, _letter_gain(F.lower(core))).otherwise(switched)
+    return F.greatest(F.least(F.floor(10 * gain / math.log(10)).cast("int"), F.lit(_BINS)), F.lit(0))
+
+
+def _letter_gain(letters: Column) -> Column:
+    """Log of the likelihood ratio of equal shares to those of ordinary text."""
+    total = sum(LETTERS.values())
+    weights = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(math.log(total / n / len(LETTERS))).alias("w")) for c, n in LETTERS.items()])
+    times = lambda c: F.length(letters) - F.length(F.replace(letters, c, F.lit("")))
+    return F.aggregate(weights, F.lit(0.0), lambda s, x: s + x["w"] * times(x["c"]))
 
 
 def discovery_cut(df: DataFrame, text: str = "text", false_share: float = FALSE_SHARE) -> int:
     """Benjamini-Hochberg over all tokens: the evidence from which a token counts as found."""
     tokens = df.select(text_of(text).alias("t")).where(F.col("t").rlike(TOKEN))
     tokens = tokens.select(F.explode(F.regexp_extract_all("t", F.lit(TOKEN), F.lit(0))).alias("token"))
-    bins = dict(tokens.groupBy(evidence(F.col("token")).alias("bin")).count().collect())  # _BINS + 1 rows at most
+    # Only tokens with some evidence go through the tests of randomness.
+    tokens = tokens.select("token", evidence(F.col("token")).alias("bin"))
+    passed = F.when(F.col("bin") > 0, F.when(looks_random(F.col("token")), F.col("bin"))).otherwise(0)
+    bins = dict(tokens.groupBy(F.coalesce(passed, F.lit(0)).alias("bin")).count().collect())  # _BINS + 1 rows at most
     total, reached, cut = sum(bins.values()), 0, _BINS + 1
     for b in sorted(bins, reverse=True):
         reached += bins[b]

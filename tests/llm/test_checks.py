@@ -196,6 +196,21 @@ def test_secrets_adds_random_tokens_only(spark):
     assert not any(found[100 + i] for i in range(len(plain)))
 
 
+def test_secrets_of_one_character_class(spark):
+    import random
+    import string
+
+    draw = random.Random(6)
+    keys = ["".join(draw.choice(a) for _ in range(40)) for a in (string.ascii_lowercase, string.ascii_uppercase) for _ in range(20)]
+    plain = ["antidisestablishmentarianism", "rindfleischetikettierungsgesetz", "an-ordinary-name-with-hyphens", "MAXIMUM_NUMBER_OF_CONNECTIONS"]
+    plain += ["anticonstitutionnellement", "x" * 50, "q" * 40, "2024-01-01-2024-01-02-2024-01-03", "4000-1234-5678-9010-2345"]
+    rows = [(i, f"see {k} here") for i, k in enumerate([*keys, *plain * 6])]
+    found = {r.doc_id: r.spans for r in secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for start in (0, 20):
+        assert sum(bool(found[i]) for i in range(start, start + 20)) >= 17
+    assert not any(found[i] for i in range(40, len(rows)))
+
+
 def test_pieces_like_the_library(spark, texts):
     import public_tokenizers
     import sentencepiece
