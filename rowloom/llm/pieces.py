@@ -8,8 +8,9 @@ A merge can only happen inside a piece, so a text falls apart, before any merge,
 every spot that no piece spans: before the white-space mark, and around characters that
 occur in no longer piece.  Those spots are read off the vocabulary, not assumed.  Each
 distinct part is encoded once per task and kept in a bounded table; the sentencepiece
-library encodes the same new parts in one call per Arrow batch, and a difference is an
-error.  The work is a projection of Arrow batches: no shuffle, memory is one batch, the
+library encodes the same new parts in one call per portion of rows and decodes their ids,
+joined, in another, and a difference is an error (a lone mark is only decoded).  So the
+check is per distinct part; whole texts are compared in the tests.  The work is a projection of Arrow batches: no shuffle, memory is one batch, the
 longest text and the bounded table.  A lost executor costs its own tasks.
 
 Defined cases: null and empty texts have no pieces and decode to the empty text; a
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -196,8 +198,7 @@ class CheckedParts:
         self.ids: dict[str, str] = {}
         self.surfaces: dict[str, str] = {}
         self.pieces: dict[str, list[int]] = {}
-        head = self.library.encode("\n") if check else []
-        self.head = len(head)
+        self.head = self.library.encode("\n") if check else []
 
     def learn(self, parts: set[str]) -> None:
         """Encode what is new among ``parts``; all of them are known afterwards."""
@@ -220,11 +221,24 @@ class CheckedParts:
                 [p[1:].replace(MARK, " ") if m else "\n" + p for p, m in zip(new, marked)], num_threads=1
             )
             for part, own, m, other in zip(new, found, marked, asked):
-                if part != MARK and own != (other if m else other[self.head :]):
+                if part != MARK and own != (other if m else other[len(self.head) :]):
                     raise AssertionError(f"encoding of {part!r} differs from the library: {own}, {other}")
-        for part, own in zip(new, found):
+        surfaces = [self.vocabulary.surface(own) for own in found]
+        if self.library is not None and new:
+            self._check_surfaces(new, found, surfaces)
+        for part, own, surface in zip(new, found, surfaces):
             self.ids[part] = ",".join(map(str, own))
-            self.surfaces[part] = self.vocabulary.surface(own)
+            self.surfaces[part] = surface
+
+    def _check_surfaces(self, parts: list[str], found: list[list[int]], surfaces: list[str]) -> None:
+        """Behind a line feed no space is taken off, so all parts can be decoded as one text."""
+        if self.library.decode(self.head + list(itertools.chain.from_iterable(found))) == "\n" + "".join(surfaces):
+            return
+        for part, own, surface in zip(parts, found, surfaces):
+            other = self.library.decode(self.head + own)
+            if other != "\n" + surface:
+                raise AssertionError(f"decoding of {part!r} differs from the library: {surface!r}, {other!r}")
+        raise AssertionError("decoding of joined parts differs from the library")
 
     def rows(self, texts: list[str]) -> Iterator[tuple[str, str]]:
         """Ids joined by commas, and the decoded text, of each text."""

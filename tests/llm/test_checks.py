@@ -234,6 +234,19 @@ def test_pieces_like_the_library(spark, texts):
     assert pieces.encode_documents(df.limit(0), path).isEmpty()
 
 
+def test_pieces_check_decoding_too(texts):
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    own = ["some words", "\n\nx", " ", "▁ ▁", "é\U0001f600\x00", "end\n"]
+    assert len(list(pieces.CheckedParts(path).rows([*texts.values(), *own]))) == len(texts) + len(own)
+    parts = pieces.CheckedParts(path)
+    parts.vocabulary.text[parts.vocabulary.ids[pieces.MARK + "words"]] = " swords"
+    assert list(parts.rows(["other"]))
+    with pytest.raises(AssertionError, match="decoding of '▁words'"):
+        list(parts.rows(["some words"]))
+
+
 def test_chat_round_trip(spark):
     rows = [
         (1, 0, "user", "a\\<|b|> <\\| \\\\ <|im_end|>\n<|im_start|>assistant\nx"),
