@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rowloom.errors import TrainingError, require_columns
 from rowloom.functions.coerce import INF, col
@@ -134,7 +135,8 @@ def early_stopping(
     ``min_delta``; the run stops at the ``patience``-th epoch in a row that does not.
 
     Only an epoch that beats every earlier one can improve, so a running extreme first
-    thins each run to those records; the fold then runs over the records alone.
+    thins each run to those records; the fold then runs over the records alone, which pass
+    in sorted batches: only its state is kept, however many epochs are records.
     """
     sign = {"min": 1.0, "max": -1.0}.get(mode.lower())
     if sign is None:
@@ -144,33 +146,16 @@ def early_stopping(
     )
     ranked = _ranked_epochs(seen, needs_segments(seen, ["run_id"], strategy, max_run_epochs), segment_rows)
     record = (F.col("i") == 1) | (F.col("v") < F.col("low"))
-    runs = ranked.groupBy("run_id").agg(
-        F.max("i").alias("n"),
-        F.sort_array(F.collect_list(F.when(record, F.struct("i", "v")))).alias("records"),
-    )
-    # State: best score, place of the last improvement, place of the stop (0 = running).
-    start = F.struct(
-        F.col("records")[0]["v"].alias("best"), F.lit(1).alias("at"), F.lit(0).alias("stop")
-    )
-
-    def step(state: Column, r: Column) -> Column:
-        late = (state["stop"] == 0) & (r["i"] > state["at"] + patience)
-        stop = F.when(late, state["at"] + patience).otherwise(state["stop"])
-        better = (stop == 0) & ((state["best"] - r["v"]) > min_delta) & ~F.isnan(state["best"])
-        return F.struct(
-            F.when(better, r["v"]).otherwise(state["best"]).alias("best"),
-            F.when(better, r["i"]).otherwise(state["at"]).alias("at"),
-            stop.alias("stop"),
-        )
-
-    folded = runs.withColumn("s", F.aggregate("records", start, step))
-    stop = F.when(F.col("s.stop") > 0, F.col("s.stop")).when(
-        F.col("n") >= F.col("s.at") + patience, F.col("s.at") + patience
+    folded = _fold_records(ranked.where(record).select("run_id", "i", "v"), patience, min_delta)
+    runs = ranked.groupBy(F.col("run_id").alias("__run")).agg(F.max("i").alias("n"))
+    folded = folded.join(runs, F.col("run_id").eqNullSafe(F.col("__run")))
+    stop = F.when(F.col("stop") > 0, F.col("stop")).when(
+        F.col("n") >= F.col("at") + patience, F.col("at") + patience
     )
     placed = folded.select(
         "run_id",
-        (F.col("s.best") * F.lit(sign)).alias("best_score"),
-        (F.coalesce(stop, F.col("n")) - F.col("s.at")).alias("bad_epochs"),
+        (F.col("best") * F.lit(sign)).alias("best_score"),
+        (F.coalesce(stop, F.col("n")) - F.col("at")).alias("bad_epochs"),
         stop.alias("stop_at"),
     )
     epochs = ranked.select("run_id", F.col("i").alias("stop_at"), F.col("epoch").alias("stop_epoch"))
@@ -179,6 +164,42 @@ def early_stopping(
     )
 
 
+def _fold_records(records: DataFrame, patience: int, min_delta: float) -> DataFrame:
+    """Best score, place of the last improvement and place of the stop (0 = running) of each run."""
+    run_type = records.schema["run_id"].dataType
+    schema = T.StructType(
+        [
+            T.StructField("run_id", run_type),
+            T.StructField("best", T.DoubleType()),
+            T.StructField("at", T.IntegerType()),
+            T.StructField("stop", T.IntegerType()),
+        ]
+    )
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, best, at, stop, kind = None, None, 0, 0, None  # at = 0: no run yet
+
+        def row() -> pa.RecordBatch:
+            columns = [pa.array([run], kind), pa.array([best], pa.float64()), pa.array([at], pa.int32()), pa.array([stop], pa.int32())]
+            return pa.RecordBatch.from_arrays(columns, names=["run_id", "best", "at", "stop"])
+
+        for batch in batches:
+            kind = batch.schema.field("run_id").type
+            for r, i, v in zip(*[batch.column(c).to_pylist() for c in ("run_id", "i", "v")]):
+                if i == 1:
+                    if at:
+                        yield row()
+                    run, best, at, stop = r, v, 1, 0
+                elif not stop and i > at + patience:
+                    stop = at + patience
+                elif not stop and best is not None and best - v > min_delta:
+                    best, at = v, i
+        if at:
+            yield row()
+
+    return records.repartition("run_id").sortWithinPartitions("run_id", "i").mapInArrow(fold, schema)
+
+
 def _ranked_epochs(seen: DataFrame, divided: bool, segment_rows: int) -> DataFrame:
     """``i``: place of an epoch in its run; ``low``: smallest value before it.
 

@@ -147,6 +147,19 @@ def test_class_labels(spark):
     assert np.abs(models._erf(x) - [math.erf(v) for v in x]).max() < 4e-15
 
 
+def test_early_stopping_gathers_no_run(spark):
+    """Every epoch of a steadily falling loss is a record."""
+    falling = spark.range(20000).selectExpr("'r' as run_id", "cast(id as int) as epoch", "'val_loss' as metric", "-cast(id as double) as value")
+    odd = spark.createDataFrame(
+        [("nulls", 0, "val_loss", None), ("nulls", 1, "val_loss", 2.0), ("nulls", 2, "val_loss", 1.0), (None, 0, "val_loss", 1.0)],
+        "run_id string, epoch int, metric string, value double",
+    )
+    made = evaluate.early_stopping(falling.union(odd), patience=3)
+    assert "collect_list" not in made._jdf.queryExecution().executedPlan().toString()
+    rows = {r.run_id: tuple(r)[1:] for r in made.collect()}
+    assert rows == {"r": (-19999.0, 0, None, False), "nulls": (None, 2, None, False), None: (1.0, 0, None, False)}
+
+
 def test_held_out_classes_are_counted(spark, tmp_path):
     import collections
 
