@@ -42,7 +42,8 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """doc_id, source, n_tokens, ids, and digests of ids and decoded text."""
     import public_tokenizers
 
-    return pieces.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), keep_ids=True).drop("decoded")
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.encode_documents(docs, model, keep_ids=True, carry=["source"]).drop("decoded")
 
 
 STAGES = [

@@ -24,7 +24,7 @@ import hashlib
 import heapq
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -260,13 +260,15 @@ def _portions(batch: pa.RecordBatch, rows: int = 256, characters: int = 4 << 20)
         yield batch.slice(start)
 
 
-def encode_documents(df: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256; with ``keep_ids`` also ids and decoded."""
-    source = df.select(F.col(f"`{doc_id}`").alias("doc_id"), text_of(text).alias("text"))
+def encode_documents(df: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256; with ``keep_ids`` also ids and decoded; and the columns to ``carry``."""
+    source = df.select(F.col(f"`{doc_id}`").alias("doc_id"), text_of(text).alias("text"), *[F.col(f"`{c}`") for c in carry])
     fields = [source.schema["doc_id"]]
     schema = f"doc_id {fields[0].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     if keep_ids:
         schema += ", ids array<int>, decoded string"
+    for c in carry:
+        schema += f", `{c}` {source.schema[c].dataType.simpleString()}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = CheckedParts(model)
@@ -285,6 +287,8 @@ def encode_documents(df: DataFrame, model: str, doc_id: str = "doc_id", text: st
                 if keep_ids:
                     out += [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
                     names += ["ids", "decoded"]
+                out += [piece.column(2 + i) for i in range(len(carry))]
+                names += carry
                 yield pa.RecordBatch.from_arrays(out, names=names)
 
     return source.mapInArrow(run, schema)

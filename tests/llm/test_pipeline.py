@@ -62,3 +62,26 @@ def test_encoding(stages):
 def test_run_over_an_empty_table(spark, stages, tmp_path):
     stages[0].limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).isEmpty()
+
+
+def test_run_over_the_whole_table(spark):
+    """The last rows against the library and plain code, source included."""
+    import public_tokenizers
+    import sentencepiece
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    verdict = quality.judge(quality.measures(docs, ["doc_id", "text", "source"])).select("doc_id", "text", "source", "kept").collect()
+    good = [(r.doc_id, r.text) for r in verdict if r.kept]
+    best = {}
+    for d, t in good:
+        k = re.sub(r"[\x20\x09-\x0D]", "", t)
+        best[k] = min(best.get(k, (0, 0, "")), (-len(t), d, t)) if k in best else (-len(t), d, t)
+    unique = sorted((d, t) for _, d, t in best.values())
+    # One more, as the plain code takes a document 0 for one without an id.
+    apart = {c - 1 for _, _, c in brute_components([(d + 1, t) for d, t in unique], 5, 80)}
+    copies = {r.doc_id: r.copies for r in mixing.mix(docs.where(F.col("doc_id").isin(*apart))).collect()}
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    given = {r.doc_id: (r.text, r.source) for r in verdict}
+    want = sorted((d, given[d][1] or "", library.encode(given[d][0])) for d in apart for _ in range(copies[d]))
+    assert sorted((r.doc_id, r.source or "", list(r.ids)) for r in corpus_pipeline.run(spark, folder).collect()) == want
