@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowloom.llm import chat, ctw, jaccard, langid, lines, mixing, naming, pieces, quality, secrets
-from rowloom.llm.common import documents, held_out
+from rowloom.llm import byte_pairs, chat, ctw, jaccard, langid, lines, merkle, mixing, naming, pieces, quality, secrets, spelling, sql_parts
+from rowloom.llm.common import ascii_lower, documents, held_out
 from rowloom.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from rowloom.session import small_table
 
@@ -193,3 +193,118 @@ def context_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
 def line_join(spark: SparkSession, folder: str) -> DataFrame:
     found = lines.removals(lines.mark_lines(documents(spark, folder)))
     return found.select("doc_id", "n_lines", "n_removed", F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
+
+
+@query("op11_byte_pairs")
+def byte_pair_codes(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return byte_pairs.encode_documents(
+        documents(spark, folder), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+
+
+def _merkle_leaf(text: str) -> str:
+    cells = ["doc_id", "source", "lang", "n_chars", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({c}::varchar)::varchar || ':' || {c}::varchar, '-')" for c in cells) + ")"
+
+
+def _merkle_levels(name: str, levels: int) -> str:
+    """{name}0 (t, i, d) to {name}{levels}, and g{name}0, ... with what stands beside each node."""
+    out = []
+    for k in range(levels):
+        out.append(f"""
+        {name}{k}c as (select *, count(*) over (partition by t) > 1 as more from {name}{k}),
+        {name}{k + 1} as (
+            select t, i // 16 as i, case when any_value(more) then sha256(string_agg(d, '' order by i)) else any_value(d) end as d
+            from {name}{k}c group by t, i // 16),
+        g{name}{k} as (
+            select a.t, a.i, any_value(a.more) as more, coalesce(string_agg(b.d, '' order by b.i) filter (b.i < a.i), '') as l,
+                coalesce(string_agg(b.d, '' order by b.i) filter (b.i > a.i), '') as r
+            from {name}{k}c a join {name}{k}c b on a.t = b.t and a.i // 16 = b.i // 16 group by a.t, a.i)""")
+    return ",".join(out)
+
+
+def _merkle_folds(start: str, name: str, levels: int, tree: str, place: str) -> str:
+    out = []
+    for k in range(levels):
+        out.append(f"""
+        {start}{name}{k} as (
+            select x.* exclude (f, p), p || l || r as p, case when more then sha256(l || f || r) else f end as f
+            from {start if k == 0 else f'{start}{name}{k - 1}'} x join g{name}{k} g on x.{tree} = g.t and x.{place} // {16**k} = g.i)""")
+    return ",".join(out)
+
+
+#: Up to 16^5 rows per source and 16^3 sources.
+_MERKLE_SQL = f"""
+    with rows as (
+        select doc_id, {_merkle_leaf('"text"')} as leaf, dense_rank() over (order by source nulls first) - 1 as t, 0 as o,
+            case when {sql_parts.crc32(sql_parts.latin_bytes("doc_id::varchar"))} % 5 = 0
+                then {_merkle_leaf(sql_parts.ascii_lower('"text"'))} end as tampered
+        from documents),
+    leaves as (select *, row_number() over (partition by t order by doc_id nulls last, leaf) - 1 as i from rows),
+    a0 as (select t, i, leaf as d from leaves), {_merkle_levels("a", 5)},
+    b0 as (select 0 as t, t as i, d from a5), {_merkle_levels("b", 3)},
+    x as (select *, '' as p, coalesce(tampered, leaf) as f from leaves), {_merkle_folds("x", "a", 5, "t", "i")},
+    y as (select * from xa4), {_merkle_folds("y", "b", 3, "o", "t")}
+    select y.doc_id, leaf, a5.d as subroot, b3.d as root, sha256(p) as proof_sha256, f as folded_root, f = b3.d as verified
+    from yb2 y join a5 on y.t = a5.t cross join b3
+"""
+
+
+@query("op13_merkle_manifest", _MERKLE_SQL)
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    changed = [ascii_lower(F.col(c)) if c == "text" else F.col(c) for c in columns]
+    # A null id has no remainder: nothing is changed there.
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, merkle.leaf_of(changed))
+    made = merkle.manifest(docs, columns, "source", "doc_id", carry={"tampered": tampered})
+    leaf = merkle.spelled(F.col("digest"))
+    fold = merkle.folded(F.coalesce(merkle.spelled(F.col("tampered")), leaf), F.col("proof"))
+    rows = made.proven().select(
+        F.col("order").alias("doc_id"),
+        leaf.alias("leaf"),
+        "subroot",
+        F.lit(made.root).cast("string").alias("root"),
+        F.sha2(merkle.spelled_proof(F.col("proof")), 256).alias("proof_sha256"),
+        fold.alias("folded_root"),
+    )
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+_LATIN = "A-Za-zÀ-ÿ"
+
+
+@query(
+    "op12_spelling_variants",
+    f"""
+    with recursive runs as (
+        select doc_id, unnest(list_transform(regexp_extract_all(coalesce("text", ''), '[{_LATIN}]+'),
+            lambda r: {sql_parts.ascii_lower("r")})) as run from documents),
+    hashed as (select run, {sql_parts.crc32(sql_parts.latin_bytes("coalesce(doc_id::varchar, '') || ':' || run"))} as h from runs where length(run) >= 7),
+    results as (select case when h % 31 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word from hashed),
+    words as (select word, count(*) as n from results where length(word) >= 7 group by word having count(*) >= 2),
+    holes as (
+        select word, i, length(word) as size, substr(word, 1, i - 1) || substr(word, i + 1) as rest
+        from (select word, unnest(range(1, length(word) + 1)) as i from words)),
+    pairs as (
+        select a.word as a, b.word as b from holes a join holes b on a.rest = b.rest and a.i = b.i and a.size = b.size and a.word <> b.word
+        union select h.word, w.word from holes h join words w on h.rest = w.word
+        union select w.word, h.word from holes h join words w on h.rest = w.word),
+    best as (
+        select a as word, count(*) as n_near, max(n) as most, min(b) filter (n = top) as form
+        from (select p.*, w.n, max(w.n) over (partition by a) as top from pairs p join words w on p.b = w.word) group by a),
+    told as (
+        select w.word, w.n, case when most >= 10 * w.n then form end as form, coalesce(n_near, 0) as n_near,
+            case when most >= 10 * w.n then most end as form_n
+        from words w left join best using (word)),
+    way as (
+        select word, coalesce(form, word) as reached, 0 as steps from told
+        union all select way.word, told.form, steps + 1 from way join told on way.reached = told.word where told.form is not null)
+    select t.word, t.form, w.reached as root, t.n, t.n_near, t.form_n
+    from told t join (select word, arg_max(reached, steps) as reached from way group by word) w using (word)
+    """,
+)
+def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.count_words(documents(spark, folder))).select("word", "form", "root", "n", "n_near", "form_n")
