@@ -223,6 +223,6 @@ def decode_documents(df: DataFrame, ranks: str, pattern: str, ids: str = "ids",
                 sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
                 raw = pairs.decode(flat.to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(sizes)])).to_pylist()
                 whole = [b.decode("utf-8", "replace") if v else None for b, v in zip(raw, lists.is_valid().to_pylist())]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(whole, pa.string())], names=[*df.columns, text])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(whole, pa.string())], names=schema.names)
 
     return source.mapInArrow(run, schema)

@@ -97,7 +97,7 @@ def test_odd_rows(spark):
     assert spelling.variants(spelling.count_words(df.limit(0))).isEmpty()
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_dense_neighbourhoods(spark, seed):
     """Few letters, so that nearly every edit is another word."""
     draw = random.Random(seed)
