@@ -39,6 +39,7 @@ from rowloom.operators.ordering import (
     tie_columns,
 )
 from rowloom.operators.row_features import ColumnStages
+from rowloom.operators.wide_windows import WIDE_ROWS, wide_rolling
 
 ROLLING = {"mean": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "std": F.stddev_samp}
 
@@ -111,13 +112,13 @@ def build_series_features(
         split = needs_segments(df, group, strategy, max_series_rows)
         if split:
             work = segments(work, [*group_keys, *order_keys], before=halo, segment_rows=segment_rows)
-            window = Window.partitionBy("__segment", *group_keys).orderBy("__pos")
+            within, order = [F.col("__segment"), *group_keys], [F.col("__pos")]
         else:
-            window = Window.partitionBy(*group_keys).orderBy(*ascending(order_keys))
+            within, order = group_keys, ascending(order_keys)
         grouped = None
         for g in group_keys:
             grouped = g.isNotNull() if grouped is None else grouped & g.isNotNull()
-        work = _add_features(ColumnStages(work), spec, window, grouped)
+        work = _add_features(ColumnStages(work), spec, within, order, grouped)
         if split:
             work = work.where("__home").drop("__segment", "__home", "__pos")
 
@@ -195,10 +196,25 @@ def _check_features(df: DataFrame, spec: SeriesFeatures) -> int:
 
 
 def _add_features(
-    stages: ColumnStages, spec: SeriesFeatures, window: WindowSpec, grouped: Column | None
+    stages: ColumnStages, spec: SeriesFeatures, within: Sequence[Column], order: Sequence[Column], grouped: Column | None
 ) -> DataFrame:
     # Rows of no series get no series features.
     keep = (lambda value: value) if grouped is None else (lambda value: F.when(grouped, value))
+    window = Window.partitionBy(*within).orderBy(*order)
+    wide: dict[str, tuple[str, int, str]] = {}
+
+    def close(stages: ColumnStages) -> ColumnStages:
+        """Apply the wide features gathered so far, which do not read each other."""
+        if not wide:
+            return stages
+        frame = stages.df
+        asked = {new: (finite_number(frame, source), rows, agg) for new, (source, rows, agg) in wide.items()}
+        frame, found, helpers = wide_rolling(frame, asked, within, order)
+        done = {}
+        for new, (_, rows, agg) in wide.items():
+            done[new] = keep(enough(*found[new], agg, _least(spec, rows)))
+        wide.clear()
+        return ColumnStages(frame.withColumns(done).drop(*helpers))
 
     for new, (source, steps) in spec.lag_features.items():
         stages.reading(source)
@@ -207,10 +223,19 @@ def _add_features(
         frame = stages.reading(source)
         stages.add({new: keep(difference(frame, source, F.lag(col(source), steps).over(window), new))})
     for new, (source, rows, agg) in spec.rolling_features.items():
+        if rows >= WIDE_ROWS:
+            if source in wide or new in wide or any(new == s for s, _, _ in wide.values()):
+                stages = close(stages)
+            wide[new] = (source, rows, agg)
+            continue
+        stages = close(stages)
         frame = stages.reading(source)
-        least = rows if spec.rolling_min_periods is None else spec.rolling_min_periods
-        stages.add({new: keep(rolling(finite_number(frame, source), window, rows, agg, least))})
-    return stages.df
+        stages.add({new: keep(rolling(finite_number(frame, source), window, rows, agg, _least(spec, rows)))})
+    return close(stages).df
+
+
+def _least(spec: SeriesFeatures, rows: int) -> int:
+    return rows if spec.rolling_min_periods is None else spec.rolling_min_periods
 
 
 def difference(df: DataFrame, source: str, earlier: Column, new: str) -> Column:
@@ -230,10 +255,14 @@ def difference(df: DataFrame, source: str, earlier: Column, new: str) -> Column:
 def rolling(value: Column, window: WindowSpec, rows: int, agg: str, min_periods: int) -> Column:
     """Aggregate over the last ``rows`` rows where at least ``min_periods`` have a value."""
     frame = window.rowsBetween(1 - rows, 0)
-    result = ROLLING[agg](value).over(frame)
+    return enough(ROLLING[agg](value).over(frame), F.count(value).over(frame), agg, min_periods)
+
+
+def enough(result: Column, count: Column, agg: str, min_periods: int) -> Column:
+    """``result`` where the window has enough values."""
     if min_periods == 0:
         return F.coalesce(result, F.lit(0.0)) if agg == "sum" else result
-    return F.when(F.count(value).over(frame) >= min_periods, result)
+    return F.when(count >= min_periods, result)
 
 
 def time_deltas(

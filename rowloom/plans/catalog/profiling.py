@@ -318,28 +318,58 @@ def histogram_with_infinities(spark, folder):
     return rounded(profile.histogram(orders.select(x.alias("x")), "x", 10, infinite=True), 4)
 
 
-@query(
-    "gap_segments",
-    """with s as (select *, coalesce(epoch_us(ts - lag(ts) over (partition by user_id order by ts, event_id)) / 1e6 > 86400, false)::integer as cut from events)
-    select event_id, sum(cut) over (partition by user_id order by ts)::integer as segment from s""",
-)
+def _cut_sql(series: str, order: str = "event_id") -> str:
+    by = f"partition by {series}" if series else ""
+    return f"""s as (select *, coalesce(epoch_us(ts - lag(ts) over ({by} order by ts, {order})) / 1e6 > {{step}}, false)::integer as cut from src),
+        g as (select *, sum(cut) over ({by} order by ts)::integer as segment from s)"""
+
+
+def _filled_sql(series: str) -> str:
+    by = f"partition by {series + ', ' if series else ''}segment order by ts, v nulls last, event_id"
+    return f"""n as (select *, last_value(case when v is not null then {{{{'t': epoch_us(ts), 'x': v}}}} end ignore nulls) over b as p,
+            first_value(case when v is not null then {{{{'t': epoch_us(ts), 'x': v}}}} end ignore nulls) over a as q from g
+            window b as ({by} rows between unbounded preceding and current row),
+                a as ({by} rows between current row and unbounded following))
+    select event_id, round(coalesce(v, p.x + (q.x - p.x) * ((epoch_us(ts) - p.t) / 1e6) / nullif((q.t - p.t) / 1e6, 0)), 5) as filled from n"""
+
+
+def _gappy(spark, folder):
+    return scan(spark, folder, "events").select(
+        "event_id",
+        "user_id",
+        F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")).alias("hot_id"),
+        "ts",
+        F.when(F.col("event_id") % 4 != 0, F.col("value")).alias("v"),
+    )
+
+
+_GAPPY_SQL = """with src as (select *, case when event_id % 3 = 0 then 0 else user_id end as hot_id,
+        case when event_id % 4 <> 0 then value end as v from events),"""
+#: Small pieces, so that the small tables have many of them.
+_DIVIDED = {"strategy": "segments", "segment_rows": 700}
+
+
+@query("gap_segments", (_GAPPY_SQL + _cut_sql("user_id") + " select event_id, segment from g").format(step=86400))
 def gap_segments(spark, folder):
-    events = scan(spark, folder, "events").select("event_id", "user_id", "ts")
-    return segments.gap_segments(events, "ts", 86400.0, "user_id", "event_id").select("event_id", "segment")
+    return segments.gap_segments(_gappy(spark, folder), "ts", 86400.0, "user_id", "event_id").select("event_id", "segment")
 
 
-@query(
-    "interpolated_in_segments",
-    """with s as (select *, case when event_id % 4 <> 0 then value end as v, coalesce(epoch_us(ts - lag(ts) over (partition by user_id order by ts, event_id)) / 1e6 > 86400, false)::integer as cut from events),
-        g as (select *, sum(cut) over (partition by user_id order by ts) as segment from s),
-        n as (select *, last_value(case when v is not null then {'t': epoch_us(ts) / 1e6, 'x': v} end ignore nulls) over b as p,
-            first_value(case when v is not null then {'t': epoch_us(ts) / 1e6, 'x': v} end ignore nulls) over a as q from g
-            window b as (partition by user_id, segment order by ts, event_id rows between unbounded preceding and current row),
-                a as (partition by user_id, segment order by ts, event_id rows between current row and unbounded following))
-    select event_id, round(coalesce(v, p.x + (q.x - p.x) * (epoch_us(ts) / 1e6 - p.t) / nullif(q.t - p.t, 0)), 5) as filled from n""",
-)
+@query("gap_segments_divided", (_GAPPY_SQL + _cut_sql("hot_id") + " select event_id, segment from g").format(step=5400))
+def gap_segments_divided(spark, folder):
+    """A series that holds a third of the rows, in pieces."""
+    return segments.gap_segments(_gappy(spark, folder), "ts", 5400.0, "hot_id", "event_id", **_DIVIDED).select("event_id", "segment")
+
+
+@query("interpolated_in_segments", (_GAPPY_SQL + _cut_sql("user_id") + "," + _filled_sql("user_id")).format(step=86400))
 def interpolated_in_segments(spark, folder):
-    events = scan(spark, folder, "events").select("event_id", "user_id", "ts", F.when(F.col("event_id") % 4 != 0, F.col("value")).alias("v"))
-    cut = segments.gap_segments(events, "ts", 86400.0, "user_id", "event_id")
+    cut = segments.gap_segments(_gappy(spark, folder), "ts", 86400.0, "user_id", "event_id")
     filled = segments.interpolate(cut, "ts", "v", "user_id")
     return rounded(filled.select("event_id", F.col("v__filled").alias("filled")), 5)
+
+
+@query("interpolated_divided", (_GAPPY_SQL + _cut_sql("") + "," + _filled_sql("")).format(step=1800))
+def interpolated_divided(spark, folder):
+    """No series at all: the whole table is one, in pieces."""
+    cut = segments.gap_segments(_gappy(spark, folder), "ts", 1800.0, None, "event_id", **_DIVIDED)
+    filled = segments.interpolate(cut, "ts", "v", None, **_DIVIDED)
+    return rounded(filled.select("event_id", F.col("v__filled").alias("filled")), 5)

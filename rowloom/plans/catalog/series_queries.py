@@ -85,6 +85,37 @@ def series_rolling_min_periods(spark, folder):
     return made(features(spark, folder, source=source, rolling_features=what, rolling_min_periods=2), "mean_5", "std_5")
 
 
+_ODD = "case when event_id % 5 not in (0, 3) then value end"
+
+
+def _wide_sql(scope):
+    made_ = []
+    for agg, call in {"mean": "avg", "sum": "sum", "min": "min", "max": "max", "std": "stddev_samp"}.items():
+        for rows in (150, 400):
+            over = frame(rows, scope)
+            made_.append(f"case when count(value) {over} >= 60 then round({call}(value) {over}, 6) end as {agg}_{rows}")
+    return f"with events as (select event_id, ts, user_id, {_ODD} as value from events) select event_id, {', '.join(made_)} from events"
+
+
+def _wide_rolling(spark, folder, group, strategy):
+    # NaN and infinities are missing values, as in narrow windows.
+    odd = F.when(F.col("event_id") % 5 == 0, F.lit(float("-inf"))).when(F.col("event_id") % 5 == 3, F.lit(float("nan")))
+    source = events(spark, folder).withColumn("value", odd.otherwise(F.col("value")))
+    what = {f"{agg}_{rows}": ("value", rows, agg) for agg in ("mean", "sum", "min", "max", "std") for rows in (150, 400)}
+    df = features(spark, folder, strategy, group, source, rolling_features=what, rolling_min_periods=60)
+    return made(df, *what)
+
+
+@query("series_rolling_wide", _wide_sql(USER))
+def series_rolling_wide(spark, folder):
+    return _wide_rolling(spark, folder, "user_id", "plain")
+
+
+@query("series_rolling_wide_divided", _wide_sql(ALL))
+def series_rolling_wide_divided(spark, folder):
+    return _wide_rolling(spark, folder, None, "segments")
+
+
 @query(
     "series_missing_group",
     """with g as (select event_id, ts, value, nullif(user_id, 8) as user_id from events), w as (select *,

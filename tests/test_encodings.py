@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from rowloom.functions.coerce import parsed_time, seconds_between
@@ -57,6 +58,35 @@ def test_gap_segments(gappy):
     assert (summary.n_deltas, summary.n_gaps, summary.longest_gap, summary.total_gap) == (5, 2, 68400.0, 97200.0)
 
 
+@pytest.mark.parametrize("series", [["k"], []])
+def test_gaps_in_pieces_are_those_of_whole_series(spark, series):
+    """A hot series, a missing series and time, ties, and long stretches without a value."""
+    df = spark.range(900).selectExpr(
+        "id",
+        "case when id % 3 < 2 then 'hot' when id % 50 = 2 then null else concat('k', id % 5) end as k",
+        "case when id % 97 <> 0 then timestamp_seconds(1700000000 + (id div 2) * 60 + (id div 40) * 500) end as t",
+        "case when id % 7 = 0 and id % 400 < 250 then cast(id as double) when id % 13 = 0 then double('NaN') end as v",
+    )
+    series = series or None
+    found = []
+    for how in ({"strategy": "plain"}, {"strategy": "segments", "segment_rows": 25}):
+        cut = segments.gap_segments(df, "t", 300.0, series, "id", **how)
+        filled = segments.interpolate(cut, "t", "v", series, **how)
+        plan = plan_of(filled)
+        assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+        found.append({r.id: (r.segment, r["v__filled"]) for r in filled.collect()})
+    plain, pieces = found
+    assert len(plain) == 900 and max(s for s, _ in plain.values()) > 10
+    assert {i: s for i, (s, _) in plain.items()} == {i: s for i, (s, _) in pieces.items()}
+    assert {i: x for i, (_, x) in plain.items()} == pytest.approx({i: x for i, (_, x) in pieces.items()}, nan_ok=True)
+    assert sum(x is not None for _, x in plain.values()) > 100
+    empty = segments.interpolate(segments.gap_segments(df.limit(0), "t", 1.0, series, "id", **_PIECES), "t", "v", series, **_PIECES)
+    assert empty.isEmpty()
+
+
+_PIECES = {"strategy": "segments", "segment_rows": 10}
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
 def test_times_do_not_depend_on_the_session(spark, zone):
     """A night when clocks change in New York."""

@@ -1,3 +1,4 @@
+import dataclasses
 import math
 
 import pytest
@@ -159,3 +160,41 @@ def test_deltas_latest_and_norm(hourly, skewed):
         assert abs(r["m"]) < 1e-9 and r["s"] == pytest.approx(1.0)
     flat = normalize_per_series(skewed.withColumn("v", F.lit(5.0)), ["v"], "series")
     assert flat.where("v__norm <> 0").count() == 0
+
+
+def test_wide_windows_are_the_sliding_ones(spark, monkeypatch):
+    import rowloom.operators.series_features as module
+
+    odd = "case when id % 7 = 0 then 'NaN' when id % 11 = 0 then 'Infinity' when id % 5 = 1 then null else cast((id * 37) % 101 as string) end"
+    df = spark.range(400).selectExpr(
+        "id", "case when id % 3 < 2 then 0 when id % 30 = 2 then null else id % 30 end as k", f"cast({odd} as double) as v"
+    )
+    aggs = ("mean", "sum", "min", "max", "std")
+    rolling = {f"{a}_{w}": ("v", w, a) for a in aggs for w in (1, 2, 9, 1000)}
+    rolling |= {"again": ("mean_9", 4, "max"), "v": ("v", 3, "sum"), "last": ("v", 5, "std")}
+    for least in (0, 1, None):
+        spec = SeriesFeatures(order_by="id", group_column="k", rolling_features=rolling, rolling_min_periods=least, tie_breakers=[])
+        if least is not None:
+            spec = dataclasses.replace(spec, rolling_features={n: f for n, f in rolling.items() if least <= f[1]})
+        found = {}
+        for limit in (1, 10**6):
+            monkeypatch.setattr(module, "WIDE_ROWS", limit)
+            for strategy in ("plain", "segments"):
+                made = build_series_features(df, spec, strategy, segment_rows=50)
+                found[limit, strategy] = [tuple(r) for r in made.orderBy("id").collect()]
+        first = found[1, "plain"]
+        for other in found.values():
+            assert len(other) == len(first) == 400
+            for a, b in zip(first, other):
+                assert [x is None for x in a] == [x is None for x in b]
+                assert [x for x in a if x is not None] == pytest.approx([x for x in b if x is not None], abs=1e-9)
+
+
+def test_wide_sums_forget_what_has_left(spark, monkeypatch):
+    import rowloom.operators.series_features as module
+
+    monkeypatch.setattr(module, "WIDE_ROWS", 2)
+    df = spark.range(30).selectExpr("id", "case when id = 4 then 1e17D else 0.25D end as v")
+    spec = SeriesFeatures(order_by="id", rolling_features={"s": ("v", 3, "sum"), "d": ("v", 3, "std")}, tie_breakers=[])
+    rows = build_series_features(df, spec, "plain").where("id > 6").collect()
+    assert {r.s for r in rows} == {0.75} and {r.d for r in rows} == {0.0}
