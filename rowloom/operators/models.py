@@ -1,7 +1,7 @@
-"""Baseline models: MLlib training and Arrow-batched scoring of feed-forward networks.
+"""Baseline models: least squares in one pass, MLlib's perceptron, Arrow-batched scoring of networks.
 
-MLlib's solvers and hidden units differ from a gradient-descent network's, so fitted
-models are comparable in purpose, not in weights.
+Closed-form and MLlib solvers differ from a gradient-descent network's, so fitted models
+are comparable in purpose, not in weights.
 """
 
 from __future__ import annotations
@@ -14,13 +14,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowloom.errors import ModelError
 from rowloom.functions.coerce import col
 
 
+#: Features of a linear model: its matrix of products goes to the driver.
+MAX_FEATURES = 4096
+# Rows looked at for a rough centre, around which products are summed.
+_PILOT_ROWS = 1000
+
+
 @dataclass(frozen=True)
 class LinearForecaster:
     """One linear model per horizon step."""
@@ -29,31 +34,91 @@ class LinearForecaster:
     intercepts: tuple[float, ...]
 
     def predict(self, df: DataFrame, features: str = "features", output: str = "prediction") -> DataFrame:
-        """Add the forecast as an array, evaluated inside the JVM."""
-        steps = []
-        for weights, bias in zip(self.coefficients, self.intercepts):
-            terms = F.zip_with(col(features), F.array(*[F.lit(w) for w in weights]), lambda x, w: x * w)
-            steps.append(F.aggregate(terms, F.lit(bias), lambda acc, t: acc + t))
-        return df.withColumn(output, F.array(*steps))
+        """Add the forecast as an array: one matrix product per Arrow batch, whatever the horizon."""
+        return score_network(df, [Layer(np.array(self.coefficients), np.array(self.intercepts))], features, output)
+
+
+def _numbers(column: pa.Array, width: int, what: str) -> np.ndarray:
+    """A (rows, width) block of an array column."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    flat = column.flatten()
+    if column.null_count or flat.null_count or len(flat) != len(column) * width:
+        raise ModelError(f"{what} must have {width} values in every row", "linear_bad_input_shape")
+    block = flat.to_numpy(zero_copy_only=False).astype(float).reshape(len(column), width)
+    if not np.isfinite(block).all():
+        raise ModelError(f"{what} has a value that is no finite number", "linear_not_finite")
+    return block
+
+
+def product_sums(data: DataFrame, widths: tuple[int, int], centre: np.ndarray) -> np.ndarray:
+    """Sums of products of (1, features - centre, targets - centre), over all rows in one pass.
+
+    Each task multiplies its Arrow batches and sends one matrix, row by row; rows of one
+    number are then added.  What is shuffled is tasks times matrix, never a row of data.
+    """
+    size = 1 + sum(widths)
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((size, size))
+        for batch in batches:
+            block = np.hstack([_numbers(batch.column(k), w, n) for k, (w, n) in enumerate(zip(widths, ("features", "target")))])
+            block = np.hstack([np.ones((len(block), 1)), block - centre])
+            total += block.T @ block
+        bounds = pa.array(np.arange(0, size * size + 1, size, dtype=np.int32))
+        lines = pa.ListArray.from_arrays(bounds, pa.array(total.reshape(-1)))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), lines], names=["line", "sums"])
+
+    def add(lines: pa.Table) -> pa.Table:
+        whole = lines.column("sums").combine_chunks()
+        total = whole.flatten().to_numpy(zero_copy_only=False).reshape(-1, size).sum(axis=0)
+        return pa.table({"line": lines.column("line").slice(0, 1), "sums": pa.array([total.tolist()], pa.list_(pa.float64()))})
+
+    schema = "line int, sums array<double>"
+    added = data.mapInArrow(multiply, schema).groupBy("line").applyInArrow(add, schema)
+    out = np.zeros((size, size))
+    for row in added.collect():  # one row per column of the matrix, which MAX_FEATURES bounds
+        out[row["line"]] = row["sums"]
+    return out
 
 
 def fit_linear(
     df: DataFrame, features: str = "features", target: str = "target", horizon: int = 1, weight_decay: float = 0.0
 ) -> LinearForecaster:
-    """Least squares on ``features`` (array); ``target`` is a number or an array of ``horizon`` steps."""
+    """Least squares on ``features`` (array); ``target`` is a number or an array of ``horizon`` steps.
+
+    One pass over the rows gives the products that all steps share, and one solution of
+    the normal equations their coefficients.  ``weight_decay`` is added to the variances;
+    intercepts carry none.  Columns are scaled before solving; a column that depends on
+    others shares its weight with them (the least solution), and a constant one has none.
+    """
     is_array = df.schema[target].dataType.typeName() == "array"
-    step = lambda h: (col(target)[h] if is_array else col(target)).cast("double")
+    targets = F.slice(col(target), 1, horizon) if is_array else F.array(col(target))
     data = df.select(
-        array_to_vector(F.transform(col(features), lambda x: x.cast("double"))).alias("v"),
-        *[step(h).alias(f"t{h}") for h in range(horizon)],
-    )
-    fitted = [
-        LinearRegression(featuresCol="v", labelCol=f"t{h}", regParam=weight_decay, standardization=False).fit(data)
-        for h in range(horizon)
-    ]
-    return LinearForecaster(
-        tuple(tuple(float(w) for w in m.coefficients) for m in fitted), tuple(float(m.intercept) for m in fitted)
+        F.transform(col(features), lambda x: x.cast("double")).alias("x"),
+        F.transform(targets, lambda y: y.cast("double")).alias("y"),
     )
+    pilot = data.limit(_PILOT_ROWS).toArrow()
+    if not pilot.num_rows:
+        raise ModelError("no rows to fit", "linear_no_rows")
+    inputs = len(pilot["x"][0]) if pilot["x"][0].is_valid else 0
+    if not 0 < inputs <= MAX_FEATURES:
+        raise ModelError(f"{inputs} features; 1 to {MAX_FEATURES} are possible", "linear_bad_input_shape")
+    centre = np.hstack([_numbers(pilot[n], w, n).mean(axis=0) for n, w in (("x", inputs), ("y", horizon))])
+    sums = product_sums(data, (inputs, horizon), centre)
+
+    n, mean = sums[0, 0], sums[0, 1:] / sums[0, 0]
+    spread = sums[1:, 1:] / n - np.outer(mean, mean)
+    scale = np.sqrt(np.maximum(np.diag(spread)[:inputs], 0.0))
+    moves = scale > 1e-12 * np.maximum(np.abs(mean + centre)[:inputs], 1e-300)
+    weights = np.zeros((inputs, horizon))
+    if moves.any():
+        s, at = scale[moves], np.flatnonzero(moves)
+        inner = spread[np.ix_(at, at)] / np.outer(s, s) + np.diag(weight_decay / s**2)
+        cross = spread[at, inputs:] / s[:, None]
+        weights[moves] = np.linalg.lstsq(inner, cross, rcond=1e-13)[0] / s[:, None]
+    bias = (mean + centre)[inputs:] - (mean + centre)[:inputs] @ weights
+    return LinearForecaster(tuple(tuple(map(float, w)) for w in weights.T), tuple(map(float, bias)))
 
 
 def fit_classifier(

@@ -12,7 +12,7 @@ from rowloom.operators.splits import batches
 from rowloom.operators.windows import first_step, flatten_windows, sliding_windows
 from rowloom.plans.catalog.registry import query, rounded, scan
 from rowloom.plans.flows import forecast_metrics, forecast_windows, train_forecaster, train_tabular
-from rowloom.session import written
+from rowloom.session import small_table, written
 
 H = 3
 NEXT = ", ".join(f"lead(value, {h}) over w as y{h}" for h in range(1, H + 1))
@@ -220,12 +220,86 @@ def linear_baseline(spark, folder):
     return rounded(scored.select("event_id", F.col("prediction")[0].alias("prediction")), 5)
 
 
-@query("forecast_flow")
+def _solved(name: str, inputs: int, horizon: int, decay: float) -> str:
+    """From {name}(z: inputs, then steps; learns): means, and {name}_w with a weight list per input.
+
+    Normal equations by elimination; with decay added no pivot is zero.
+    """
+    width = inputs + horizon
+    return f"""{name}_c as (
+            select i, j, covar_pop(z[i], z[j]) + case when i = j then {decay} else 0 end as c
+            from {name}, range(1, {inputs + 1}) a(i), range(1, {width + 1}) b(j) where learns group by i, j),
+        {name}_m as (select list(c order by i) as m from (select i, list(c order by j) as c from {name}_c group by i)),
+        {name}_e as (
+            select 1 as k, m from {name}_m
+            union all select k + 1, list_transform(m, lambda r, i: case when i = k then list_transform(r, lambda v: v / m[k][k])
+                else list_transform(r, lambda v, j: v - r[k] * m[k][j] / m[k][k]) end) from {name}_e where k <= {inputs}),
+        {name}_w as (select list_transform(m, lambda r: r[{inputs + 1}:]) as w from {name}_e where k = {inputs + 1}),
+        {name}_b as (select list(mean order by i) as means from (
+            select i, avg(z[i]) as mean from {name}, range(1, {width + 1}) a(i) where learns group by i))"""
+
+
+def _step(inputs: int, h: int) -> str:
+    terms = " + ".join(f"w[{k}][{h}] * (z[{k}] - means[{k}])" for k in range(1, inputs + 1))
+    return f"means[{inputs + h}] + {terms} - z[{inputs + h}]"
+
+
+@query(
+    "forecast_flow",
+    f"""with recursive s as (select *, case when row_number() over (order by ts, event_id) > (select count(*) - greatest(1,
+            round_even(count(*) * 0.2::double, 0)) from events) then 'validation' else 'train' end as split from events),
+        t as (select split = 'train' as learns, list(value::float::double) over (partition by split, user_id
+            order by ts, event_id rows between current row and 9 following) as z from s),
+        f as (select * from t where len(z) = 10), {_solved("f", 8, 2, 1e-4)},
+        e as (select unnest([{_step(8, 1)}, {_step(8, 2)}]) as gap from f, f_w, f_b where not learns)
+    select round(avg(gap * gap), 5) as mse, round(avg(abs(gap)), 5) as mae, round(sqrt(avg(gap * gap)), 5) as rmse from e""",
+)
 def forecast_flow(spark, folder):
     made = forecast_windows(
         scan(spark, folder, "events"), "ts", "value", 8, 2, 1, ["value"], "user_id", 0.2, ["event_id"]
     )
-    return forecast_metrics(train_forecaster(made, 2, weight_decay=1e-4))
+    return rounded(forecast_metrics(train_forecaster(made, 2, weight_decay=1e-4)), 5)
+
+
+@query(
+    "linear_horizon_weights",
+    f"""with recursive s as (select list(value::double) over (partition by user_id order by ts, event_id
+            rows between current row and 5 following) as z, true as learns from events),
+        f as (select * from s where len(z) = 6), {_solved("f", 3, 3, 0.5)}
+    select h as step, i as input, round(w[i][h], 6) + 0.0 as weight from f_w, range(1, 4) a(i), range(1, 4) b(h)""",
+)
+def linear_horizon_weights(spark, folder):
+    """Three steps from three values: the weights of all steps, from one pass."""
+    events = scan(spark, folder, "events")
+    made = sliding_windows(events, 3, "ts", 3, 1, ["value"], "value", "user_id", "event_id", feature_type="double", target_type="double")
+    model = models.fit_linear(flatten_windows(made), "X", "y", 3, weight_decay=0.5)
+    rows = [(h + 1, i + 1, w) for h, weights in enumerate(model.coefficients) for i, w in enumerate(weights)]
+    found = small_table(spark, rows, "step bigint, input bigint, weight double")
+    return rounded(found).withColumn("weight", F.col("weight") + 0.0)
+
+
+@query(
+    "classifier_learns",
+    """select concat('part ', o_orderkey % 3) as target, concat('part ', o_orderkey % 3) as found, count(*) as n
+    from orders where o_orderkey % 5 = 0 group by all""",
+)
+def classifier_learns(spark, folder):
+    """Counts per true and found label of held-out rows; the classes lie apart, so a model that learns has no other pair."""
+    part = F.col("o_orderkey") % 3
+    data = scan(spark, folder, "orders").select(
+        "o_orderkey",
+        F.array(
+            (part == 0).cast("double") + F.col("o_totalprice") / 5e6,
+            (part == 1).cast("double") * 2 - F.col("o_custkey") / 1e6,
+            F.col("o_totalprice") / 1e6,
+        ).alias("features"),
+        F.concat(F.lit("part "), part).alias("target"),
+    )
+    labels = models.class_labels(data, "target", 3)
+    train = data.where("o_orderkey % 5 <> 0").withColumn("target", models.label_index(F.col("target"), labels))
+    scored = models.classify(models.fit_classifier(train, 3, 3, [6], max_iter=60), data.where("o_orderkey % 5 = 0"))
+    found = models.index_label(F.col("prediction"), labels)
+    return scored.groupBy("target", found.alias("found")).agg(F.count("*").alias("n"))
 
 
 def small_network(inputs: int = 64, hidden: int = 4, outputs: int = 2):
@@ -285,6 +359,22 @@ def held_out_classes(spark, folder):
     return written(scored.select("vec_id", "target", models.index_label(F.col("prediction"), labels).alias("found")), "classified"), labels
 
 
+@query(
+    "tabular_flow_planted",
+    "select ceil(count(*) * 0.2::double)::bigint as n_held, 0.0::double as mse, 0.0::double as mae from lineitem",
+)
+def tabular_flow_planted(spark, folder):
+    """The whole flow on a target that two columns make up: a model that learns leaves nothing over."""
+    lines = scan(spark, folder, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), "l_quantity", "l_discount"
+    )
+    planted = (F.col("l_quantity") * 3 - F.col("l_discount") * 2 + 0.125).cast("double")
+    trained = train_tabular(lines.withColumn("y", planted), "y", "id")
+    gap = F.col("target") - F.col("prediction")
+    found = trained.predictions.agg(F.count("*").alias("n_held"), F.avg(gap * gap).alias("mse"), F.avg(F.abs(gap)).alias("mae"))
+    return rounded(found, 4)
+
+
 @query("tabular_flow")
 def tabular_flow(spark, folder):
     trained = train_tabular(scan(spark, folder, "lineitem"), "l_extendedprice")

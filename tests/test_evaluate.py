@@ -103,6 +103,40 @@ def test_linear_model_recovers_the_line(spark):
     assert evaluate.score(scored, "target", "p", ["mse"]).first()["mse"] < 1e-12
 
 
+def test_all_steps_from_one_pass(spark):
+    """Against numpy on columns of very different size, one constant and one the sum of two others."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 5)) * [1, 1e4, 1e-3, 0, 1] + [0, 1e6, 5, 7, 0]
+    x[:, 4] = x[:, 0] * 2
+    y = x[:, [0, 1, 2]] @ rng.normal(size=(3, 4)) + rng.normal(size=(300, 4)) * 0.01 + 3
+    df = spark.createDataFrame([(a.tolist(), b.tolist()) for a, b in zip(x, y)], "features array<double>, target array<double>")
+    df = df.repartition(5)
+    model = models.fit_linear(df, horizon=4)
+    xc = x - x.mean(axis=0)
+    scored = model.predict(df).select("features", "prediction").collect()
+    ols = np.linalg.lstsq(np.hstack([xc[:, :3] / xc[:, :3].std(axis=0)]), y - y.mean(axis=0), rcond=None)[0]
+    fitted = (xc[:, :3] / xc[:, :3].std(axis=0)) @ ols + y.mean(axis=0)
+    expected = {tuple(a): b for a, b in zip(x, fitted)}
+    for r in scored:
+        assert r.prediction == pytest.approx(list(expected[tuple(r.features)]), rel=1e-6, abs=1e-6)
+    assert all(w[3] == 0.0 for w in model.coefficients)
+
+    decay = 0.3
+    model = models.fit_linear(df, horizon=4, weight_decay=decay)
+    ridge = np.linalg.solve(xc.T @ xc / 300 + decay * np.eye(5), xc.T @ (y - y.mean(axis=0)) / 300)
+    assert np.array(model.coefficients).T == pytest.approx(ridge, rel=1e-5, abs=1e-9)
+
+
+@pytest.mark.parametrize("row, code", [([1.0], "linear_bad_input_shape"), ([1.0, None], "linear_bad_input_shape"), ([1.0, math.nan], "linear_not_finite")])
+def test_linear_rows_must_be_whole(spark, row, code):
+    df = spark.createDataFrame([([1.0, 2.0], 1.0), (row, 2.0)], "features array<double>, target double")
+    with pytest.raises(Exception) as error:
+        models.fit_linear(df)
+    assert code in str(error.value) or getattr(error.value, "code", None) == code
+    with pytest.raises(ModelError):
+        models.fit_linear(df.limit(0))
+
+
 def test_network_layers(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(7, 3))
