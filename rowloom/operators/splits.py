@@ -1,8 +1,14 @@
 """Train/validation splits and batch numbers that any partitioning reproduces.
 
-A split needs one thing from the order: the key at which it is cut.  So only the
-key columns are indexed (a narrow shuffle), the cut key is looked up, and the full
-rows are labelled by comparison where they lie, without being moved.
+A split needs one thing from the order: the key at which it is cut.
+
+Hash splits find it by radix selection.  Each round counts, per class, the rows by the
+next ``RADIX_BITS`` bits of their hash, and keeps the range the cut lies in; counts are
+combined before the shuffle, so no row and no key is moved.  When the ranges hold few rows,
+their hashes are counted one by one.  Rows are then labelled by one comparison where they
+lie.  Only copies that straddle the cut are numbered.
+
+Ordered splits index the key columns (a narrow shuffle) and look the cut key up.
 """
 
 from __future__ import annotations
@@ -17,8 +23,12 @@ from rowloom.operators.ordering import as_list, ascending, dense_index, tie_colu
 from rowloom.session import written
 
 TRAIN, VALIDATION = "train", "validation"
-# Cut keys up to this many groups (a few MB) are broadcast; more are joined by shuffle.
+# Cuts of up to this many groups are broadcast; more are joined by shuffle.  A group is
+# known by a 64-bit id there, so that is at most 2 MB.
 BROADCAST_GROUPS = 50_000
+#: Bits of the hash per round, and rows of a range that are counted hash by hash.
+RADIX_BITS = 12
+CHOICE_ROWS = 10_000
 
 
 def _fraction(value: float) -> None:
@@ -45,7 +55,7 @@ def random_split(
     ``key`` names columns that identify a row; the default is all of them.
     """
     _fraction(fraction)
-    return _label(df, [], _hash_keys(df, key, seed), lambda n, sizes: F.ceil(n * F.lit(fraction)), tail=False)
+    return _hash_label(df, [], _hash_keys(df, key, seed), fraction)
 
 
 def stratified_split(
@@ -59,7 +69,7 @@ def stratified_split(
     _fraction(fraction)
     classes = as_list(stratify)
     require_columns(df.columns, classes, "missing_target_column", "stratified split")
-    return _label(df, classes, _hash_keys(df, key, seed), None, tail=False, fraction=fraction)
+    return _hash_label(df, classes, _hash_keys(df, key, seed), fraction)
 
 
 def chronological_split(
@@ -105,6 +115,98 @@ def _time_keys(df: DataFrame, time_column: str, names: Sequence[str], tie_breake
     return [col(time_column), *[col(c) for c in ties]]
 
 
+def _check_sizes(cuts: DataFrame) -> int:
+    """Refuse a split without rows or without training rows; the number of groups."""
+    seen = cuts.agg(F.count("*").alias("groups"), F.sum("n").alias("rows"), F.sum("n_val").alias("held")).first()
+    if not seen["rows"]:
+        raise DataError("nothing to split", "split_empty_table")
+    if seen["held"] >= seen["rows"]:
+        raise DataError(f"{seen['held']} validation rows of {seen['rows']} leave none for training", "split_empty_train")
+    return seen["groups"]
+
+
+def _class_id(classes: Sequence[Column], seed: int) -> Column:
+    """64 bits for the values of the class columns; missing values count by place."""
+    if not classes:
+        return F.lit(0).cast("bigint")
+    return F.xxhash64(F.lit(seed), *[part for c in classes for part in (c.isNull(), c)])
+
+
+def _quotas(df: DataFrame, classes: Sequence[str], fraction: float) -> tuple[DataFrame, int]:
+    """id, n, n_val per class, and the seed with which no two classes share an id."""
+    names = [f"__g{i}" for i in range(len(classes))]
+    sizes = df.groupBy(*[col(c).alias(n) for c, n in zip(classes, names)]).agg(F.count("*").alias("n"))
+    if classes:
+        counted = _class_quotas(sizes, names, fraction)
+    else:
+        counted = sizes.where("n > 0").withColumn("n_val", F.ceil(F.col("n") * F.lit(fraction)))
+    counted = written(counted, "class-quotas")
+    seed = 0
+    while True:
+        ids = counted.select(_class_id([F.col(n) for n in names], seed).alias("id"), "n", F.col("n_val").cast("bigint").alias("n_val"))
+        if not classes or ids.groupBy("id").count().where("count > 1").isEmpty():
+            return ids, seed
+        seed += 1
+
+
+def _hash_label(df: DataFrame, classes: Sequence[str], keys: Sequence[Column], fraction: float) -> DataFrame:
+    """Add ``split``: per class the rows of the smallest hashes validate."""
+    quotas, seed = _quotas(df, classes, fraction)
+    quotas = written(quotas, "split-quotas")
+    few = _check_sizes(quotas) <= BROADCAST_GROUPS
+    per_class = lambda table: F.broadcast(table) if few else table
+    hashed = df.select(_class_id([col(c) for c in classes], seed).alias("id"), keys[0].alias("h"))
+
+    low, high = F.lit(-(1 << 63)), F.lit((1 << 63) - 1)
+    # wanted: how many rows of the range validate; size: how many it has.
+    ranges = quotas.where("n_val > 0").select("id", low.alias("low"), high.alias("high"), F.col("n_val").alias("wanted"), F.col("n").alias("size"))
+    shift, settled = 64, []
+    while True:
+        settled.append(ranges.where(F.col("size") <= CHOICE_ROWS))
+        ranges = ranges.where(F.col("size") > CHOICE_ROWS)
+        if shift <= RADIX_BITS or ranges.isEmpty():
+            settled.append(ranges)
+            break
+        shift -= RADIX_BITS
+        open_ = hashed.join(per_class(ranges.select("id", "low", "high")), "id").where("h between low and high")
+        counts = open_.groupBy("id", F.shiftright("h", shift).alias("bucket")).agg(F.count("*").alias("rows"))
+        upto = F.sum("rows").over(Window.partitionBy("id").orderBy("bucket"))  # at most 2^RADIX_BITS per class
+        summed = counts.withColumn("upto", upto).join(ranges.select("id", "wanted"), "id")
+        start = F.shiftleft("bucket", shift)
+        ranges = written(
+            summed.where("upto >= wanted and upto - rows < wanted").select(
+                "id",
+                start.alias("low"),
+                (start + F.lit((1 << shift) - 1)).alias("high"),
+                (F.col("wanted") - F.col("upto") + F.col("rows")).alias("wanted"),
+                F.col("rows").alias("size"),
+            ),
+            "split-ranges",
+        )
+    last = settled[0]
+    for more in settled[1:]:
+        last = last.unionByName(more)
+    last = written(last, "split-last-ranges")
+    choice = hashed.join(per_class(last.select("id", "low", "high")), "id").where("h between low and high")
+    counts = choice.groupBy("id", "h").agg(F.count("*").alias("rows"))
+    upto = F.sum("rows").over(Window.partitionBy("id").orderBy("h"))
+    summed = counts.withColumn("upto", upto).join(last.select("id", "wanted"), "id")
+    cuts = summed.where("upto >= wanted and upto - rows < wanted")
+    cuts = written(cuts.select("id", F.col("h").alias("cut"), (F.col("upto") > F.col("wanted")).alias("straddles")), "split-cuts")
+    if not cuts.where("straddles").isEmpty():
+        return _label(df, classes, keys, None if classes else lambda n, sizes: F.ceil(n * F.lit(fraction)), tail=False, fraction=fraction)
+
+    kept = [col(c) for c in df.columns]
+    if classes:
+        placed = df.withColumn("__id", _class_id([col(c) for c in classes], seed))
+        found = cuts.select(F.col("id").alias("__id"), F.col("cut").alias("__cut"))
+        placed = placed.join(per_class(found), "__id", "left")
+    else:
+        placed = df.withColumn("__cut", F.lit(cuts.first()["cut"]))
+    held = F.coalesce(keys[0] <= F.col("__cut"), F.lit(False))
+    return placed.select(*kept, F.when(held, F.lit(VALIDATION)).otherwise(F.lit(TRAIN)).alias("split"))
+
+
 def _label(
     df: DataFrame,
     group: Sequence[str],
@@ -129,12 +231,7 @@ def _label(
         "__cut", F.col("lo") + (F.col("n") - F.col("n_val") if tail else F.col("n_val"))
     )
     cuts = written(counted.select(*group_names, "lo", "n", "n_val", "__cut"), "cut-positions")
-    seen = cuts.agg(F.count("*").alias("groups"), F.sum("n").alias("rows"), F.sum("n_val").alias("held")).first()
-    if not seen["rows"]:
-        raise DataError("nothing to split", "split_empty_table")
-    if seen["held"] >= seen["rows"]:
-        raise DataError(f"{seen['held']} validation rows of {seen['rows']} leave none for training", "split_empty_train")
-    few = seen["groups"] <= BROADCAST_GROUPS
+    few = _check_sizes(cuts) <= BROADCAST_GROUPS
 
     # The cut is the first row of the second part.  If the row before it has the same
     # key, comparing keys cannot separate the two and the rows themselves are numbered.

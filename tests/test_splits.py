@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 import rowloom.operators.splits as splits
@@ -33,6 +34,33 @@ def test_random_split_is_exact_and_reproducible(skewed, fraction):
     assert held(parts, "event_id") != held(random_split(skewed, fraction, 43, "event_id"), "event_id")
 
 
+@pytest.mark.parametrize("bits, choice", [(12, 10_000), (3, 1), (12, 5)])
+def test_selection_is_the_order_of_hashes(spark, skewed, monkeypatch, bits, choice):
+    monkeypatch.setattr(splits, "RADIX_BITS", bits)
+    monkeypatch.setattr(splits, "CHOICE_ROWS", choice)
+    df = skewed.withColumn("c", F.when(F.col("event_id") % 11 > 0, F.col("series")))
+    parts = stratified_split(df, "c", 0.3, 5, "event_id")
+    rows = parts.select("c", "event_id", "split", F.xxhash64(F.lit(5), "event_id").alias("h")).collect()
+    n_val = sizes(parts, "c")
+    for c in {r.c for r in rows}:
+        own = sorted((r.h, r.event_id) for r in rows if r.c == c)
+        wanted = n_val.get(("validation", c), 0)
+        assert {r.event_id for r in rows if r.c == c and r.split == "validation"} == {i for _, i in own[:wanted]}
+    assert sum(n for (s, _), n in n_val.items() if s == "validation") == 900
+
+
+def test_hash_splits_move_no_rows(skewed):
+    for parts in (random_split(skewed, 0.2), stratified_split(skewed, "series", 0.2)):
+        plan = plan_of(parts)
+        assert "Exchange hashpartitioning" not in plan and "rangepartitioning" not in plan
+
+
+def test_classes_that_differ_in_nulls_only(spark):
+    rows = [(None, "a", i) for i in range(50)] + [("a", None, i) for i in range(50)]
+    found = sizes(stratified_split(spark.createDataFrame(rows, "x string, y string, i int"), ["x", "y"], 0.2), "x")
+    assert found[("validation", None)] == found[("validation", "a")] == 10
+
+
 def test_copies_are_divided_exactly(skewed):
     copies = skewed.select(F.lit("same").alias("x"))
     assert sizes(random_split(copies, 0.3)) == {("validation",): 900, ("train",): 2100}
