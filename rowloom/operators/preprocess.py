@@ -19,10 +19,14 @@ from rowloom.errors import DataError, require_columns
 from rowloom.functions.coerce import col, number
 from rowloom.operators.quantile import quantiles
 from rowloom.operators.tables import infer_roles
-from rowloom.session import small_table, written
+from rowloom.session import scratch_path, small_table, written
 
 INFREQUENT = "<infrequent>"
 ENCODINGS = ("dense", "sparse", "index")
+#: Indicator columns that ``dense`` gives one input column; more are refused.
+MAX_DENSE = 2000
+#: Infrequent values listed in the plan; more are a table that is joined.
+MAX_LISTED = 100
 
 
 @dataclass(frozen=True)
@@ -56,7 +60,8 @@ class CategoryFit:
     """Sorted categories with an indicator each; the rest of the seen ones share one.
 
     ``table`` holds (value, index) for the encodings without a column per category, and
-    ``size`` the number of positions.
+    ``size`` the number of positions.  ``rare_table`` holds (value) of the infrequent
+    categories where they are too many to list.
     """
 
     column: str
@@ -65,6 +70,7 @@ class CategoryFit:
     infrequent: tuple[str, ...] = ()
     table: str | None = None
     size: int | None = None
+    rare_table: str | None = None
 
 
 @dataclass(frozen=True)
@@ -86,6 +92,8 @@ class Preprocessor:
             rows += [(c.column, "infrequent", None, v) for v in c.infrequent]
             if c.table is not None:
                 rows.append((c.column, "table", float(c.size), c.table))
+            if c.rare_table is not None:
+                rows.append((c.column, "infrequent_table", None, c.rare_table))
         return small_table(spark, rows, "column string, parameter string, number double, text string")
 
     def save(self, spark: SparkSession, path: str) -> None:
@@ -95,6 +103,9 @@ class Preprocessor:
             if c.table is not None:
                 spark.read.parquet(c.table).write.mode("overwrite").parquet(f"{path}/table-{i}")
                 c = replace(c, table=f"table-{i}")
+            if c.rare_table is not None:
+                spark.read.parquet(c.rare_table).write.mode("overwrite").parquet(f"{path}/rare-{i}")
+                c = replace(c, rare_table=f"rare-{i}")
             moved.append(c)
         kept = replace(self, categorical=tuple(moved))
         about = json.dumps({"spec": asdict(self.spec), "used": list(self.used), "order": [c.column for c in (*self.numeric, *self.categorical)]})
@@ -115,7 +126,12 @@ class Preprocessor:
         out = [_scaled(df, f).alias(f.column) for f in self.numeric]
         for c in self.categorical:
             if c.table is None:
-                out += _indicators(df, c, strict and validate == "lazy")
+                rare = None
+                if c.rare_table is not None:
+                    rare = col(f"__value_{c.column}")
+                    table = df.sparkSession.read.parquet(c.rare_table).select(col("value").alias(f"__value_{c.column}"))
+                    df = df.join(table, _text(df, c) == rare, "left")
+                out += _indicators(df, c, strict and validate == "lazy", rare)
             else:
                 value, index = f"__value_{c.column}", f"__index_{c.column}"
                 table = df.sparkSession.read.parquet(c.table).select(col("value").alias(value), col("index").alias(index))
@@ -128,7 +144,7 @@ class Preprocessor:
                 out.append(_placed(c, self.spec.encoding, found))
         if self.spec.remainder == "passthrough":
             used = {*self.used, *self.spec.drop_features}
-            joined = {f"__{kind}_{c.column}" for c in self.categorical if c.table for kind in ("value", "index")}
+            joined = {f"__{kind}_{c.column}" for c in self.categorical if c.table or c.rare_table for kind in ("value", "index")}
             out += [col(c) for c in df.columns if c not in used and c not in joined]
         return df.select(*out)
 
@@ -136,12 +152,13 @@ class Preprocessor:
         tests = []
         for c in self.categorical:
             text = _text(df, c)
-            if c.table is None:
+            if c.table is None and c.rare_table is None:
                 unknown = text.isNotNull() & ~text.isin([*c.categories, *c.infrequent])
                 tests.append((c.column, df.agg(F.min(F.when(unknown, text)).alias("bad"))))
             else:
-                known = df.sparkSession.read.parquet(c.table)
+                known = df.sparkSession.read.parquet(c.table or c.rare_table)
                 values = df.select(text.alias("value")).distinct().where("value is not null")
+                values = values.where(~col("value").isin(list(c.categories)))
                 tests.append((c.column, values.join(known, "value", "left_anti").agg(F.min("value").alias("bad"))))
         for column, test in tests:
             bad = test.first()["bad"]
@@ -266,16 +283,35 @@ def _fit_categories(df: DataFrame, columns: Sequence[str], spec: PreprocessSpec)
         raise ValueError(f"unknown encoding {spec.encoding!r}")
     sizes = {r["column"]: r for r in filled.groupBy("column").agg(F.count("*").alias("k"), F.count_if("rare").alias("r")).collect()}
     dense = [c for c in columns if c in sizes and spec.encoding == "dense"]
-    rows = filled.where(F.col("column").isin(dense)).collect() if dense else []
+    for c in dense:
+        frequent = sizes[c]["k"] - sizes[c]["r"]
+        width = frequent + (1 if sizes[c]["r"] else 0)
+        width = width if spec.max_categories is None else min(width, max(spec.max_categories, 1))
+        if width > MAX_DENSE:
+            raise DataError(
+                f"column {c!r} has {width} categories; a column each is possible for {MAX_DENSE}: "
+                "set max_categories or min_frequency, or another encoding",
+                "too_many_categories",
+                {"column": c, "categories": width},
+            )
+    listed = [c for c in dense if sizes[c]["k"] <= MAX_DENSE + MAX_LISTED]
+    rows = filled.where(F.col("column").isin(listed)).collect() if listed else []
 
     fitted = []
     for c in columns:
         if fills[c] is None or c not in sizes:
             continue
-        if c in dense:
+        if c in listed:
             counts = {r["value"]: (r["count"], r["rare"]) for r in rows if r["column"] == c}
             kept, rest = _frequent(counts, spec.max_categories)
-            fitted.append(CategoryFit(c, fills[c], kept, rest))
+            if len(rest) <= MAX_LISTED:
+                fitted.append(CategoryFit(c, fills[c], kept, rest))
+            else:
+                rare = small_table(df.sparkSession, [(v,) for v in rest], "value string")
+                fitted.append(CategoryFit(c, fills[c], kept, rare_table=_table_path(rare)))
+        elif c in dense:
+            kept, rare = _many_rare(filled.where(F.col("column") == c), spec.max_categories, sizes[c])
+            fitted.append(CategoryFit(c, fills[c], kept, rare_table=rare))
         else:
             ranked = filled.where(F.col("column") == c)
             table, size = _index_table(ranked, spec.max_categories, sizes[c])
@@ -301,13 +337,28 @@ def _frequent(counts: dict[str, tuple[int, bool]], limit: int | None) -> tuple[t
     return tuple(frequent), tuple(sorted(v for v in counts if v not in frequent))
 
 
+def _table_path(df: DataFrame) -> str:
+    path = scratch_path(df.sparkSession, "categories")
+    df.write.parquet(path)
+    return path
+
+
+def _many_rare(filled: DataFrame, limit: int | None, size) -> tuple[tuple[str, ...], str]:
+    """As :func:`_frequent`, of any number of values: at most ``MAX_DENSE`` come to the driver, the others are written."""
+    frequent = filled.where("not rare")
+    if limit is not None and size["k"] - size["r"] + (1 if size["r"] else 0) > limit:
+        frequent = frequent.orderBy(F.col("count").desc(), F.col("value").desc()).limit(max(limit - 1, 0))
+    kept = tuple(sorted(r["value"] for r in frequent.select("value").collect()))
+    own = small_table(filled.sparkSession, [(v,) for v in kept], "value string")
+    return kept, _table_path(filled.select("value").join(own, "value", "left_anti"))
+
+
 def _index_table(filled: DataFrame, limit: int | None, size) -> tuple[str, int]:
     """Write (value, index), index by category order with one shared last index for rare ones; and the number of indices.
 
     The categories kept under a limit are those of :func:`_frequent`.
     """
     from rowloom.operators.ordering import dense_index
-    from rowloom.session import scratch_path
 
     ranked = dense_index(filled, [F.col("rare"), F.col("value")], "index")
     n_kept = size["k"] - size["r"]
@@ -350,11 +401,12 @@ def load_preprocessor(spark: SparkSession, path: str) -> Preprocessor:
             continue
         listed = tuple(r["text"] for r in sorted((r for r in mine if r["parameter"] == "category"), key=lambda r: r["number"]))
         rare = tuple(r["text"] for r in mine if r["parameter"] == "infrequent")
-        table = one.get("table")
+        table, rare_table = one.get("table"), one.get("infrequent_table")
         categorical.append(
             CategoryFit(
                 column, one["fill"]["text"], listed, tuple(sorted(rare)),
                 f"{path}/{table['text']}" if table else None, int(table["number"]) if table else None,
+                f"{path}/{rare_table['text']}" if rare_table else None,
             )
         )
     return Preprocessor(PreprocessSpec(**about["spec"]), tuple(numeric), tuple(categorical), tuple(about["used"]))
@@ -364,14 +416,16 @@ def _text(df: DataFrame, c: CategoryFit) -> Column:
     return F.coalesce(col(c.column).cast("string"), F.lit(c.fill))
 
 
-def _indicators(df: DataFrame, c: CategoryFit, raise_unknown: bool) -> list[Column]:
+def _indicators(df: DataFrame, c: CategoryFit, raise_unknown: bool, rare: Column | None = None) -> list[Column]:
+    """A column per category, and one for the infrequent; ``rare`` is set where the joined table has the value."""
     text = _text(df, c)
+    infrequent = lambda t: t.isin(list(c.infrequent)) if rare is None else F.when(t.isNotNull(), rare.isNotNull())
     if raise_unknown:
         message = F.concat(F.lit(f"[unknown_category] {c.column}: "), text)
-        known = text.isin([*c.categories, *c.infrequent])
+        known = text.isin(list(c.categories)) | infrequent(text)
         text = F.when(known, text).otherwise(F.raise_error(message).cast("string"))
     one = lambda condition: condition.cast("int").cast("double")
     out = [one(text == F.lit(v)).alias(f"{c.column}__{v}") for v in c.categories]
-    if c.infrequent:
-        out.append(one(text.isin(list(c.infrequent))).alias(f"{c.column}__{INFREQUENT}"))
+    if c.infrequent or rare is not None:
+        out.append(one(infrequent(text)).alias(f"{c.column}__{INFREQUENT}"))
     return out

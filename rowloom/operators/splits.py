@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rowloom.errors import DataError, require_columns
 from rowloom.functions.coerce import col
 from rowloom.operators.ordering import as_list, ascending, dense_index, tie_columns
-from rowloom.session import written
+from rowloom.session import small_table, written
 
 TRAIN, VALIDATION = "train", "validation"
 # Cuts of up to this many groups are broadcast; more are joined by shuffle.  A group is
@@ -132,15 +132,21 @@ def _class_id(classes: Sequence[Column], seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *[part for c in classes for part in (c.isNull(), c)])
 
 
+def _kept(df: DataFrame, label: str, few: bool) -> DataFrame:
+    """A table of a row or so per class: rows in the plan if there are few classes, else written."""
+    if not few:
+        return written(df, label)
+    return small_table(df.sparkSession, [tuple(r) for r in df.collect()], df.schema.simpleString()[len("struct<") : -1])
+
+
 def _quotas(df: DataFrame, classes: Sequence[str], fraction: float) -> tuple[DataFrame, int]:
     """id, n, n_val per class, and the seed with which no two classes share an id."""
     names = [f"__g{i}" for i in range(len(classes))]
     sizes = df.groupBy(*[col(c).alias(n) for c, n in zip(classes, names)]).agg(F.count("*").alias("n"))
     if classes:
-        counted = _class_quotas(sizes, names, fraction)
+        counted = written(_class_quotas(sizes, names, fraction), "class-quotas")
     else:
-        counted = sizes.where("n > 0").withColumn("n_val", F.ceil(F.col("n") * F.lit(fraction)))
-    counted = written(counted, "class-quotas")
+        counted = _kept(sizes.where("n > 0").withColumn("n_val", F.ceil(F.col("n") * F.lit(fraction))), "rows", True)
     seed = 0
     while True:
         ids = counted.select(_class_id([F.col(n) for n in names], seed).alias("id"), "n", F.col("n_val").cast("bigint").alias("n_val"))
@@ -152,8 +158,8 @@ def _quotas(df: DataFrame, classes: Sequence[str], fraction: float) -> tuple[Dat
 def _hash_label(df: DataFrame, classes: Sequence[str], keys: Sequence[Column], fraction: float) -> DataFrame:
     """Add ``split``: per class the rows of the smallest hashes validate."""
     quotas, seed = _quotas(df, classes, fraction)
-    quotas = written(quotas, "split-quotas")
     few = _check_sizes(quotas) <= BROADCAST_GROUPS
+    quotas = _kept(quotas, "split-quotas", few)
     per_class = lambda table: F.broadcast(table) if few else table
     hashed = df.select(_class_id([col(c) for c in classes], seed).alias("id"), keys[0].alias("h"))
 
@@ -173,7 +179,7 @@ def _hash_label(df: DataFrame, classes: Sequence[str], keys: Sequence[Column], f
         upto = F.sum("rows").over(Window.partitionBy("id").orderBy("bucket"))  # at most 2^RADIX_BITS per class
         summed = counts.withColumn("upto", upto).join(ranges.select("id", "wanted"), "id")
         start = F.shiftleft("bucket", shift)
-        ranges = written(
+        ranges = _kept(
             summed.where("upto >= wanted and upto - rows < wanted").select(
                 "id",
                 start.alias("low"),
@@ -182,17 +188,19 @@ def _hash_label(df: DataFrame, classes: Sequence[str], keys: Sequence[Column], f
                 F.col("rows").alias("size"),
             ),
             "split-ranges",
+            few,
         )
     last = settled[0]
     for more in settled[1:]:
         last = last.unionByName(more)
-    last = written(last, "split-last-ranges")
+    last = _kept(last, "split-last-ranges", few)
     choice = hashed.join(per_class(last.select("id", "low", "high")), "id").where("h between low and high")
     counts = choice.groupBy("id", "h").agg(F.count("*").alias("rows"))
     upto = F.sum("rows").over(Window.partitionBy("id").orderBy("h"))
     summed = counts.withColumn("upto", upto).join(last.select("id", "wanted"), "id")
     cuts = summed.where("upto >= wanted and upto - rows < wanted")
-    cuts = written(cuts.select("id", F.col("h").alias("cut"), (F.col("upto") > F.col("wanted")).alias("straddles")), "split-cuts")
+    cuts = cuts.select("id", F.col("h").alias("cut"), (F.col("upto") > F.col("wanted")).alias("straddles"))
+    cuts = _kept(cuts, "split-cuts", few)
     if not cuts.where("straddles").isEmpty():
         return _label(df, classes, keys, None if classes else lambda n, sizes: F.ceil(n * F.lit(fraction)), tail=False, fraction=fraction)
 

@@ -164,6 +164,21 @@ def category_index(spark, folder):
     return fit_preprocessor(parts.where(TRAIN), spec).transform(parts).select("p_partkey", "p_name__index")
 
 
+@query(
+    "one_hot_many_rare",
+    """with c as (select l_partkey::varchar as v, count(*) as n from lineitem group by 1),
+        r as (select *, row_number() over (order by n desc, v desc) as place from c)
+    select case when place < 3 then v else '<infrequent>' end as category, sum(n)::double as n_rows from r group by 1""",
+)
+def one_hot_many_rare(spark, folder):
+    """Thousands of values, of which two keep a column of their own."""
+    lines = scan(spark, folder, "lineitem").select(F.col("l_partkey").cast("string").alias("part"))
+    spec = PreprocessSpec(numeric_features=[], categorical_features=["part"], max_categories=3)
+    coded = fit_preprocessor(lines, spec).transform(lines)
+    sums = [F.struct(F.lit(c.removeprefix("part__")).alias("category"), F.sum(col(c)).alias("n_rows")) for c in coded.columns]
+    return coded.agg(F.array(*sums).alias("all")).select(F.inline("all"))
+
+
 @query(
     "one_hot_sparse",
     """with c as (select p_name, row_number() over (order by p_name) - 1 as i, count(*) over () as size

@@ -1,3 +1,5 @@
+import dataclasses
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -144,3 +146,46 @@ def test_contracts(train, test):
         build_preprocessor(train, PreprocessSpec(drop_features=["i", "c"]))
     assert error.value.code == "no_features_after_inference"
     assert build_preprocessor(train).used == ("i", "c")
+
+
+@pytest.mark.parametrize("limits", [{"max_categories": 4}, {"min_frequency": 30}, {"max_categories": 1}, {"max_categories": 5, "min_frequency": 4}])
+def test_tables_of_rare_values_give_the_listed_result(spark, monkeypatch, tmp_path, limits):
+    import rowloom.operators.preprocess as module
+
+    df = spark.range(400).selectExpr("id", "case when id % 19 = 0 then null else concat('v', cast(sqrt(id) as int)) end as c")
+    new = df.withColumn("c", F.when(F.col("id") % 7 == 0, F.lit("never seen")).otherwise(F.col("c")))
+    spec = PreprocessSpec(numeric_features=[], categorical_features=["c"], remainder="passthrough", **limits)
+    listed = fit_preprocessor(df, spec)
+    monkeypatch.setattr(module, "MAX_LISTED", -1)
+    joined = fit_preprocessor(df, spec)
+    monkeypatch.setattr(module, "MAX_DENSE", 10)
+    counted = fit_preprocessor(df, spec)
+    counted.save(spark, str(tmp_path / "saved"))
+    loaded = module.load_preprocessor(spark, str(tmp_path / "saved"))
+    wanted = sorted(map(tuple, listed.transform(new).collect()))
+    for other in (joined, counted, loaded):
+        assert other.categorical[0].rare_table and not other.categorical[0].infrequent
+        made = other.transform(new)
+        assert made.columns == listed.transform(new).columns and sorted(map(tuple, made.collect())) == wanted
+    strict = dataclasses.replace(counted, spec=dataclasses.replace(spec, handle_unknown="error"))
+    assert strict.transform(df).count() == 400
+    with pytest.raises(DataError) as error:
+        strict.transform(new)
+    assert error.value.code == "unknown_category"
+    with pytest.raises(Exception, match="unknown_category"):
+        strict.transform(new, "lazy").collect()
+
+
+def test_plan_does_not_grow_with_rare_values(spark):
+    sizes = []
+    for n in (3_000, 60_000):
+        df = spark.range(n).selectExpr("concat('value ', id) as c")
+        fitted = fit_preprocessor(df, PreprocessSpec(numeric_features=[], categorical_features=["c"], max_categories=3))
+        assert len(fitted.categorical[0].categories) == 2 and not fitted.categorical[0].infrequent
+        made = fitted.transform(df)
+        assert made.agg(F.sum(f"`c__{'<infrequent>'}`")).first()[0] == n - 2
+        sizes.append(len(made._jdf.queryExecution().analyzed().toString()))
+    assert max(sizes) < 3_000 and abs(sizes[0] - sizes[1]) < 200
+    with pytest.raises(DataError) as error:
+        fit_preprocessor(df, PreprocessSpec(numeric_features=[], categorical_features=["c"]))
+    assert error.value.code == "too_many_categories"
