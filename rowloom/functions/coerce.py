@@ -91,8 +91,10 @@ def moment(
     )
 
 
-# A clock time with a zone behind it: read as that moment in UTC.
-_ZONED = r":[0-9]{2}([.][0-9]+)?\s*(Z|UTC|[+-][0-9]{1,2}(:?[0-9]{2})?)\s*$"
+# A clock time with a zone behind it (an offset, a name or an abbreviation): read as that
+# moment in UTC.  A zone the JVM does not know gives NULL, as other text that is no time.
+_CLOCK, _ZONE = r"([T ][0-9]{1,2}:[0-9]{1,2})", r"\s*((?:[A-Za-z]|[+-][0-9]).*)$"
+_ZONED = _CLOCK + r"(?::[0-9]{1,2}(?:[.][0-9]+)?)?" + _ZONE
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
@@ -103,13 +105,18 @@ def _utc_clock(moment_: Column) -> Column:
     return F.expr(_EPOCH) + F.make_dt_interval(zero, zero, zero, seconds)
 
 
+def _full(text: Column) -> Column:
+    """Zoned text with seconds, without which Spark does not read it."""
+    return F.regexp_replace(text, _CLOCK + _ZONE, "$1:00 $2")
+
+
 def parsed_time(name: str, fmt: str | None = None) -> Column:
     """Text as a time without zone, NULL where it does not parse; the session's zone plays no part."""
     text = col(name)
     if fmt:
         # Read as UTC and written down in UTC.
         return _utc_clock(F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(f"{fmt} xx")))
-    return F.when(text.rlike(_ZONED), _utc_clock(text.try_cast("timestamp"))).otherwise(text.try_cast("timestamp_ntz"))
+    return F.when(text.rlike(_ZONED), _utc_clock(_full(text).try_cast("timestamp"))).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def strict_moment(df: DataFrame, name: str, fmt: str | None = None) -> Column:
@@ -119,7 +126,7 @@ def strict_moment(df: DataFrame, name: str, fmt: str | None = None) -> Column:
     text = col(name)
     if fmt:
         return _utc_clock(F.to_timestamp(F.concat(text, F.lit(" +0000")), f"{fmt} xx"))
-    return F.when(text.rlike(_ZONED), _utc_clock(text.cast("timestamp"))).otherwise(text.cast("timestamp_ntz"))
+    return F.when(text.rlike(_ZONED), _utc_clock(_full(text).cast("timestamp"))).otherwise(text.cast("timestamp_ntz"))
 
 
 def invalid_count(df: DataFrame, name: str, coerced: Column) -> Column:

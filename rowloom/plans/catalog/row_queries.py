@@ -110,6 +110,34 @@ def parse_datetime_strictly(spark, folder):
     return text.select("event_id", strict_moment(text, "t").alias("t"))
 
 
+#: Zone text behind a clock time, and what brings that clock to UTC.
+_ZONES = (
+    (":07 America/New_York", "(c + interval 7 seconds) at time zone 'America/New_York' at time zone 'UTC'"),
+    (":07.25 EST", "c + interval 5 hours + interval 7250 milliseconds"),
+    (":07 GMT+5", "c - interval 5 hours + interval 7 seconds"),
+    ("Z", "c"),
+    (" +0530", "c - interval 330 minutes"),
+    (":07Europe/Berlin", "(c + interval 7 seconds) at time zone 'Europe/Berlin' at time zone 'UTC'"),
+    ("", "c"),
+    (":07 Nowhere/Town", "null"),
+)
+
+
+@query(
+    "zoned_text",
+    f"""with n as (select event_id, date_trunc('day', ts) + interval 12 hours + interval 1 minute * minute(ts) as c from events)
+    select event_id, (case event_id % {len(_ZONES)} {' '.join(f'when {i} then {sql}' for i, (_, sql) in enumerate(_ZONES))} end)::timestamp as t from n""",
+)
+def zoned_text(spark, folder):
+    """Clock times with named zones, abbreviations and offsets, with and without seconds, as moments in UTC."""
+    events = scan(spark, folder, "events")
+    zone = F.element_at(F.array(*[F.lit(z) for z, _ in _ZONES]), (F.col("event_id") % len(_ZONES) + 1).cast("int"))
+    letter = F.when(F.col("event_id") % 16 < 8, "T").otherwise(" ")
+    clock = F.concat(F.date_format("ts", "yyyy-MM-dd"), letter, F.date_format("ts", "'12':mm"), zone)
+    text = events.select("event_id", clock.alias("t"))
+    return text.select("event_id", moment(text, "t").alias("t"))
+
+
 @query("coerce_number", f"with {GAPPY_SQL} select event_id, v from gappy")
 def coerce_number(spark, folder):
     gappy = gappy_events(spark, folder)

@@ -100,6 +100,19 @@ def test_times_do_not_depend_on_the_session(spark, zone):
         assert ends.first()[0] == 10800.0
         zoned = spark.createDataFrame([("2024-03-10T02:30:00+01:00",)], "t string").select(parsed_time("t").cast("string")).first()[0]
         assert zoned == "2024-03-10 01:30:00"
+        named = {
+            "2024-07-01 10:00:00 America/New_York": "2024-07-01 14:00:00",
+            "2024-01-01 10:00:00 America/New_York": "2024-01-01 15:00:00",
+            "2024-01-01 10:00:00 EST": "2024-01-01 15:00:00",
+            "2024-01-01 10:00:00 GMT+5": "2024-01-01 05:00:00",
+            "2024-01-01T10:00Z": "2024-01-01 10:00:00",
+            "2024-01-01 10:00 +05:30": "2024-01-01 04:30:00",
+            "2024-01-01 10:00:00 No/Such": None,
+            "2024-01-01 10:00": "2024-01-01 10:00:00",
+            "2024-01-01": "2024-01-01 00:00:00",
+        }
+        texts = spark.createDataFrame([(t,) for t in named], "t string")
+        assert {r.t: r.p for r in texts.select("t", parsed_time("t").cast("string").alias("p")).collect()} == named
         steps = time_deltas(df.where("t <> 'x'").withColumn("k", F.lit(1)), "t", "k").orderBy("t").collect()
         assert [r.delta_seconds for r in steps] == [5400.0, 5400.0]
         dates = spark.createDataFrame([(1, "2024-1-3"), (1, "2024-1-10"), (1, "2024-1-9")], "k int, t string")
