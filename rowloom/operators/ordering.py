@@ -67,11 +67,18 @@ def dense_index(
 ) -> DataFrame:
     """``df`` with a gap-free 0-based row number in the order of ``keys``.
 
+    Counting, drawing range bounds and writing each read ``df``.  A table that is more
+    than a selection from a source is written first, so that it is worked out once.
+
     Rows with equal keys fall into one range.  Where such a tie is heavier than a
     task should bear, the rows are written first with a fixed id, which then
     continues the key and lets the tie be divided.
     """
     order = ascending(keys)
+    if costly(df):
+        named = {f"__order{i}": k for i, k in enumerate(keys)}
+        kept = written(df.withColumns(named), "order-input")
+        return dense_index(kept, [F.col(n) for n in named], name, partitions).drop(*named)
     if heavy_tie(df, keys):
         named = {f"__order{i}": k for i, k in enumerate(keys)}
         df = written(df.withColumns(named).withColumn("__row_id", F.monotonically_increasing_id()), "tied-rows")
@@ -80,6 +87,17 @@ def dense_index(
     return _indexed(df, order, name, partitions)
 
 
+# What reading again would repeat at a price: everything but scans and projections of rows.
+_COSTLY = ("Join", "Aggregate", "Window", "Sort", "Map", "Python", "Generate", "Distinct", "Repartition", "Pandas", "Arrow", "Sample")
+
+
+def costly(df: DataFrame) -> bool:
+    """Is more to be done than to read, filter and project rows?"""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    steps = [line.lstrip(" :+-").split(" ", 1)[0].split("(", 1)[0] for line in plan.splitlines()]
+    return any(word in step for step in steps for word in _COSTLY)
+
+
 def heavy_tie(df: DataFrame, keys: Sequence[Column]) -> bool:
     """Does one key value hold more rows than one task should get?
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rowloom.errors import require_columns
 from rowloom.functions.coerce import col, is_fraction, number, present, type_of
-from rowloom.operators.quantile import quantile_table
+from rowloom.operators.quantile import WHOLE_ROWS, bracketed, quantile_table, with_sketches
 from rowloom.operators.tables import concatenate, numeric_columns
 from rowloom.session import small_table, written
 
@@ -118,32 +118,33 @@ def class_summary(df: DataFrame, target: str, features: Sequence[str] = ()) -> D
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
-    """``(column, count, mean, std, min, q25, q50, q75, max)`` of the numeric columns."""
+    """``(column, count, mean, std, min, q25, q50, q75, max)`` of the numeric columns.
+
+    Two passes: moments and the sketch that brackets the quartiles, then the brackets.
+    With ``approx`` the quartiles are the sketch's, from one pass.
+    """
     names = numeric_columns(df) if columns is None else list(columns)
     require_columns(df.columns, names, "profile_missing_columns", "numeric summary")
-    aggs = []
-    for i, c in enumerate(names):
-        x = number(df, c)
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"avg{i}"), F.stddev_samp(x).alias(f"sd{i}")]
-        aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-        if approx:
-            aggs.append(F.percentile_approx(x, list(QUARTILES), 10_000).alias(f"q{i}"))
-    rows = []
-    for i, c in enumerate(names):
-        fields = {"column": F.lit(c), "count": F.col(f"n{i}"), "mean": F.col(f"avg{i}"), "std": F.col(f"sd{i}")}
-        fields.update({"min": F.col(f"lo{i}"), "max": F.col(f"hi{i}")})
-        if approx:
-            fields.update({n: F.col(f"q{i}")[j] for j, n in enumerate(_QUARTILE_NAMES)})
-        rows.append(F.struct(*[v.alias(n) for n, v in fields.items()]))
-    summary = _rows(df.agg(*aggs), rows)
-    if not approx:
-        at = lambda q: F.max(F.when(F.col("q") == q, F.col("value")))
-        quartiles = quantile_table(df, names, QUARTILES).groupBy("column").agg(
-            *[at(q).alias(n) for q, n in zip(QUARTILES, _QUARTILE_NAMES)]
-        )
-        # One row per column on both sides.
-        summary = summary.join(F.broadcast(quartiles), "column", "left")
-    return summary.select("column", "count", "mean", "std", "min", *_QUARTILE_NAMES, "max")
+    if approx:
+        aggs = []
+        for i, c in enumerate(names):
+            x = number(df, c)
+            parts = {"n": F.count(x), "mean": F.avg(x), "std": F.stddev_samp(x), "low": F.min(x), "high": F.max(x)}
+            parts["q"] = F.percentile_approx(x, list(QUARTILES), 10_000)
+            aggs.append(F.struct(*[v.alias(k) for k, v in parts.items()]).alias(f"c{i}"))
+        seen = list(df.agg(*aggs).first())
+        quartiles = [r["q"] or [None] * 3 for r in seen]
+    else:
+        seen = with_sketches(df, names)
+        if max((r.n for r in seen), default=0) > WHOLE_ROWS:
+            exact = bracketed(df, names, QUARTILES, seen)
+        else:
+            exact = quantile_table(df, names, QUARTILES, rows=0)
+        found = {(r["column"], r["q"]): r["value"] for r in exact.collect()}  # three per column
+        quartiles = [[found.get((c, q)) for q in QUARTILES] for c in names]
+    rows = [(c, r.n, r.mean, r.std, r.low, *q, r.high) for c, r, q in zip(names, seen, quartiles)]
+    schema = ", ".join(["column string, count bigint", *[f"{n} double" for n in ("mean", "std", "min", *_QUARTILE_NAMES, "max")]])
+    return small_table(df.sparkSession, rows, schema)
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30, infinite: bool = False) -> DataFrame:

@@ -1,27 +1,35 @@
-"""Exact quantiles at any size.
-
-Equal values are counted first (combined map-side), then the wanted ranks are read off
-the running counts.  For a small table that is one window per column.  For a large one
-the quantiles of a sample bracket each wanted rank: values outside the brackets are
-counted but not kept, so only a few percent of the values are shuffled.  The counts show
-whether a bracket holds its rank; if one does not, all values are sorted.  The sample
-only chooses the brackets, it never enters the result.
+"""Exact quantiles at any size, in two passes over the table.
+
+The first pass takes moments and sketches a share of the values; the sketch gives a bracket around each wanted rank.  The second pass counts, per
+Arrow batch, the values between the brackets and keeps those inside, so a few percent of
+the values are shuffled.  The counts show whether a bracket holds its rank; if one does
+not, all values are sorted.  The sketch only chooses the brackets, it never enters the
+result.  A small table skips the first pass: its values are counted whole.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowloom.functions.coerce import number
 from rowloom.operators.ordering import dense_index
 from rowloom.session import small_table, written
 
-# Rows of a table, or counted values, that one window task per column may get.
+# Counted values that one window task per column may get.
 PLAIN_ROWS = 1_000_000
-SAMPLE_ROWS = (20_000, 1_000_000)
+# Tables up to this many rows are counted whole.
+WHOLE_ROWS = 50_000
+# Share of the values that is sketched, and the ranks read off the sketch.
+SHARE = 0.03
+GRID = 500
+_ACCURACY = 10_000
+_PILOT_ROWS = 1000
 
 
 def quantiles(
@@ -45,13 +53,75 @@ def quantile_table(
 ) -> DataFrame:
     """``(column, q, value)``; a column without values has no rows."""
     n = df.count() if rows is None else rows
-    if n <= PLAIN_ROWS:
+    if n <= WHOLE_ROWS:
         return _named(_plain(_counted(_long(df, columns)), qs), columns)
-    sample = min(max(n // 100, SAMPLE_ROWS[0]), SAMPLE_ROWS[1])
-    # Five times the error of a quantile of such a sample, as a share of the rows.
-    slack = 2.5 / sample**0.5
-    edges = _edges(df.sample(min(1.0, sample / n), 7), columns, qs, slack)
-    counted = written(_counted(_long(df, columns, edges)), "bracketed-values")
+    return bracketed(df, columns, qs, with_sketches(df, columns))
+
+
+@dataclass(frozen=True)
+class ColumnSketch:
+    """What the first pass finds in a column: exact moments and ends, and sketched ranks."""
+
+    n: int
+    mean: float | None
+    std: float | None
+    low: float | None
+    high: float | None
+    ranks: Sequence[float]
+
+
+def with_sketches(df: DataFrame, columns: Sequence[str]) -> list[ColumnSketch]:
+    """One pass over the values of all columns.
+
+    Each Arrow batch becomes one row of sums per column, taken around a rough centre so
+    that they lose no digits, and a share of its values, which Spark sketches map-side.
+    """
+    cells = df.select(*[number(df, c).alias(f"x{i}") for i, c in enumerate(columns)])
+    pilot = cells.limit(_PILOT_ROWS).toArrow()
+    centres = []
+    for i in range(len(columns)):
+        x = pilot.column(i).drop_null().to_numpy()
+        x = x[np.isfinite(x)]
+        centres.append(float(x.mean()) if len(x) else 0.0)
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        draw = np.random.default_rng()
+        for batch in batches:
+            place, drawn, n, first, second, low, high = [], [], [], [], [], [], []
+            for i, centre in enumerate(centres):
+                x = batch.column(i).drop_null().to_numpy(zero_copy_only=False)
+                if not len(x):
+                    continue
+                some = x[draw.random(len(x)) < SHARE].tolist()
+                moved = x - centre
+                place += [i] * (len(some) + 1)
+                drawn += [None, *some]
+                for sums, value in ((n, len(x)), (first, moved.sum()), (second, moved @ moved), (low, x.min()), (high, x.max())):
+                    sums += [value] + [None] * len(some)
+            floats = [pa.array(v, pa.float64()) for v in (first, second, low, high)]
+            arrays = [pa.array(place, pa.int32()), pa.array(drawn, pa.float64()), pa.array(n, pa.int64()), *floats]
+            yield pa.RecordBatch.from_arrays(arrays, names=["place", "drawn", "n", "first", "second", "low", "high"])
+
+    seen = cells.mapInArrow(look, "place int, drawn double, n bigint, first double, second double, low double, high double")
+    ranks = F.percentile_approx("drawn", [i / GRID for i in range(GRID + 1)], _ACCURACY)
+    sums = [F.sum("n").alias("n"), F.sum("first").alias("first"), F.sum("second").alias("second")]
+    rows = {r["place"]: r for r in seen.groupBy("place").agg(ranks.alias("ranks"), *sums, F.min("low").alias("low"), F.max("high").alias("high")).collect()}
+    out = []
+    for i, centre in enumerate(centres):
+        r = rows.get(i)
+        if r is None:
+            out.append(ColumnSketch(0, None, None, None, None, []))
+            continue
+        n, squares = r["n"], r["second"] - r["first"] ** 2 / r["n"]
+        std = None if n < 2 else float(np.sqrt(squares / (n - 1))) if squares > 0 else squares * 0.0
+        out.append(ColumnSketch(n, centre + r["first"] / n, std, r["low"], r["high"], r["ranks"] or []))
+    return out
+
+
+def bracketed(df: DataFrame, columns: Sequence[str], qs: Sequence[float], seen: Sequence[ColumnSketch]) -> DataFrame:
+    """``(column, q, value)`` by one pass, given what :func:`with_sketches` found."""
+    edges = [_edges(c.n, c.ranks, qs) for c in seen]
+    counted = written(_bracket_counts(df, columns, edges), "bracketed-values")
     located = written(_located(counted, qs), "located-ranks")
     # A rank between two brackets shows as a hit without a value.
     if located.where("value is null").limit(1).count():
@@ -59,6 +129,37 @@ def quantile_table(
     return _named(located, columns)
 
 
+def _bracket_counts(df: DataFrame, columns: Sequence[str], edges: list[list[float]]) -> DataFrame:
+    """``(column, region, value, n)``: odd regions are brackets and keep their values.
+
+    Even regions, between the brackets, keep only how many values there are.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place, region, value, n = [], [], [], []
+            for i, bounds in enumerate(edges):
+                x = batch.column(i).drop_null().to_numpy(zero_copy_only=False)
+                where = np.zeros(len(x), np.int8)
+                for k, bound in enumerate(bounds):
+                    # Both ends belong to the bracket.
+                    where += x >= bound if k % 2 == 0 else x > bound
+                for r, rows in enumerate(np.bincount(where, minlength=len(bounds) + 1).tolist()):
+                    if not rows:
+                        continue
+                    values, times = np.unique(x[where == r], return_counts=True) if r % 2 else (None, [rows])
+                    place += [i] * len(times)
+                    region += [r] * len(times)
+                    value += [None] if values is None else values.tolist()
+                    n += list(times)
+            arrays = [pa.array(place, pa.int32()), pa.array(region, pa.int32()), pa.array(value, pa.float64()), pa.array(n, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["column", "region", "value", "n"])
+
+    cells = df.select(*[number(df, c).alias(f"x{i}") for i, c in enumerate(columns)])
+    found = cells.mapInArrow(count, "column int, region int, value double, n bigint")
+    return found.groupBy("column", "region", "value").agg(F.sum("n").alias("n"))
+
+
 def sorted_quantiles(
     df: DataFrame, columns: Sequence[str], qs: Sequence[float], block_rows: int = 100_000
 ) -> DataFrame:
@@ -66,51 +167,33 @@ def sorted_quantiles(
     return _named(_blocked(_counted(_long(df, columns)), qs, block_rows), columns)
 
 
-def _long(df: DataFrame, columns: Sequence[str], edges: list[list[float]] | None = None) -> DataFrame:
-    """``(column, region, value)`` of all values, the column by its place in the list.
-
-    Odd regions are brackets and keep their values; even ones, between the brackets,
-    keep only how many there are.  The bounds come in as a table of one row per column:
-    written into the expression they would make code too long to be compiled.
-    """
+def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, region, value)`` of all values, the column by its place in the list, all in one region."""
     cells = [F.struct(F.lit(i).alias("column"), number(df, c).alias("value")) for i, c in enumerate(columns)]
     values = df.select(F.inline(F.array(*cells))).where("value is not null")
-    if edges is None:
-        return values.select("column", F.lit(1).alias("region"), "value")
-    width = max(len(bounds) for bounds in edges)
-    rows = [(i, *bounds, *[None] * (width - len(bounds))) for i, bounds in enumerate(edges)]
-    names = [f"b{i}" for i in range(width)]
-    table = small_table(df.sparkSession, rows, ", ".join(["column int", *[f"{n} double" for n in names]]))
-    region = F.lit(0)
-    for i, name in enumerate(names):
-        # Both ends belong to the bracket.
-        beyond = F.col("value") >= F.col(name) if i % 2 == 0 else F.col("value") > F.col(name)
-        region = region + F.coalesce(beyond.cast("int"), F.lit(0))
-    placed = values.join(F.broadcast(table), "column").select("column", region.alias("region"), "value")
-    return placed.withColumn("value", F.when(F.col("region") % 2 == 1, F.col("value")))
+    return values.select("column", F.lit(1).alias("region"), "value")
 
 
 def _counted(values: DataFrame) -> DataFrame:
     return values.groupBy("column", "region", "value").agg(F.count("*").alias("n"))
 
 
-def _edges(sample: DataFrame, columns: Sequence[str], qs: Sequence[float], slack: float) -> list[list[float]]:
-    """Disjoint brackets around each quantile, from the sample; open at the ends of the range."""
-    around = sorted({min(max(q + side * slack, 0.0), 1.0) for q in qs for side in (-1, 1)})
-    rows = _interpolated(_plain(_counted(_long(sample, columns)), around)).collect()
-    found = {(r["column"], r["q"]): r["value"] for r in rows}
-    edges = []
-    for i in range(len(columns)):
-        brackets: list[list[float]] = []
-        for q in sorted(qs):
-            low = float("-inf") if q <= slack else found.get((i, q - slack), float("-inf"))
-            high = float("inf") if q >= 1 - slack else found.get((i, q + slack), float("inf"))
-            if brackets and low <= brackets[-1][1]:
-                brackets[-1][1] = max(high, brackets[-1][1])
-            else:
-                brackets.append([low, high])
-        edges.append([bound for bracket in brackets for bound in bracket])
-    return edges
+def _edges(n: int, sketch: Sequence[float], qs: Sequence[float]) -> list[float]:
+    """Ends of disjoint brackets around each quantile; open at the ends of the range."""
+    if not sketch:
+        return [float("-inf"), float("inf")]
+    # Five times the error of a quantile of such a sample, as a share, and the sketch's own.
+    slack = 2.5 / max(SHARE * n, 1.0) ** 0.5 + 1.0 / _ACCURACY
+    brackets: list[list[float]] = []
+    for q in sorted(qs):
+        first, last = int(np.floor((q - slack) * GRID)), int(np.ceil((q + slack) * GRID))
+        low = float("-inf") if first <= 0 else sketch[first]
+        high = float("inf") if last >= GRID else sketch[last]
+        if brackets and low <= brackets[-1][1]:
+            brackets[-1][1] = max(high, brackets[-1][1])
+        else:
+            brackets.append([low, high])
+    return [bound for bracket in brackets for bound in bracket]
 
 
 def _ranks(totals: DataFrame, qs: Sequence[float]) -> DataFrame:

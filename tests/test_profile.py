@@ -21,10 +21,11 @@ def test_summary_and_skewness(spark):
     assert approx["q50"] == 2.0
 
 
-@pytest.mark.parametrize("plain_rows, sample", [(1_000_000, 500), (300, 500), (300, 5), (50, 5)])
-def test_quantiles_whatever_the_plan(skewed, monkeypatch, plain_rows, sample):
+@pytest.mark.parametrize("whole, plain_rows, share", [(50_000, 10**6, 0.1), (100, 10**6, 0.5), (100, 50, 0.5), (100, 50, 0.002), (100, 50, 0.0)])
+def test_quantiles_whatever_the_plan(skewed, monkeypatch, whole, plain_rows, share):
+    monkeypatch.setattr(quantile, "WHOLE_ROWS", whole)
     monkeypatch.setattr(quantile, "PLAIN_ROWS", plain_rows)
-    monkeypatch.setattr(quantile, "SAMPLE_ROWS", (sample, sample))
+    monkeypatch.setattr(quantile, "SHARE", share)
     qs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     df = skewed.withColumns({"u": F.col("event_id") * 1.5, "n": F.lit(None).cast("double")})
     values = sorted(r["v"] for r in df.select("v").collect())
@@ -37,6 +38,32 @@ def test_quantiles_whatever_the_plan(skewed, monkeypatch, plain_rows, sample):
     assert got["n"] == [None] * len(qs)
 
 
+def test_summary_of_a_large_table_reads_it_twice(spark, monkeypatch):
+    """Values far from zero, infinities, a constant and an empty column; and how often rows are made."""
+    monkeypatch.setattr(profile, "WHOLE_ROWS", 100)
+    monkeypatch.setattr(quantile, "SHARE", 0.2)
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(0, 5000, 1, 3).selectExpr(
+        "1e9D + id % 1000 as far", "case when id = 17 then double('Infinity') else id end as ends",
+        "7 as same", "cast(null as double) as none", "case when id = 3 then double('NaN') else id * 0.5D end as half",
+    )
+    rows = {r.column: r for r in profile.numeric_summary(df.mapInArrow(count, df.schema)).collect()}
+    assert made.value <= 2 * 5000 + 3 * quantile._PILOT_ROWS * 4
+    far = rows["far"]
+    assert (far["count"], far["min"], far.q25, far.q50, far.max) == (5000, 1e9, 1e9 + 249.75, 1e9 + 499.5, 1e9 + 999)
+    assert far["mean"] == pytest.approx(1e9 + 499.5, rel=1e-15) and far["std"] == pytest.approx(288.704, abs=1e-3)
+    assert rows["ends"].max == math.inf and rows["ends"].q50 == pytest.approx(2500.5, abs=1)
+    assert (rows["same"].q25, rows["same"]["std"], rows["same"].max) == (7.0, 0.0, 7.0)
+    assert rows["none"]["count"] == 0 and rows["none"].q50 is None and rows["none"]["mean"] is None
+    assert rows["half"]["count"] == 4999
+
+
 def test_sorted_quantiles_of_repeated_values(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 999, 1.0).otherwise(math.inf).alias("x"))
     got = {r["q"]: r["value"] for r in sorted_quantiles(df, ["x"], [0.5, 1.0], block_rows=1).collect()}

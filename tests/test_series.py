@@ -198,3 +198,19 @@ def test_wide_sums_forget_what_has_left(spark, monkeypatch):
     spec = SeriesFeatures(order_by="id", rolling_features={"s": ("v", 3, "sum"), "d": ("v", 3, "std")}, tie_breakers=[])
     rows = build_series_features(df, spec, "plain").where("id > 6").collect()
     assert {r.s for r in rows} == {0.75} and {r.d for r in rows} == {0.0}
+
+
+def test_an_index_works_out_its_input_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    base = spark.range(500).selectExpr("id", "(id * 7919) % 500 as k", "'x' as __order9")
+    assert not ordering.costly(base.where("k > 3").withColumn("j", F.col("k") + 1))
+    indexed = dense_index(base.mapInArrow(count, base.schema), [F.col("k")])
+    assert indexed.columns == ["id", "k", "__order9", "row_index"]
+    assert all(r.k == r.row_index for r in indexed.collect()) and made.value == 500
+    assert ordering.costly(base.join(base, "id")) and ordering.costly(base.groupBy("k").count())
