@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -19,6 +20,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from rowloom.errors import DataError
 
 _local_dirs: dict[str, str] = {}
+# Path of each table as written, while the frame is alive.
+_written_to: dict[int, tuple[weakref.ref, str]] = {}
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -86,4 +89,24 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _written_to[id(table)] = (weakref.ref(table, lambda _, key=id(table): _written_to.pop(key, None)), path)
+    return table
+
+
+def forget(*tables: DataFrame, shuffles: bool = False) -> None:
+    """Delete tables that :func:`written` returned, when all that reads them is written itself.
+
+    With ``shuffles`` the driver also collects garbage, upon which Spark drops the shuffle
+    files of finished steps that nothing refers to any more; both pile up over a long job.
+    """
+    for table in tables:
+        path = _written_to.pop(id(table), None)
+        if path is None:
+            raise DataError("only a table just as it was written can be deleted", "forget_unknown_table")
+        spark = table.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path[1])
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        if shuffles:
+            spark._jvm.System.gc()
+            shuffles = False

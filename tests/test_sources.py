@@ -202,3 +202,18 @@ def test_metrics_of_many_steps_in_one_file(spark, tmp_path):
     sinks.log_steps(spark, path, "r", {i: {"loss": 1.0 / (i + 1)} for i in range(20)})
     assert spark.read.parquet(path).count() == 20 and len(list((tmp_path / "runs").glob("part-*"))) == 1
     assert sinks.flatten({"a": {"b": 1, 2: {}}, "c": None}) == {"a.b": 1, "c": None}
+
+
+def test_written_tables_can_be_forgotten(spark):
+    import pathlib
+
+    from rowloom import session
+
+    table = session.written(spark.range(5), "five")
+    place = pathlib.Path(table.inputFiles()[0].removeprefix("file:")).parent
+    assert table.count() == 5 and place.exists()
+    session.forget(table, shuffles=True)
+    assert not place.exists()
+    with pytest.raises(DataError) as error:
+        session.forget(table)
+    assert error.value.code == "forget_unknown_table"
