@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rowloom.session import written
+from rowloom.session import forget, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -28,7 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = small.select("u", F.col("m").alias("v")).union(
             small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         )
-        edges = written(small.distinct(), "small-star")
+        before_edges, edges = edges, written(small.distinct(), "small-star")
+        forget(before_edges, large)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             return edges.select(F.col("u").alias("v"), F.col("v").alias("root"))

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowloom.llm.common import text_of
 from rowloom.llm.graph import components
-from rowloom.session import written
+from rowloom.session import forget, written
 
 WORDS = 4
 PERCENT = 85
@@ -215,7 +215,9 @@ def shared_postings(all_postings: DataFrame, percent: int) -> DataFrame:
     )
     enough = shared.groupBy("n", "d").agg(F.count("*").alias("shared")).where(F.col("shared") >= need(F.col("n"), percent))
     band = F.floor(F.log("n") / math.log(1 / (percent / 100 - 0.01))).cast("int").alias("band")
-    return written(shared.join(enough, ["n", "d"], "left_semi").select("token", band, "n", "d"), "postings")
+    enough_ = written(shared.join(enough, ["n", "d"], "left_semi").select("token", band, "n", "d"), "postings")
+    forget(shared, shuffles=True)
+    return enough_
 
 
 def set_table(df: DataFrame, rows: DataFrame, wanted: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
@@ -303,11 +305,13 @@ def _rooted(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
     known = shared.join(roots.withColumnRenamed("v", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     known = written(known, "rooted-postings")
     mixed = known.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("token")
-    return written(known.join(mixed, "token", "left_semi"), "open-postings")
+    open_ = written(known.join(mixed, "token", "left_semi"), "open-postings")
+    forget(known, shuffles=True)
+    return open_
 
 
-def leader_pairs(open_: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Every set with the leaders of its (token, band) and of the bands beside it, unless linked already.
+def leaders_of(open_: DataFrame, turn: int) -> DataFrame:
+    """Written token, band, n2, id2, root2: the leader of each (token, band), for that band and those beside it.
 
     A leader is the set of least hash; tokens draw with one of ``LEADERS`` hashes, new in
     every turn, so a set with many shared tokens meets that many leaders of its group.
@@ -321,7 +325,12 @@ def leader_pairs(open_: DataFrame, turn: int, percent: int) -> DataFrame:
         F.col("p.id").alias("id2"),
         F.col("p.root").alias("root2"),
     )
-    pairs = open_.join(written(first, "leaders"), ["token", "band"]).where("root <> root2").where(_sizes_fit(percent))
+    return written(first, "leaders")
+
+
+def leader_pairs(open_: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
+    """Every set with the leaders of its (token, band) and of the bands beside it, unless linked already."""
+    pairs = open_.join(leaders, ["token", "band"]).where("root <> root2").where(_sizes_fit(percent))
     return pairs.select("id", "id2").distinct()
 
 
@@ -430,18 +439,26 @@ def similar_sets(
     rows, counts = profile(df, doc_id, text, words)
     shared = shared_postings(postings(df, text, counts, words, percent), percent)
     sets = set_table(df, rows, shared.select("n", "d").distinct(), doc_id, text, words)
-    shared = written(shared.join(sets.select("n", "d", "id"), ["n", "d"]).select("token", "band", "n", "id"), "set-postings")
+    by_digest = shared
+    shared = written(by_digest.join(sets.select("n", "d", "id"), ["n", "d"]).select("token", "band", "n", "id"), "set-postings")
+    forget(by_digest, shuffles=True)
     edges = F.col("id").alias("u"), F.col("id2").alias("v")
     found, roots = None, None
     for turn in range(TURNS):
-        near = written(exact(closest(leader_pairs(_rooted(shared, roots), turn, percent), sets, percent), sets, percent), "links")
+        open_ = _rooted(shared, roots)
+        leaders = leaders_of(open_, turn)
+        near = written(exact(closest(leader_pairs(open_, leaders, percent), sets, percent), sets, percent), "links")
+        forget(leaders, *([] if roots is None else [open_]), shuffles=True)
         found = near if found is None else found.union(near)
         roots = components(found.select(*edges))
-    rest = written(exact(tile_pairs(_rooted(shared, roots), sets, percent, tile), sets, percent), "links")
+    open_ = _rooted(shared, roots)
+    rest = written(exact(tile_pairs(open_, sets, percent, tile), sets, percent), "links")
+    ids = written(sets.select("n", "d", F.col("id").alias("v")), "set-ids")
+    forget(shared, open_, sets, shuffles=True)
     if not rest.isEmpty():
         roots = components(found.union(rest).select(*edges))
     roots = roots.union(roots.select(F.col("root").alias("v"), "root").distinct())
-    return rows, roots.join(sets.select("n", "d", F.col("id").alias("v")), "v").select("n", "d", "root")
+    return rows, roots.join(ids, "v").select("n", "d", "root")
 
 
 def components_of(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:

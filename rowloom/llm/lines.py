@@ -32,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowloom.llm.common import text_of
-from rowloom.session import written
+from rowloom.session import forget, written
 
 WORDS = 5
 PERCENT = 80
@@ -169,11 +169,12 @@ def mark_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     by = Window.partitionBy("token").orderBy("h")
     other = lambda f: f("h").over(by).isNotNull() & (f("h").over(by) != F.col("h"))
     cold = postings.where(F.col("token") < hot_class).withColumn("shared", other(F.lag) | other(F.lead)).where("shared").drop("shared")
-    shared = written(cold.union(postings.where(F.col("token") >= hot_class)).distinct(), "line-shared")
-    enough = shared.groupBy("n", "h").agg(F.count("*").alias("shared")).where(F.col("shared") >= need(F.col("n"), percent))
-    shared = shared.join(enough.drop("shared"), ["n", "h"], "left_semi").join(classes, ["n", "h"])
+    with_copies = written(cold.union(postings.where(F.col("token") >= hot_class)).distinct(), "line-shared")
+    enough = with_copies.groupBy("n", "h").agg(F.count("*").alias("shared")).where(F.col("shared") >= need(F.col("n"), percent))
+    shared = with_copies.join(enough.drop("shared"), ["n", "h"], "left_semi").join(classes, ["n", "h"])
     band = F.floor(F.log("n") / math.log(1 / (percent / 100 - 0.01))).cast("int")
     shared = written(shared.withColumn("band", band), "line-postings")
+    forget(with_copies, shuffles=True)
 
     wanted = shared.select(*_CLASS, F.col("first.lk").alias("lk")).distinct()
     again = text_lines(df, doc_id, text).select("line", F.xxhash64("line").alias("lk"))
@@ -201,6 +202,7 @@ def mark_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     left = written(shared.join(gone, _CLASS, "left_anti"), "line-left")
     gone = gone.union(matched(candidates(left, shared.select("token", "band", *zero))))
     gone = written(gone.distinct().withColumn("gone", F.lit(True)), "line-gone")
+    forget(shared, left, sets, shuffles=True)
 
     verdict = written(classes.join(gone, _CLASS, "left").select(*_CLASS, "first.row", "first.at", "gone"), "line-verdicts")
     verdict = verdict.withColumnsRenamed({"row": "row0", "at": "at0"})
