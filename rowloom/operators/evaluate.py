@@ -11,7 +11,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from rowloom.errors import TrainingError, require_columns
 from rowloom.functions.coerce import INF, col
 from rowloom.functions.metrics import METRICS
-from rowloom.operators.ordering import MAX_SERIES_ROWS, SEGMENT_ROWS, dense_index, needs_segments
+from rowloom.operators.ordering import MAX_SERIES_ROWS, SEGMENT_ROWS, dense_index, largest_group, needs_segments
+
+#: Rows of a batch that a user's metric may get, and columns of an epoch summary.
+MAX_BATCH_ROWS, MAX_NAMES = 1_000_000, 1000
 
 
 def array_errors(truth: Column, prediction: Column) -> dict[str, Column]:
@@ -63,8 +66,15 @@ def batch_weighted_custom(
 ) -> DataFrame:
     """As :func:`batch_weighted` with a user's function, run once per batch on Arrow data.
 
-    Batches are of bounded size by construction (see :func:`rowloom.operators.splits.batches`).
+    A batch is one task's data, so larger ones than ``MAX_BATCH_ROWS`` are refused first.
+    :func:`rowloom.operators.splits.batches` makes batches of a given size.
     """
+    require_columns(df.columns, [batch, truth, prediction], "metric_computation_error", "batch metrics")
+    largest = largest_group(df, [batch])
+    if largest > MAX_BATCH_ROWS:
+        raise TrainingError(
+            f"a batch of {largest} rows; {MAX_BATCH_ROWS} are possible", "metric_batch_too_large", {"rows": largest}
+        )
 
     @F.pandas_udf("double")
     def per_batch(y: pd.Series, p: pd.Series) -> float:
@@ -103,12 +113,17 @@ def refuse_non_finite(df: DataFrame, column: str) -> None:
 def epoch_summary(history: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """Long history ``(run_id, phase, epoch, metric, value)`` to one row per epoch.
 
-    Columns are ``{phase}_{metric}``; give ``names`` to save the job that looks them up.
+    Columns are ``{phase}_{metric}``; give ``names`` to save the job that looks them up, of
+    which more than ``MAX_NAMES`` are refused.
     """
     named = history.withColumn("name", F.concat_ws("_", "phase", "metric"))
-    grouped = named.groupBy("run_id", "epoch")
-    pivoted = grouped.pivot("name", list(names)) if names else grouped.pivot("name")
-    return pivoted.agg(F.first("value", ignorenulls=True))
+    if not names:
+        names = sorted(r["name"] for r in named.select("name").distinct().limit(MAX_NAMES + 1).collect())
+    if len(names) > MAX_NAMES:
+        raise TrainingError(f"more than {MAX_NAMES} metrics, a column each", "too_many_metrics")
+    if not names:
+        return named.select("run_id", "epoch").distinct()
+    return named.groupBy("run_id", "epoch").pivot("name", list(names)).agg(F.first("value", ignorenulls=True))
 
 
 def last_epoch(history: DataFrame) -> DataFrame:

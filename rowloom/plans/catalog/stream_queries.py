@@ -16,9 +16,12 @@ from rowloom.streaming import features as streaming
 
 
 def stream_of(spark, folder, table):
-    """A table as a stream, whether it is one file or a folder of part files."""
+    """A table as a stream, whether it is one file or a folder of part files.
+
+    A single file is only found by a pattern; this one matches no other name.
+    """
     schema = scan(spark, folder, table).schema
-    return streaming.read_stream(spark, f"{folder}/{table}.parquet*", schema)
+    return streaming.read_stream(spark, f"{folder}/{table}.parque[t]", schema)
 
 
 def drained(spark, stream, label):

@@ -133,6 +133,7 @@ def test_tables_as_files_and_as_folders_stream_alike(spark, tmp_path):
     df.coalesce(1).write.parquet(str(tmp_path / "made"))
     (tmp_path / "file").mkdir()
     next((tmp_path / "made").glob("part-*")).rename(tmp_path / "file" / "t.parquet")
+    df.write.parquet(str(tmp_path / "folder" / "t.parquet_old"))
     for kind in ("folder", "file"):
         assert drained(spark, stream_of(spark, str(tmp_path / kind), "t"), kind).exceptAll(df).isEmpty()
         assert drained(spark, stream_of(spark, str(tmp_path / kind), "t"), kind).count() == 100

@@ -238,3 +238,19 @@ print("travelled")
 """
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert "travelled" in done.stdout, done.stderr[-2000:]
+
+
+def test_unbounded_batches_and_names_are_refused(spark, monkeypatch):
+    df = spark.range(30).selectExpr("id div 20 as batch", "double(id) as y", "id + 1D as p")
+    gap = lambda y, p: float((p - y).mean())
+    assert evaluate.batch_weighted_custom(df, "y", "p", gap, "gap").first()["gap"] == 1.0
+    monkeypatch.setattr(evaluate, "MAX_BATCH_ROWS", 19)
+    with pytest.raises(TrainingError) as error:
+        evaluate.batch_weighted_custom(df, "y", "p", gap, "gap")
+    assert error.value.code == "metric_batch_too_large"
+    history = spark.createDataFrame([("r", "train", 1, "loss", 0.5), ("r", "val", 1, "loss", 0.7)], "run_id string, phase string, epoch int, metric string, value double")
+    assert evaluate.epoch_summary(history).columns == ["run_id", "epoch", "train_loss", "val_loss"]
+    monkeypatch.setattr(evaluate, "MAX_NAMES", 1)
+    with pytest.raises(TrainingError) as error:
+        evaluate.epoch_summary(history)
+    assert error.value.code == "too_many_metrics"
