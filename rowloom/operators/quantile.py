@@ -24,7 +24,7 @@ from rowloom.session import small_table, written
 # Counted values that one window task per column may get.
 PLAIN_ROWS = 1_000_000
 # Tables up to this many rows are counted whole.
-WHOLE_ROWS = 50_000
+WHOLE_ROWS = 250_000
 # Share of the values that is sketched, and the ranks read off the sketch.
 SHARE = 0.03
 GRID = 500
