@@ -12,6 +12,8 @@ from rowloom.errors import TrainingError, require_columns
 from rowloom.functions.coerce import INF, col
 from rowloom.functions.metrics import METRICS
 from rowloom.operators.ordering import MAX_SERIES_ROWS, SEGMENT_ROWS, dense_index, largest_group, needs_segments
+from rowloom.operators.stopping import last_improvement
+from rowloom.session import written
 
 #: Rows of a batch that a user's metric may get, and columns of an epoch summary.
 MAX_BATCH_ROWS, MAX_NAMES = 1_000_000, 1000
@@ -150,8 +152,10 @@ def early_stopping(
     ``min_delta``; the run stops at the ``patience``-th epoch in a row that does not.
 
     Only an epoch that beats every earlier one can improve, so a running extreme first
-    thins each run to those records; the fold then runs over the records alone, which pass
-    in sorted batches: only its state is kept, however many epochs are records.
+    thins each run to those records.  Where a run is divided and has more than
+    ``segment_rows`` records, next improvements are pointers that are followed by doubling
+    (:mod:`rowloom.operators.stopping`); otherwise one sorted pass over the records keeps
+    only its state.
     """
     sign = {"min": 1.0, "max": -1.0}.get(mode.lower())
     if sign is None:
@@ -159,9 +163,16 @@ def early_stopping(
     seen = history.where(F.col("metric") == monitor).select(
         "run_id", "epoch", (F.col("value").cast("double") * F.lit(sign)).alias("v")
     )
-    ranked = _ranked_epochs(seen, needs_segments(seen, ["run_id"], strategy, max_run_epochs), segment_rows)
-    record = (F.col("i") == 1) | (F.col("v") < F.col("low"))
-    folded = _fold_records(ranked.where(record).select("run_id", "i", "v"), patience, min_delta)
+    divided = needs_segments(seen, ["run_id"], strategy, max_run_epochs)
+    ranked = _ranked_epochs(seen, divided, segment_rows)
+    if divided:
+        ranked = written(ranked, "ranked-epochs")
+    records = ranked.where((F.col("i") == 1) | (F.col("v") < F.col("low"))).select("run_id", "i", "v")
+    if divided and largest_group(records, ["run_id"]) > segment_rows:
+        ends = last_improvement(records, patience, min_delta, segment_rows)
+        folded = ends.withColumn("stop", F.lit(0))
+    else:
+        folded = _fold_records(records, patience, min_delta)
     runs = ranked.groupBy(F.col("run_id").alias("__run")).agg(F.max("i").alias("n"))
     folded = folded.join(runs, F.col("run_id").eqNullSafe(F.col("__run")))
     stop = F.when(F.col("stop") > 0, F.col("stop")).when(
@@ -173,8 +184,9 @@ def early_stopping(
         (F.coalesce(stop, F.col("n")) - F.col("at")).alias("bad_epochs"),
         stop.alias("stop_at"),
     )
-    epochs = ranked.select("run_id", F.col("i").alias("stop_at"), F.col("epoch").alias("stop_epoch"))
-    return placed.join(epochs, ["run_id", "stop_at"], "left").select(
+    epochs = ranked.select(F.col("run_id").alias("__run"), F.col("i").alias("__i"), F.col("epoch").alias("stop_epoch"))
+    reached = F.col("run_id").eqNullSafe(F.col("__run")) & (F.col("stop_at") == F.col("__i"))
+    return placed.join(epochs, reached, "left").select(
         "run_id", "best_score", "bad_epochs", "stop_epoch", F.col("stop_at").isNotNull().alias("stopped")
     )
 
@@ -230,15 +242,16 @@ def _ranked_epochs(seen: DataFrame, divided: bool, segment_rows: int) -> DataFra
     totals = pieces.groupBy("run_id", "__segment").agg(F.count("*").alias("rows"), F.min("v").alias("lowest"))
     before = Window.partitionBy("run_id").orderBy("__segment").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
-        "run_id",
-        "__segment",
+        F.col("run_id").alias("__run"),
+        F.col("__segment").alias("__at"),
         F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("passed"),
         F.min("lowest").over(before).alias("floor"),
     )
     order = Window.partitionBy("run_id", "__segment").orderBy("__pos")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    same = (F.col("__segment") == F.col("__at")) & F.col("run_id").eqNullSafe(F.col("__run"))
     return (
-        pieces.join(carried, ["run_id", "__segment"])
+        pieces.join(carried, same)
         .withColumns({"i": F.row_number().over(order) + F.col("passed"), "low": F.least(F.min("v").over(earlier), "floor")})
         .select("run_id", "epoch", "v", F.col("i").cast("int").alias("i"), "low")
     )

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from rowloom.operators import tables
 from rowloom.operators.row_features import parse_date_columns
 from rowloom.plans.catalog.registry import query, rounded, scan
-from rowloom.session import scratch_path
-from rowloom.sources import documents, files, sinks, sql
+from rowloom.session import scratch_path, written
+from rowloom.sources import documents, files, ledger, sinks, sql
 
 
 def as_feather(df: DataFrame, path: str) -> int:
@@ -235,22 +235,38 @@ def history_csv_sink(spark, folder):
     return files.load_table(spark, path, schema="user_id bigint, epoch int, value double")
 
 
-@query(
-    "run_metrics_log",
+RUN_LOG = (
     "select 'run-' || user_id as run_id, day::integer as step, metric, round(value, 6) as value from ("
     "select user_id, day(ts) as day, 'loss' as metric, avg(value) as value from events group by all union all "
-    "select user_id, day(ts) as day, 'samples' as metric, count(*)::double as value from events group by all)",
+    "select user_id, day(ts) as day, 'samples' as metric, count(*)::double as value from events group by all)"
 )
-def run_metrics_log(spark, folder):
-    path = scratch_path(spark, "run-log")
+
+
+def daily_metrics(spark, folder):
     daily = scan(spark, folder, "events").groupBy(
         F.concat(F.lit("run-"), "user_id").alias("run_id"), F.dayofmonth("ts").alias("step")
     )
     measured = daily.agg(F.avg("value").alias("loss"), F.count("*").cast("double").alias("samples"))
-    sinks.log_history(measured.unpivot(["run_id", "step"], ["loss", "samples"], "metric", "value"), path)
+    return measured.unpivot(["run_id", "step"], ["loss", "samples"], "metric", "value")
+
+
+@query("run_metrics_log", RUN_LOG)
+def run_metrics_log(spark, folder):
+    path = scratch_path(spark, "run-log")
+    sinks.log_history(daily_metrics(spark, folder), path)
     return rounded(spark.read.parquet(path))
 
 
+@query("run_log_compacted", RUN_LOG)
+def run_log_compacted(spark, folder):
+    """Logged in eight commits, with a compaction at every third small part."""
+    path = scratch_path(spark, "run-ledger")
+    measured = written(daily_metrics(spark, folder), "daily-metrics")
+    for eighth in range(8):
+        sinks.log_committed(measured.where(F.col("step") % 8 == eighth), path, ["run_id", "metric", "step"], 3)
+    return rounded(ledger.read(spark, path))
+
+
 @query(
     "detected_roles",
     "select * from (values ('numeric', 'event_id'), ('numeric', 'user_id'), ('numeric', 'value'), "

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from rowloom.operators.preprocess import fit_preprocessor
@@ -11,6 +12,7 @@ from rowloom.plans.catalog.preprocessing import category_sql
 from rowloom.plans.catalog.registry import query, rounded, scan
 from rowloom.plans.catalog.row_queries import CALENDAR_SQL
 from rowloom.session import scratch_path
+from rowloom.sources import ledger
 from rowloom.sources.sql import write_rows
 from rowloom.streaming import features as streaming
 
@@ -64,3 +66,26 @@ def chunked_ingestion(spark, folder):
     keep = lambda chunk, batch: write_rows(chunk, f"{target}/batch={batch}", mode="overwrite")
     streaming.each_chunk(stream, keep, scratch_path(spark, "ingest-progress")).awaitTermination()
     return rounded(spark.read.parquet(target).agg(F.count("*").alias("n_rows"), F.sum("o_totalprice").alias("total")), 2)
+
+
+@query("ingestion_replayed", "select o_orderkey, o_orderstatus, o_totalprice from orders")
+def ingestion_replayed(spark, folder):
+    """The second batch dies when its files are written; the stream is started again, then all is sent twice."""
+    pieces, path, progress = (scratch_path(spark, label) for label in ("order-pieces", "order-ledger", "ledger-progress"))
+    scan(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice").repartition(4).write.parquet(pieces)
+    stream = lambda: streaming.read_stream(spark, pieces, spark.read.parquet(pieces).schema, files_per_trigger=1)
+
+    def dies(chunk, batch):
+        if batch == 1:
+            chunk.limit(10).write.parquet(f"{path}/data/half-written")
+            raise RuntimeError("killed half-way")
+        ledger.append(chunk, path, "orders", batch)
+
+    try:
+        streaming.each_chunk(stream(), dies, progress).awaitTermination()
+    except StreamingQueryException:
+        streaming.ingest(stream(), path, progress, "orders").awaitTermination()
+    again = scratch_path(spark, "ledger-progress")  # a lost checkpoint: batches 0 to 3 come once more
+    streaming.ingest(stream(), path, again, "orders").awaitTermination()
+    ledger.compact(spark, path, ["o_orderkey"])
+    return ledger.read(spark, path)

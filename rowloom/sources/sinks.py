@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 from rowloom.session import small_table
+from rowloom.sources import ledger
 
 _PARAMS = "run_id string, key string, value string"
 _METRICS = "run_id string, step int, metric string, value double"
 
 
+#: Commits after which a run log is compacted.
+COMPACT_AFTER = 100
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header, one file per partition."""
     df.write.mode(mode).option("header", True).csv(path)
@@ -72,3 +77,31 @@ def log_steps(spark: SparkSession, path: str, run_id: str, steps: Mapping[int, M
 def log_history(history: DataFrame, path: str) -> None:
     """Append a whole long history ``(run_id, step, metric, value)`` computed by Spark."""
     history.select("run_id", "step", "metric", "value").write.mode("append").parquet(path)
+
+
+def log_committed(rows: DataFrame, path: str, order: Sequence[str], compact_after: int = COMPACT_AFTER) -> None:
+    """Append rows to a run log that is a ledger, and merge its small parts from ``compact_after`` on.
+
+    However many calls are made, fewer than ``compact_after`` small parts are left, each as many files
+    as its frame had partitions.  Read the log with :func:`rowloom.sources.ledger.read`; files of merged
+    parts go with :func:`rowloom.sources.ledger.vacuum`.
+    """
+    spark = rows.sparkSession
+    ledger.append(rows, path)
+    if sum(p["rows"] < ledger.FULL_ROWS for p in ledger.listing(spark, path).parts) >= compact_after:
+        ledger.compact(spark, path, order)
+
+
+def commit_metrics(
+    spark: SparkSession,
+    path: str,
+    run_id: str,
+    metrics: Mapping[str, float],
+    step: int | None = None,
+    compact_after: int = COMPACT_AFTER,
+) -> None:
+    """As :func:`log_metrics`, into a run log that stays compact."""
+    if metrics:
+        rows = [(run_id, step, name, float(value)) for name, value in metrics.items()]
+        table = small_table(spark, rows, _METRICS).coalesce(1)
+        log_committed(table, path, ["run_id", "metric", "step"], compact_after)

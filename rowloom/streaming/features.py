@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rowloom.operators.preprocess import Preprocessor
 from rowloom.operators.row_features import RowFeatures, build_row_features
+from rowloom.sources import ledger
 
 
 def read_stream(
@@ -53,3 +54,13 @@ def each_chunk(stream: DataFrame, handle: Callable[[DataFrame, int], None], chec
     """Hand over one bounded chunk at a time, as a DataFrame that stays distributed."""
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
+
+
+def ingest(stream: DataFrame, path: str, checkpoint: str, name: str = "ingest") -> StreamingQuery:
+    """Commit every chunk to the ledger at ``path``, once: see :mod:`rowloom.sources.ledger`.
+
+    A batch that dies before its commit leaves nothing to be read, and one that is replayed
+    after its commit is left out.  ``name`` tells the streams into one ledger apart and belongs
+    to ``checkpoint``: with a new checkpoint, whose batches count from 0 again, give a new name.
+    """
+    return each_chunk(stream, lambda chunk, batch: ledger.append(chunk, path, name, batch), checkpoint)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rowloom.errors import ModelError, TrainingError
 from rowloom.functions import metrics
-from rowloom.operators import evaluate, models
+from rowloom.operators import evaluate, models, stopping
 
 
 def runs(spark, values, metric="val_loss"):
@@ -194,6 +194,48 @@ def test_early_stopping_gathers_no_run(spark):
     assert rows == {"r": (-19999.0, 0, None, False), "nulls": (None, 2, None, False), None: (1.0, 0, None, False)}
 
 
+def replay(values, patience, min_delta):
+    """best score, bad epochs and stop epoch of one run, epoch by epoch."""
+    best, bad = values[0], 0
+    for epoch, v in enumerate(values[1:], 1):
+        best, bad = (v, 0) if best - v > min_delta else (best, bad + 1)
+        if bad >= patience:
+            return best, bad, epoch
+    return best, bad, None
+
+
+@pytest.mark.parametrize("patience, min_delta", [(3, 0.0), (7, 0.1), (40, 1.0), (400, 3.0), (5, math.inf)])
+def test_long_runs_follow_pointers(spark, patience, min_delta):
+    """Runs of many records, cut into segments of 50 places: as the replay says."""
+    draw = np.random.default_rng(11)
+    fall = lambda n, noise: (np.linspace(30, 0, n) + noise * draw.normal(size=n)).tolist()
+    values = {"smooth": fall(900, 0.0), "noisy": fall(700, 0.05), "wild": fall(600, 2.0), "one": [4.0], "flat": [2.0] * 90}
+    values["tenths"] = [100 - k / 10 for k in range(800)]
+    values["ends"] = [math.inf, 5.0, 4.0, -math.inf, -math.inf, 3.0]
+    values[None] = [math.nan, *fall(80, 0.0)]
+    rows = [(k, i, "val_loss", v) for k, vs in values.items() for i, v in enumerate(vs)]
+    history = spark.createDataFrame(rows, "run_id string, epoch int, metric string, value double")
+    made = evaluate.early_stopping(history, "val_loss", "min", patience, min_delta, strategy="segments", segment_rows=50)
+    assert made.count() == len(values)
+    for r in made.collect():
+        best, bad, stop = replay(values[r["run_id"]], patience, min_delta)
+        assert r["best_score"] == pytest.approx(best, nan_ok=True, rel=0, abs=0), r
+        assert (r["bad_epochs"], r["stopped"]) == (bad, stop is not None), r
+        assert r["stop_epoch"] == stop
+
+
+def test_improving_bound_is_exact():
+    draw = np.random.default_rng(5)
+    best = np.concatenate([draw.normal(size=500) * 10.0 ** draw.integers(-300, 300, 500), [0.0, -0.0, 5e-324, math.inf, -math.inf, math.nan]])
+    for delta in (0.0, 1e-300, 0.1, 1e10):
+        bound = stopping.improving_bound(best, delta)
+        for b, x in zip(best.tolist(), bound.tolist()):
+            if math.isnan(x):
+                assert not b - -math.inf > delta
+            else:
+                assert b - x > delta and not b - math.nextafter(x, math.inf) > delta
+
+
 def test_held_out_classes_are_counted(spark, tmp_path):
     import collections
 
