@@ -52,23 +52,6 @@ def _beside(a: Column, b: Column, shift: int, join) -> Column:
     return F.zip_with(a, F.slice(b, shift + 1, F.greatest(F.size(b) - shift, F.lit(0))), join)
 
 
-def _runs(hashes: Column, length: int) -> Column:
-    """Hashes of runs of ``length`` neighbours; at the end come some shorter ones.
-
-    Two runs of k, k apart, make a run of 2k: a few steps over arrays of numbers.
-    """
-    join = lambda x, y: F.xxhash64(x, y)
-    runs, have = {1: hashes}, 1
-    while 2 * have <= length:
-        runs[2 * have] = _beside(runs[have], runs[have], have, join)
-        have *= 2
-    out, done = runs[have], have
-    for size in sorted(runs, reverse=True)[1:]:
-        if length - done >= size:
-            out, done = _beside(out, runs[size], done, join), done + size
-    return out
-
-
 def _slot(h: Column) -> Column:
     return h.bitwiseAND(SLOTS - 1).cast("int")
 
@@ -83,34 +66,56 @@ def slot_counts(lines: DataFrame) -> list[int]:
 
 
 def _rarity_class(count: float) -> int:
-    return min(126, math.floor(3 * math.log2(1 + count))) << _HASH_BITS
+    return min(126, math.floor(3 * math.log2(1 + count)))
 
 
 def rarity_table(counts: list[int]) -> Column:
-    """Array literal: per slot the rarity class, in the top bits of a token."""
-    return F.split(F.lit(",".join(str(_rarity_class(c)) for c in counts)), ",").cast("array<bigint>")
+    """Array literal: per slot the rarity class, which goes into the top bits of a token."""
+    return F.split(F.lit(",".join(str(_rarity_class(c)) for c in counts)), ",").cast("array<tinyint>")
 
 
-def token_set(words: Column, table: Column, width: int) -> Column:
-    """Distinct tokens of a line, rarest first: the class of the last word, then the hash of the shingle."""
-    low = lambda h: F.shiftrightunsigned(h, 64 - _HASH_BITS)
-    marked = F.transform(
-        F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.get(table, _slot(h)).bitwiseOR(low(h))
-    )
-    classes = 127 << _HASH_BITS
-    if width == 1:
-        several = marked
-    else:
-        several = _beside(
-            _runs(marked, width - 1), marked, width - 1, lambda x, y: y.bitwiseAND(classes).bitwiseOR(low(F.xxhash64(x, y)))
+def _low(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 64 - _HASH_BITS)
+
+
+def with_tokens(rows: DataFrame, table: Column, width: int) -> DataFrame:
+    """``line`` replaced by ``tokens``: its distinct tokens, rarest first.
+
+    A token is the class of a shingle's last word, then the shingle's hash.  Functions over
+    arrays share no work within one expression, so each step is a column that the next ones
+    read: words are hashed once, and the table is once in the plan.
+    """
+    count, words = F.size("words"), F.col("words")
+    rows = rows.withColumn("words", line_words(F.col("line"))).drop("line")
+    classed = lambda h, hashed: F.shiftleft(F.get(table, _slot(h)).cast("bigint"), _HASH_BITS).bitwiseOR(_low(hashed))
+    # The last word of a line that is shorter than a shingle stands for the whole of it.
+    whole = F.when((count > 0) & (count < width), F.xxhash64(count, F.array_join(words, " ")))
+    rows = rows.withColumns({"hashes": F.transform(words, lambda w: F.xxhash64(w)), "whole": whole}).drop("words")
+    hashes = F.when(F.col("whole").isNull(), F.col("hashes")).otherwise(F.slice("hashes", -1, 1))
+    rows = rows.withColumn("hashes", hashes)
+    rows = rows.withColumn("marked", F.transform("hashes", lambda h: classed(h, F.coalesce(F.col("whole"), h))))
+    rows, have, runs = rows.drop("hashes"), 1, {1: "marked"}
+    join = lambda x, y: F.xxhash64(x, y)
+    while 2 * have <= width - 1:  # two runs of k, k apart, make a run of 2k
+        rows = rows.withColumn(f"run{2 * have}", _beside(F.col(runs[have]), F.col(runs[have]), have, join))
+        have *= 2
+        runs[have] = f"run{have}"
+    longest, done = runs[have], have
+    for size in sorted(runs, reverse=True)[1:]:
+        if width - 1 - done >= size:
+            rows = rows.withColumn("longest", _beside(F.col(longest), F.col(runs[size]), done, join))
+            longest, done = "longest", done + size
+    if width > 1:
+        top = lambda y: F.shiftleft(F.shiftrightunsigned(y, _HASH_BITS), _HASH_BITS)
+        full = F.greatest(F.size("marked") - (width - 1), F.lit(0))
+        ends = _beside(
+            F.slice(longest, 1, full), F.col("marked"), width - 1, lambda x, y: top(y).bitwiseOR(_low(F.xxhash64(x, y)))
         )
-        several = F.slice(several, 1, F.greatest(F.size(words) - (width - 1), F.lit(0)))
-    short = F.transform(
-        F.slice(words, -1, 1), lambda w: F.get(table, _slot(F.xxhash64(w))).bitwiseOR(low(F.xxhash64(F.size(words), F.array_join(words, " "))))
-    )
-    none = F.array().cast("array<bigint>")
-    tokens = F.when(F.size(words) >= width, several).when(F.size(words) > 0, short).otherwise(none)
-    return F.array_sort(F.array_distinct(tokens))
+        tokens = F.when(F.col("whole").isNull(), ends).otherwise(F.col("marked"))
+    else:
+        tokens = F.col("marked")
+    rows = rows.withColumn("tokens", F.sort_array(F.array_distinct(tokens)))
+    return rows.drop("marked", "whole", "longest", *[f"run{k}" for k in runs])
 
 
 def prefix_length(n: Column, percent: int) -> Column:
@@ -136,8 +141,7 @@ _CLASS = ["n", "h", "h2"]
 
 
 def _digested(lines: DataFrame, table: Column, width: int) -> DataFrame:
-    rows = lines.withColumn("words", line_words(F.col("line")))
-    rows = rows.withColumn("tokens", token_set(F.col("words"), table, width)).drop("words")
+    rows = with_tokens(lines, table, width)
     return rows.withColumns({"n": F.size("tokens"), "h": F.xxhash64("tokens"), "h2": F.xxhash64(F.lit(7), "tokens")})
 
 
@@ -156,10 +160,10 @@ def mark_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     """Written row, doc_id, key, at, removed: one row per line."""
     counts = slot_counts(text_lines(df, doc_id, text))
     table = rarity_table(counts)
-    hot_class = _rarity_class(4 * sum(counts) / SLOTS + 4096)
-    lines = _digested(text_lines(df, doc_id, text), table, width)
+    hot_class = _rarity_class(4 * sum(counts) / SLOTS + 4096) << _HASH_BITS
+    lines = _digested(text_lines(df, doc_id, text).withColumn("lk", F.xxhash64("line")), table, width)
     lines = lines.withColumn("prefix", F.slice("tokens", 1, F.greatest(prefix_length(F.col("n"), percent), F.lit(0))))
-    lines = written(lines.select("row", "doc_id", "key", "at", F.xxhash64("line").alias("lk"), *_CLASS, "prefix"), "lines")
+    lines = written(lines.select("row", "doc_id", "key", "at", "lk", *_CLASS, "prefix"), "lines")
 
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "at", "lk")
     classes = written(lines.where("n > 0").groupBy(*_CLASS).agg(F.min(first).alias("first")), "line-classes")
