@@ -156,6 +156,11 @@ def _fits(percent: int) -> Column:
     return (100 * least >= percent * most) & _enough(reach, F.col("n"), F.col("n0"), percent)
 
 
+def free_shuffles(df: DataFrame) -> None:
+    """Have Spark drop the shuffle files of steps that are written; it does so when the driver collects garbage."""
+    df.sparkSession._jvm.System.gc()
+
+
 def mark_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Written row, doc_id, key, at, removed: one row per line."""
     counts = slot_counts(text_lines(df, doc_id, text))
@@ -178,13 +183,16 @@ def mark_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     shared = with_copies.join(enough.drop("shared"), ["n", "h"], "left_semi").join(classes, ["n", "h"])
     band = F.floor(F.log("n") / math.log(1 / (percent / 100 - 0.01))).cast("int")
     shared = written(shared.withColumn("band", band), "line-postings")
-    forget(with_copies, shuffles=True)
+    # From here on lines are only told which go: the wide table is read no more.
+    slim = written(lines.drop("prefix", "lk"), "line-places")
+    forget(with_copies, lines, shuffles=True)
 
     wanted = shared.select(*_CLASS, F.col("first.lk").alias("lk")).distinct()
     again = text_lines(df, doc_id, text).select("line", F.xxhash64("line").alias("lk"))
     found = again.join(wanted.select("lk").distinct().hint("shuffle_hash"), "lk", "left_semi").dropDuplicates(["lk", "line"])
     sets = _digested(found, table, width).join(wanted, [*_CLASS, "lk"], "left_semi")
     sets = written(sets.select(*_CLASS, "tokens").dropDuplicates(_CLASS), "line-sets")
+    free_shuffles(sets)
 
     def matched(pairs: DataFrame) -> DataFrame:
         """The classes of candidate pairs that an earlier class is similar to."""
@@ -204,13 +212,14 @@ def mark_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     leaders = shared.groupBy("token", "band").agg(F.min(leader).alias("p")).select("token", "band", "p.*").select("token", "band", *zero)
     gone = written(matched(candidates(shared, leaders)), "line-gone")
     left = written(shared.join(gone, _CLASS, "left_anti"), "line-left")
+    free_shuffles(left)
     gone = gone.union(matched(candidates(left, shared.select("token", "band", *zero))))
     gone = written(gone.distinct().withColumn("gone", F.lit(True)), "line-gone")
     forget(shared, left, sets, shuffles=True)
 
     verdict = written(classes.join(gone, _CLASS, "left").select(*_CLASS, "first.row", "first.at", "gone"), "line-verdicts")
     verdict = verdict.withColumnsRenamed({"row": "row0", "at": "at0"})
-    marked = lines.drop("prefix", "lk").join(verdict, _CLASS, "left")
+    marked = slim.join(verdict, _CLASS, "left")
     removed = F.col("row0").isNotNull() & ((F.col("row") != F.col("row0")) | (F.col("at") != F.col("at0")) | F.col("gone").isNotNull())
     return written(marked.select("row", "doc_id", "key", "at", removed.alias("removed")), "line-marks")
 
