@@ -7,8 +7,8 @@ until no pair is a piece.  Characters outside the vocabulary become byte pieces.
 A merge can only happen inside a piece, so a text falls apart, before any merge, at
 every spot that no piece spans: before the white-space mark, and around characters that
 occur in no longer piece.  Those spots are read off the vocabulary, not assumed.  Each
-distinct part is encoded once per task and kept in a bounded table; the sentencepiece
-library encodes the same new parts in one call per portion of rows and decodes their ids,
+distinct part is encoded once and kept in a table that the tasks of a Python worker share,
+bounded by its size in memory; the sentencepiece library encodes the same new parts in one call per portion of rows and decodes their ids,
 joined, in another, and a difference is an error (a lone mark is only decoded).  So the
 check is per distinct part; whole texts are compared in the tests.  The work is a projection of Arrow batches: no shuffle, memory is one batch, the
 longest text and the bounded table.  A lost executor costs its own tasks.
@@ -36,8 +36,9 @@ from rowloom.llm.common import text_of
 
 MARK = "▁"
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
-#: Parts kept per task before the table starts anew.
-MAX_KEPT = 500_000
+#: Bytes, as estimated, that a worker's table of parts may take before it starts anew.
+MAX_KEPT = 150_000_000
+_ENTRY = 450  # of a part, beside its characters
 _SHORT = 40  # symbols up to which the agenda is a plain list
 _NEVER = float("-inf")
 
@@ -191,27 +192,34 @@ class CheckedParts:
     """Ids (as text) and surface of each distinct part, compared with the library."""
 
     def __init__(self, path: str, check: bool = True):
-        with open(path, "rb") as f:
-            model = f.read()
+        model = _read(path)
         self.vocabulary = MergeVocabulary(model)
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model) if check else None
         self.ids: dict[str, str] = {}
         self.surfaces: dict[str, str] = {}
         self.pieces: dict[str, list[int]] = {}
+        self.size = 0
         self.head = self.library.encode("\n") if check else []
 
     def learn(self, parts: set[str]) -> None:
         """Encode what is new among ``parts``; all of them are known afterwards."""
         new = [p for p in parts if p not in self.ids]
-        if len(self.ids) + len(new) > MAX_KEPT:
-            self.ids, self.surfaces, self.pieces, new = {}, {}, {}, list(parts)
+        if self.size > MAX_KEPT:
+            self.ids, self.surfaces, self.pieces, self.size, new = {}, {}, {}, 0, list(parts)
+        # Ids as text take up to about six bytes, in lists eight, a character of the part and its surface up to four each.
+        self.size += sum(_ENTRY + 14 * len(p) for p in new)
         found = []
         for p in new:
+            bits = self.vocabulary.apart(p)
+            if len(bits) == 1:
+                found.append(self.vocabulary.encode_part(p))
+                continue
             ids: list[int] = []
-            for bit in self.vocabulary.apart(p):
+            for bit in bits:
                 known = self.pieces.get(bit)
                 if known is None:
                     known = self.pieces[bit] = self.vocabulary.encode_part(bit)
+                    self.size += _ENTRY + 12 * len(bit)
                 ids += known
             found.append(ids)
         if self.library is not None and new:
@@ -248,6 +256,23 @@ class CheckedParts:
             yield ",".join(map(self.ids.__getitem__, parts)), _unprefixed("".join(map(self.surfaces.__getitem__, parts)))
 
 
+def _read(path: str) -> bytes:
+    with open(path, "rb") as f:
+        return f.read()
+
+
+_SHARED: dict[bytes, CheckedParts] = {}
+
+
+def shared_parts(path: str) -> CheckedParts:
+    """The table of this Python worker; another model replaces it."""
+    key = hashlib.sha256(_read(path)).digest()
+    if key not in _SHARED:
+        _SHARED.clear()
+        _SHARED[key] = CheckedParts(path)
+    return _SHARED[key]
+
+
 def _portions(batch: pa.RecordBatch, rows: int = 256, characters: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with few rows and, unless one row alone has more, few characters."""
     sizes, start, held = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist(), 0, 0
@@ -271,7 +296,9 @@ def encode_documents(df: DataFrame, model: str, doc_id: str = "doc_id", text: st
         schema += f", `{c}` {source.schema[c].dataType.simpleString()}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = CheckedParts(model)
+        from rowloom.llm.pieces import shared_parts  # of the worker's module, which outlives the task
+
+        parts = shared_parts(model)
         for batch in batches:
             for piece in _portions(batch):
                 n, sha, back, ids, decoded = [], [], [], [], []
