@@ -4,7 +4,11 @@
 repetition) as built-in expressions, and ``compile_rules`` turns rows of the table
 ``(name, numerator, denominator, low, high)`` into one boolean per rule.  A rule holds
 when low <= 1000 * numerator / denominator <= high, compared as whole numbers, so no
-rounding is involved.  Everything is one scan with projections: no shuffle, no user
+rounding is involved.  Stop words and word lengths tell something of languages they were
+chosen for only: rules marked ``listed`` abstain (hold) where over ``FOREIGN`` thousandths of
+the characters in words are letters outside the alphabets of the stop-word lists, such as
+Polish, Russian or Chinese text.  Lists, alphabets and rules are parameters; a language in
+plain letters without a list (Dutch, say) needs one.  Everything is one scan with projections: no shuffle, no user
 function, nothing kept between rows.
 
 Defined cases: a null or empty text has zero words and fails by length; texts of any
@@ -24,7 +28,8 @@ from rowloom.llm.common import text_of, words_of
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
 MIN_WORDS = 10
-SPARED = 30
+#: Thousandths of foreign letters beyond which rules marked ``listed`` abstain.
+FOREIGN = 20
 
 #: Frequent function words of English, French, German and Spanish.
 STOP_WORDS = (
@@ -34,30 +39,50 @@ STOP_WORDS = (
     "el los las del y se por con para una su al lo como es no"
 ).split()
 
+#: Letters of those languages, both cases.
+ALPHABET = "abcdefghijklmnopqrstuvwxyzàâäæáçéèêëíîïñóôöœßùûüúÿABCDEFGHIJKLMNOPQRSTUVWXYZÀÂÄÆÁÇÉÈÊËÍÎÏÑÓÔÖŒẞÙÛÜÚŸ"
+
 
 class Rule(NamedTuple):
-    """low <= 1000 * numerator / denominator <= high; None leaves a side open."""
+    """low <= 1000 * numerator / (denominator - spare) <= high; None leaves a side open.
+
+    The first ``spare`` units of the denominator ask for nothing, so a low share grows steadily
+    from there on.  A ``listed`` rule abstains outside the alphabets of the stop-word lists.
+    """
 
     name: str
     numerator: str
     denominator: str
     low: int | None = None
     high: int | None = None
+    spare: int = 0
+    listed: bool = False
 
 
 #: The production table, in thousandths.
 RULES = (
-    Rule("word_length", "word_chars", "n_words", 2000, 12000),
+    Rule("word_length", "word_chars", "n_words", 2000, 12000, listed=True),
     Rule("symbols", "n_symbols", "n_words", None, 100),
-    # Short texts may do without: the first SPARED words ask for none.
-    Rule("stop_words", "n_stop_words", "n_words_long", 60, None),
+    # Clean headings and lists of one or two lines often have no stop word at all: 30 words ask for none.
+    Rule("stop_words", "n_stop_words", "n_words", 60, None, spare=30, listed=True),
     Rule("repeated_lines", "n_dup_lines", "n_lines", None, 300),
     Rule("shouted_words", "n_shouted", "n_words", None, 300),
 )
 
 
-def measures(df: DataFrame, keep: Sequence[str | Column] = (), text: str = "text") -> DataFrame:
-    """``keep`` plus the counts of every text."""
+def foreign_letters(alphabet: str = ALPHABET) -> str:
+    """Pattern of a letter outside an alphabet."""
+    return rf"[^\P{{L}}{alphabet}]"
+
+
+def measures(
+    df: DataFrame,
+    keep: Sequence[str | Column] = (),
+    text: str = "text",
+    stop_words: Sequence[str] = STOP_WORDS,
+    alphabet: str = ALPHABET,
+) -> DataFrame:
+    """``keep`` plus the counts of every text; stop words in lower case, and the letters they are written in."""
     own = "__q_"
     rows = df.select(*keep, text_of(text).alias(own + "text"))
     rows = rows.select(
@@ -93,14 +118,13 @@ def measures(df: DataFrame, keep: Sequence[str | Column] = (), text: str = "text
         F.lit(0),
         lambda total, x: total + x,
     )
-    stop = F.filter(words, lambda w: F.lower(w).isin(STOP_WORDS))
+    stop = F.filter(words, lambda w: F.lower(w).isin(list(stop_words)))
     shouted = F.filter(words, lambda w: w.endswith("!!"))
     as_long = lambda c, name: c.cast("long").alias(name)
     kept = rows.columns[: len(keep)]
     return rows.select(
         *[F.col(f"`{c}`") for c in kept],
         as_long(F.size(words), "n_words"),
-        as_long(F.greatest(F.size(words) - SPARED, F.lit(0)), "n_words_long"),
         as_long(F.length(F.array_join(words, "")), "word_chars"),
         as_long(
             F.length(own + "text") - F.length(F.regexp_replace(own + "text", SYMBOLS, "")), "n_symbols"
@@ -110,6 +134,7 @@ def measures(df: DataFrame, keep: Sequence[str | Column] = (), text: str = "text
         as_long(F.coalesce(covered, F.lit(0)), "n_repeat_words"),
         as_long(F.size(stop), "n_stop_words"),
         as_long(F.size(shouted), "n_shouted"),
+        as_long(F.length(own + "text") - F.length(F.regexp_replace(own + "text", foreign_letters(alphabet), "")), "n_foreign"),
     )
 
 
@@ -123,11 +148,15 @@ def compile_rules(rules: Sequence[Rule] = RULES) -> dict[str, Column]:
     out = {}
     for rule in rules:
         part, whole = 1000 * F.col(rule.numerator), F.col(rule.denominator)
+        if rule.spare:
+            whole = F.greatest(whole - rule.spare, F.lit(0))
         passed = F.lit(True)
         if rule.low is not None:
             passed &= part >= rule.low * whole
         if rule.high is not None:
             passed &= part <= rule.high * whole
+        if rule.listed:
+            passed |= 1000 * F.col("n_foreign") > FOREIGN * F.col("word_chars")
         out[rule.name] = passed
     return out
 
@@ -144,13 +173,19 @@ def judge(measured: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     )
 
 
-def keep_good(df: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
+def keep_good(
+    df: DataFrame,
+    rules: Sequence[Rule] = RULES,
+    text: str = "text",
+    stop_words: Sequence[str] = STOP_WORDS,
+    alphabet: str = ALPHABET,
+) -> DataFrame:
     """The rows of ``df`` that pass, with their own columns only.
 
     The columns travel as one struct, so names of the counts cannot clash with them.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__q_row")
-    judged = judge(measures(df, [row], text), rules)
+    judged = judge(measures(df, [row], text, stop_words, alphabet), rules)
     # A plain filter on ``kept`` would be pushed down with all counts written out in it, again and again.
     kept = judged.select(F.explode_outer(F.when(F.col("kept"), F.array("__q_row"))).alias("__q_row"))
     return kept.where("__q_row is not null").select(*[F.col("__q_row")[c].alias(c) for c in df.columns])

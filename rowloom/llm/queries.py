@@ -45,13 +45,17 @@ def chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality.STOP_WORDS))
-_CHECKS = " and ".join(
-    "(" + " and ".join(
-        [f"1000 * {r.numerator} >= {r.low} * {r.denominator}"] * (r.low is not None)
-        + [f"1000 * {r.numerator} <= {r.high} * {r.denominator}"] * (r.high is not None)
-    ) + ")"
-    for r in quality.RULES
-)
+
+
+def _quality_check(rule: quality.Rule) -> str:
+    whole = f"greatest({rule.denominator} - {rule.spare}, 0)"
+    sides = [f"1000 * {rule.numerator} >= {rule.low} * {whole}"] * (rule.low is not None)
+    sides += [f"1000 * {rule.numerator} <= {rule.high} * {whole}"] * (rule.high is not None)
+    abstains = f" or 1000 * n_foreign > {quality.FOREIGN} * word_chars" if rule.listed else ""
+    return f"({' and '.join(sides)}{abstains})"
+
+
+_CHECKS = " and ".join(map(_quality_check, quality.RULES))
 
 
 @query(
@@ -72,11 +76,12 @@ _CHECKS = " and ".join(
         select r, bool_or(again) over (partition by r order by place rows between 4 preceding and current row) as hit from twice),
     repeated as (select r, count(*) filter (hit) as n from covered group by r),
     m as (
-        select doc_id, len(words) as n_words, greatest(len(words) - {quality.SPARED}, 0) as n_words_long, coalesce(length(array_to_string(words, '')), 0) as word_chars,
+        select doc_id, len(words) as n_words, coalesce(length(array_to_string(words, '')), 0) as word_chars,
             length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols, len(lines) as n_lines,
             len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(n, 0) as n_repeat_words,
             len(list_filter(words, lambda x: lower(x) in ({_STOP}))) as n_stop_words,
-            len(list_filter(words, lambda x: suffix(x, '!!'))) as n_shouted
+            len(list_filter(words, lambda x: suffix(x, '!!'))) as n_shouted,
+            length(t) - length(regexp_replace(t, '{quality.foreign_letters()}', '', 'g')) as n_foreign
         from d left join repeated using (r)),
     v as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from m)
     select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,

@@ -69,6 +69,28 @@ def test_quality_filter_keeps_columns(odd):
     assert quality.keep_good(odd.limit(0)).isEmpty()
 
 
+def test_quality_abstains_outside_its_languages(spark):
+    texts = {
+        "polish": "Wczoraj późnym wieczorem dzieci sąsiadów znalazły małego psa, który zgubił drogę. Zabrały zwierzę "
+        "prosto między jabłonie, dały świeżą wodę, ciepły koc. Rano właścicielka podziękowała wszystkim, piekąc ogromne "
+        "ciasto śliwkowe. Później wspólnie oglądali zdjęcia, śmiejąc się głośno przez całe popołudnie, aż zapadł zmrok, "
+        "ucichły rozmowy, zgasły światła.",
+        "chinese": "\n".join(f"第{c}章讲述了一个村庄在春天里如何修建水渠并且种植果树的故事" for c in "一二三四五六七八九十百千"),
+        "english": "The children of the house found a small dog that had lost its way and they took it to the garden where it "
+        "was given water and a warm blanket until the owner came and thanked them for all that they had done on that day.",
+        "noise": " ".join(f"qwj{a}{b} zxv{b}{a}" for a in "abcdef" for b in "ghijkl"),
+        "long": "w" * 30 + " " + " ".join("q" * (13 + i) for i in range(12)),
+    }
+    rows = quality.judge(quality.measures(spark.createDataFrame(list(texts.items()), "name string, text string"), ["name"])).collect()
+    got = {r.name: (r.kept, list(r.failed_rules)) for r in rows}
+    assert all(got[k][0] for k in ("polish", "chinese", "english")), got
+    assert got["noise"] == (False, ["stop_words"]) and got["long"] == (False, ["word_length"])
+    dutch = "kat"
+    text = [(" ".join(f"{dutch} woord{'abcdefghijklmnopqrstuvwxyz'[i]}" for i in range(26)),)]
+    judged = lambda **more: quality.judge(quality.measures(spark.createDataFrame(text, "text string"), **more)).first().kept
+    assert not judged() and judged(stop_words=[dutch])
+
+
 def brute_groups(rows):
     groups = collections.defaultdict(list)
     for i, t in rows:
