@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import itertools
+import operator
 import re
 from collections.abc import Iterator, Sequence
 
@@ -37,10 +38,10 @@ from rowloom.llm.common import text_of
 MARK = "▁"
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 #: Bytes, as estimated, that a worker's table of parts may take before it starts anew.
-MAX_KEPT = 150_000_000
-_ENTRY = 450  # of a part, beside its characters
+MAX_KEPT = 300_000_000
+_ENTRY = 300  # of a part, beside its characters
 _SHORT = 40  # symbols up to which the agenda is a plain list
-_NEVER = float("-inf")
+_NEVER = float("inf")
 
 
 class MergeVocabulary:
@@ -67,6 +68,7 @@ class MergeVocabulary:
                 self.unknown = i
                 self.text[i] = proto.trainer_spec.unk_surface
         self.unknown_surface = proto.trainer_spec.unk_surface
+        self.cost = {p: -score for p, score in self.score.items()}
         longer = [p for p in self.ids if len(p) > 1]
         #: Neighbours inside some piece; between all others nothing ever merges.
         self.pairs = {p[i : i + 2] for p in longer for i in range(len(p) - 1)}
@@ -78,6 +80,8 @@ class MergeVocabulary:
 
     def apart(self, part: str) -> list[str]:
         """A part cut wherever no piece holds both neighbours."""
+        if self.pairs.issuperset(map(operator.add, part, part[1:])):
+            return [part]
         cuts = [i for i in range(1, len(part)) if part[i - 1 : i + 1] not in self.pairs]
         return [part[a:b] for a, b in zip([0, *cuts], [*cuts, len(part)])] if cuts else [part]
 
@@ -88,6 +92,9 @@ class MergeVocabulary:
             self._merge_long(symbols)
         else:
             self._merge_short(symbols)
+        out = list(map(self.ids.get, symbols))
+        if None not in out:
+            return out
         out = []
         for s in symbols:
             if s in self.ids:
@@ -100,19 +107,19 @@ class MergeVocabulary:
 
     def _merge_short(self, symbols: list[str]) -> None:
         """The agenda as a list, one entry per neighbouring pair; its least entry is next."""
-        score = self.score.get
-        agenda = [-score(a + b, _NEVER) for a, b in zip(symbols, symbols[1:])]
+        cost = self.cost.get
+        agenda = [cost(a + b, _NEVER) for a, b in zip(symbols, symbols[1:])]
         while agenda:
             best = min(agenda)
-            if best == -_NEVER:
+            if best == _NEVER:
                 break
             i = agenda.index(best)
             symbols[i] += symbols.pop(i + 1)
             del agenda[i]
             if i:
-                agenda[i - 1] = -score(symbols[i - 1] + symbols[i], _NEVER)
+                agenda[i - 1] = cost(symbols[i - 1] + symbols[i], _NEVER)
             if i < len(agenda):
-                agenda[i] = -score(symbols[i] + symbols[i + 1], _NEVER)
+                agenda[i] = cost(symbols[i] + symbols[i + 1], _NEVER)
 
     def _merge_long(self, symbols: list[str]) -> None:
         """The agenda as a heap; outdated entries are passed over."""
@@ -148,6 +155,8 @@ class MergeVocabulary:
 
     def surface(self, ids: list[int]) -> str:
         """Text of some ids; bytes that form no character become replacement characters."""
+        if self.byte_of.keys().isdisjoint(ids):
+            return "".join([self.text.get(i, "") for i in ids])
         out, waiting = [], bytearray()
         for i in ids:
             if i in self.byte_of:
@@ -196,6 +205,7 @@ class CheckedParts:
         self.vocabulary = MergeVocabulary(model)
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model) if check else None
         self.ids: dict[str, str] = {}
+        #: Surfaces that are not the part itself with spaces for marks.
         self.surfaces: dict[str, str] = {}
         self.pieces: dict[str, list[int]] = {}
         self.size = 0
@@ -236,7 +246,8 @@ class CheckedParts:
             self._check_surfaces(new, found, surfaces)
         for part, own, surface in zip(new, found, surfaces):
             self.ids[part] = ",".join(map(str, own))
-            self.surfaces[part] = surface
+            if surface != part.replace(MARK, " "):
+                self.surfaces[part] = surface
 
     def _check_surfaces(self, parts: list[str], found: list[list[int]], surfaces: list[str]) -> None:
         """Behind a line feed no space is taken off, so all parts can be decoded as one text."""
@@ -253,7 +264,11 @@ class CheckedParts:
         split = [self.vocabulary.split(t) for t in texts]
         self.learn(set().union(*split))
         for parts in split:
-            yield ",".join(map(self.ids.__getitem__, parts)), _unprefixed("".join(map(self.surfaces.__getitem__, parts)))
+            if self.surfaces.keys().isdisjoint(parts):
+                whole = "".join(parts).replace(MARK, " ")
+            else:
+                whole = "".join([self.surfaces[p] if p in self.surfaces else p.replace(MARK, " ") for p in parts])
+            yield ",".join(map(self.ids.__getitem__, parts)), _unprefixed(whole)
 
 
 def _read(path: str) -> bytes:
