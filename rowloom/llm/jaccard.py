@@ -13,8 +13,10 @@ Nodes are the distinct shingle sets, named by (size, 64-bit digest); copies shar
    nearest bitmap is compared exactly.  What links becomes components, and the next round
    looks only at shingles whose sets lie in more than one component.
 5. Bands that are still open are cut into tiles of at most about ``TILE`` sets a side, and
-   sets of different components are compared tile by tile; a pair must meet in as many
-   tiles as it must share postings.
+   sets of different components are compared tile by tile.  A tile where more pairs pass
+   the bit count than it has rows gives a spanning forest of them, nearest first, so a tile
+   never gives more rows than it gets.  What links is merged; only tokens of such tiles are
+   looked at once more, for all pairs that still lie in different components.
 
 Comparing means: the bit count of the xor of two bitmaps bounds the overlap from above;
 pairs that pass get an exact intersection of sorted arrays.  Step 5 looks at every pair
@@ -51,6 +53,8 @@ BITS = 1024
 TILE = 256
 LEADERS = 4
 TURNS = 3
+_PAIRS = 100_000  # pairs that a task looks at in one go
+_PAIR_BYTES = 16_000_000
 _K1, _K2, _K3 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -338,8 +342,63 @@ def _sizes_fit(percent: int) -> Column:
     return 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
 
 
-def tile_pairs(open_: DataFrame, sets: DataFrame, percent: int, tile: int = TILE) -> DataFrame:
-    """Pairs of different components that share a token and pass the bit count."""
+def _forest(i: np.ndarray, j: np.ndarray, weight: np.ndarray, nodes: int) -> np.ndarray:
+    """Places of the pairs that make a spanning forest of least weight: fewer than there are nodes."""
+    label, taken, left = np.arange(nodes), [], np.lexsort((j, i, weight))
+    while len(left):
+        a, b = label[i[left]], label[j[left]]
+        left, a, b = left[a != b], a[a != b], b[a != b]
+        # The first pair, in one order for all, of each tree.
+        trees, first = np.unique(np.column_stack((a, b)).ravel(), return_index=True)
+        first //= 2
+        taken.append(left[np.unique(first)])
+        to = np.arange(nodes)
+        to[trees] = np.where(a[first] == trees, b[first], a[first])
+        # Two trees that chose the same pair point at each other: the smaller one is the root.
+        both = (to[to] == np.arange(nodes)) & (np.arange(nodes) < to)
+        to[both] = np.flatnonzero(both)
+        while not np.array_equal(to[to], to):
+            to = to[to]
+        label = to[label]
+    return np.concatenate(taken) if taken else left
+
+
+def _pairs_of_tiles(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of the same tile, many tiles at once, about ``_PAIRS`` pairs or one tile at a time."""
+    sizes = ends - starts
+    many = sizes >= 2
+    starts, ends, sizes = starts[many], ends[many], sizes[many]
+    part = np.cumsum(sizes * (sizes - 1) // 2) // _PAIRS
+    for k in np.unique(part):
+        at = part == k
+        before = np.cumsum(sizes[at]) - sizes[at]
+        rows = np.repeat(starts[at] - before, sizes[at]) + np.arange(sizes[at].sum())
+        later = np.repeat(ends[at], sizes[at]) - rows - 1
+        i = np.repeat(rows, later)
+        yield i, i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(later) - later, later)
+
+
+def _apart(bits: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Bit counts of the xor of pairs of cells, the wider one folded."""
+    size = np.fromiter(map(len, bits), np.int64, len(bits))
+    width, apart = np.minimum(size[i], size[j]), np.zeros(len(i), np.int64)
+    for w in np.unique(width):
+        at = np.flatnonzero(width == w)
+        used, place = np.unique(np.concatenate((i[at], j[at])), return_inverse=True)
+        cells, x, y = folded(bits[used], int(w)), place[: len(at)], place[len(at) :]
+        step = max(1, _PAIR_BYTES // int(w))
+        for lo in range(0, len(at), step):
+            apart[at[lo : lo + step]] = _distance(cells[x[lo : lo + step]], cells[y[lo : lo + step]])
+    return apart
+
+
+def tile_pairs(open_: DataFrame, sets: DataFrame, percent: int, tile: int = TILE, whole: bool = True) -> DataFrame:
+    """id, id2, token: pairs of different components that share a token and pass the bit count.
+
+    Unless ``whole``, a tile with more such pairs than rows gives those of a spanning
+    forest, nearest first, and a row with its token in place of the others: no tile gives
+    more rows than it gets.
+    """
     rows = open_
     cuts = rows.groupBy("token", "band").agg(F.ceil(F.count("*") / tile).cast("int").alias("cuts"))
     cuts = written(cuts, "tile-cuts")
@@ -375,24 +434,30 @@ def tile_pairs(open_: DataFrame, sets: DataFrame, percent: int, tile: int = TILE
     key = ["token", "b1", "s1", "b2", "s2"]
     ordered = rows.repartition(*key).sortWithinPartitions(*key)
 
-    def compare(t: dict[str, np.ndarray], lo: int, hi: int) -> list[np.ndarray]:
-        if hi - lo < 2 or (t["root"][lo:hi] == t["root"][lo]).all():
-            return []
-        cut = {k: v[lo:hi] for k, v in t.items()}
-        bits = folded(cut["bits"], min(map(len, cut["bits"])))
-        i, j = np.triu_indices(hi - lo, 1)
-        if cut["b1"][0] != cut["b2"][0] or cut["s1"][0] != cut["s2"][0]:
-            apart = cut["left"][i] != cut["left"][j]
-            i, j = i[apart], j[apart]
-        ok = cut["root"][i] != cut["root"][j]
-        i, j = i[ok], j[ok]
-        n, n2 = cut["n"][i], cut["n"][j]
-        ok = 100 * np.minimum(n, n2) >= percent * np.maximum(n, n2)
-        i, j = i[ok], j[ok]
-        apart = _distance(bits[i], bits[j])
-        keep = _bound_passes(cut["n"][i], cut["n"][j], apart, percent)
-        i, j = i[keep], j[keep]
-        return [np.array([cut["id"][i], cut["id"][j], np.minimum(cut["n"][i], cut["n"][j])])] if len(i) else []
+    def compare(t: dict[str, np.ndarray], starts: np.ndarray, ends: np.ndarray) -> Iterator[np.ndarray]:
+        """id, id2, token, is it a token's mark?"""
+        n, alone = t["n"], (t["b1"] == t["b2"]) & (t["s1"] == t["s2"])
+        for i, j in _pairs_of_tiles(starts, ends):
+            ok = (t["root"][i] != t["root"][j]) & (alone[i] | (t["left"][i] != t["left"][j]))
+            ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+            i, j = i[ok], j[ok]
+            apart = _apart(t["bits"], i, j)
+            ok = _bound_passes(n[i], n[j], apart, percent)
+            i, j, apart = i[ok], j[ok], apart[ok]
+            dense = np.empty(0, np.int64)
+            if not whole and len(i):
+                of = np.searchsorted(starts, i, "right") - 1
+                full = np.bincount(of, minlength=len(starts)) > ends - starts
+                dense, some = starts[full], np.flatnonzero(full[of])
+                if len(some):
+                    used, place = np.unique(np.concatenate((i[some], j[some])), return_inverse=True)
+                    x, y = place[: len(some)], place[len(some) :]
+                    keep = ~full[of]
+                    keep[some[_forest(x, y, apart[some] / (n[i[some]] + n[j[some]]), len(used))]] = True
+                    i, j = i[keep], j[keep]
+            ids, marks = (t["id"][i], t["id"][j]), np.zeros(len(dense), np.int64)
+            yield np.array([np.minimum(*ids), np.maximum(*ids), np.zeros(len(i), np.int64), np.zeros(len(i), np.int64)])
+            yield np.array([marks, marks, t["token"][dense], marks + 1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: dict[str, np.ndarray] | None = None
@@ -403,10 +468,11 @@ def tile_pairs(open_: DataFrame, sets: DataFrame, percent: int, tile: int = TILE
             bits[:] = b.column(b.schema.names.index("bits")).to_pylist()
             return t | {"n": t["n"].astype(np.int64), "bits": bits}
 
-        def result(found: list[np.ndarray]) -> pa.RecordBatch:
-            f = np.concatenate(found, axis=1) if found else np.empty((3, 0), np.int64)
-            cells = [np.minimum(f[0], f[1]), np.maximum(f[0], f[1]), f[2]]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in cells], names=["id", "id2", "least"])
+        def result(found: Iterator[np.ndarray]) -> pa.RecordBatch:
+            f = np.concatenate([np.empty((4, 0), np.int64), *found], axis=1)
+            f = np.unique(f, axis=1)  # a pair meets once per token that both have
+            cells = [pa.array(f[0]), pa.array(f[1]), pa.array(f[2], mask=f[3] == 0)]
+            return pa.RecordBatch.from_arrays(cells, names=["id", "id2", "token"])
 
         for b in batches:
             if not b.num_rows:
@@ -419,17 +485,12 @@ def tile_pairs(open_: DataFrame, sets: DataFrame, percent: int, tile: int = TILE
             for k in key:
                 change[1:] |= t[k][1:] != t[k][:-1]
             starts = np.flatnonzero(change)
-            found = []
-            for lo, hi in zip(starts[:-1], starts[1:]):
-                found += compare(t, lo, hi)
             rest = {k: v[starts[-1] :] for k, v in t.items()}  # one tile, bounded by its two sides
-            yield result(found)
+            yield result(compare(t, starts[:-1], starts[1:]))
         if rest is not None:
-            yield result(compare(rest, 0, len(rest["n"])))
+            yield result(compare(rest, np.array([0]), np.array([len(rest["n"])])))
 
-    # A pair meets once per token that both have: linked sets meet as often as the smaller one needs.
-    met = ordered.mapInArrow(run, "id long, id2 long, least long").groupBy("id", "id2", "least").agg(F.count("*").alias("met"))
-    return met.where(F.col("met") >= need(F.col("least"), percent)).select("id", "id2")
+    return ordered.mapInArrow(run, "id long, id2 long, token long")
 
 
 def similar_sets(
@@ -452,11 +513,22 @@ def similar_sets(
         found = near if found is None else found.union(near)
         roots = components(found.select(*edges))
     open_ = _rooted(shared, roots)
-    rest = written(exact(tile_pairs(open_, sets, percent, tile), sets, percent), "links")
+    for whole in (False, True):
+        met = written(tile_pairs(open_, sets, percent, tile, whole), "tile-pairs")
+        pairs = met.where("token is null").select("id", "id2").distinct()
+        near = written(exact(pairs, sets, percent), "links")
+        found = found.union(near)
+        if not near.isEmpty():
+            roots = components(found.select(*edges))
+        dense = met.where("token is not null").select("token").distinct()
+        if whole or dense.isEmpty():
+            break
+        left = written(open_.drop("root").join(dense, "token", "left_semi"), "dense-postings")
+        forget(open_, met, shuffles=True)
+        open_ = _rooted(left, roots)
+        forget(left)
     ids = written(sets.select("n", "d", F.col("id").alias("v")), "set-ids")
-    forget(shared, open_, sets, shuffles=True)
-    if not rest.isEmpty():
-        roots = components(found.union(rest).select(*edges))
+    forget(shared, open_, sets, met, shuffles=True)
     roots = roots.union(roots.select(F.col("root").alias("v"), "root").distinct())
     return rows, roots.join(ids, "v").select("n", "d", "root")
 

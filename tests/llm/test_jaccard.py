@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,6 +68,67 @@ def test_chains_hot_passages_and_odd_rows(spark, tile):
     assert mine(df.limit(0)) == [] and jaccard.keep_one(df.limit(0)).isEmpty()
 
 
+def test_forest_joins_what_pairs_join_and_takes_the_nearest():
+    draw = np.random.default_rng(5)
+    for nodes, pairs in [(2, 1), (12, 9), (40, 300), (200, 150)]:
+        i, j = draw.integers(0, nodes, (2, pairs))
+        i, j = i[i != j], j[i != j]
+        weight = draw.integers(0, 4, len(i)) / 4
+
+        def trees(places):
+            label = list(range(nodes))
+            for a, b in zip(i[places], j[places]):
+                x, y = label[a], label[b]
+                label = [x if v == y else v for v in label]
+            return len(set(label)), [[label[k] == label[0] for k in range(nodes)]]
+
+        taken = jaccard._forest(i, j, weight, nodes)
+        assert trees(taken) == trees(np.arange(len(i)))
+        assert len(taken) == nodes - trees(taken)[0]
+        for a in range(nodes):
+            mine_ = (i == a) | (j == a)
+            if mine_.any():
+                assert weight[mine_].min() in weight[taken][(i[taken] == a) | (j[taken] == a)]
+
+
+def test_tiles_give_no_more_rows_than_they_get(spark, monkeypatch):
+    """Copies around the threshold: the pairs that pass the bit count grow with the square of the group."""
+    draw, base = random.Random(9), [f"w{i}" for i in range(200)]
+    texts = []
+    for d in range(150):
+        text = list(base)
+        for k in draw.sample(range(200), draw.choice([2, 4, 6])):
+            text[k] = f"n{d}x{k}"
+        texts.append(" ".join(text))
+    found = [jaccard.shingles(t) for t in texts]
+    rows = [(i, len(s), jaccard.set_digest(s), bytearray(jaccard.bitmap(s)), bytearray(s.tobytes())) for i, s in enumerate(found)]
+    sets = spark.createDataFrame(rows, "id long, n int, d long, bits binary, items binary")
+    open_ = sets.selectExpr("7L as token", "30 as band", "n", "id", "id as root")
+
+    def trees(pairs):
+        label = list(range(150))
+        for a, b in pairs:
+            x, y = label[a], label[b]
+            label = [x if v == y else v for v in label]
+        return sorted(label.index(v) for v in label)
+
+    def linked(found):
+        return sorted((r.id, r.id2) for r in jaccard.exact(found.select("id", "id2"), sets, 85).collect())
+
+    every = jaccard.tile_pairs(open_, sets, 85)
+    brute = [
+        (i, j) for j in range(150) for i in range(j) if jaccard.links(len(np.intersect1d(found[i], found[j])), len(found[i]), len(found[j]))
+    ]
+    assert len(brute) > 150 and linked(every) == sorted(brute)
+    few = jaccard.tile_pairs(open_, sets, 85, whole=False)
+    assert few.where("token is null").count() < 150
+    assert [r.token for r in few.where("token is not null").collect()] == [7]  # to be looked at once more
+    first = linked(few.where("token is null"))
+    roots = spark.createDataFrame(list(enumerate(trees(first))), "id long, root long")
+    again = jaccard.tile_pairs(open_.drop("root").join(roots, "id"), sets, 85)
+    assert again.count() < every.count() and trees(first + linked(again)) == trees(brute)
+
+
 def test_language_accuracy_and_odd_rows(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     odd = spark.createDataFrame(
