@@ -208,15 +208,17 @@ def postings(df: DataFrame, text: str, counts: np.ndarray, words: int, percent:
 
 def shared_postings(all_postings: DataFrame, percent: int) -> DataFrame:
     """Written token, band, n, d of the sets that share enough postings to link."""
-    by = Window.partitionBy("token").orderBy("n", "d")
+    # Cold and hot ones come from one pass over the texts: a hot token counts as shared, each of its sets is a key.
+    apart = F.when(F.col("hot"), F.xxhash64("n", "d"))
+    by = Window.partitionBy("token", "apart").orderBy("n", "d")
 
     def other(f) -> Column:
         return f("d").over(by).isNotNull() & ((f("d").over(by) != F.col("d")) | (f("n").over(by) != F.col("n")))
 
-    cold = all_postings.where("not hot").withColumn("shared", other(F.lag) | other(F.lead)).where("shared")
-    shared = written(
-        cold.select("token", "n", "d").union(all_postings.where("hot").select("token", "n", "d")).distinct(), "shared-postings"
-    )
+    marked = all_postings.withColumn("apart", apart).withColumn("shared", F.col("hot") | other(F.lag) | other(F.lead))
+    # Distinct by a key that has the window's in it: no second shuffle.
+    shared = marked.where("shared").select("token", "apart", "n", "d").distinct().drop("apart")
+    shared = written(shared, "shared-postings")
     enough = shared.groupBy("n", "d").agg(F.count("*").alias("shared")).where(F.col("shared") >= need(F.col("n"), percent))
     band = F.floor(F.log("n") / math.log(1 / (percent / 100 - 0.01))).cast("int").alias("band")
     enough_ = written(shared.join(enough, ["n", "d"], "left_semi").select("token", band, "n", "d"), "postings")

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from rowloom.llm import jaccard, langid
@@ -129,6 +130,20 @@ def test_tiles_give_no_more_rows_than_they_get(spark, monkeypatch):
     assert again.count() < every.count() and trees(first + linked(again)) == trees(brute)
 
 
+def test_texts_are_cut_once_for_hot_and_cold_postings(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"a b c d e f g h{i % 4}") for i in range(9)], "doc_id long, text string")
+    counts = np.zeros(jaccard.SLOTS, np.int64)
+    hot = jaccard.shingles("a b c d")
+    plans, keep = [], jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda frame, label: plans.append(plan_of(frame)) or keep(frame, label))
+    for heat in (0, 100_000):
+        counts[(hot >> np.uint64(48)).astype(np.int64)] = heat
+        shared = jaccard.shared_postings(jaccard.postings(df, "text", counts, 4, 10), 10)
+        held = {(r.token, r.n, r.d) for r in shared.collect()}
+        assert shared.count() == len(held) == 4 * 4  # shingles that all four texts have
+    assert plans[0].count("MapInArrow") == 1
+
+
 def test_language_accuracy_and_odd_rows(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     odd = spark.createDataFrame(
