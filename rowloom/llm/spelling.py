@@ -23,7 +23,7 @@ How it scales.  The text is read once; words are counted with map-side combinati
 frequent word is sent once per task.  Everything after that follows the vocabulary.  A
 node has at most as many children as there are letters, a word at most as many
 neighbours as letters times length: no key is hot.  Words, edges and each level's states
-are written tables.
+are written tables; of the states only those that found a neighbour outlive their level.
 
 Defined cases: null text has no words, a null id is the empty text in the hash; repeated
 rows count each; an empty table gives an empty result; other columns are not read.
@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowloom.llm.common import ascii_lower, crc32_of, portions, text_of
-from rowloom.session import written
+from rowloom.session import forget, written
 
 LETTERS = "A-Za-zÀ-ÿ"
 LEAST_LETTERS, LEAST_COUNT, MORE = 7, 2, 10
@@ -169,17 +169,19 @@ def near_pairs(words: DataFrame) -> DataFrame:
     states, done, level = dropped.unionByName(turned), [], 0
     while True:
         bit = 1 << level
-        done.append(states.where("rest = 0").select("id", "node"))
+        done.append(written(states.where("rest = 0").select("id", "node"), "trie-done"))
         moving = states.where(F.col("rest").bitwiseAND(F.lit(bit)) != 0).withColumn("label", F.col("labels")[0])
         moved = moving.join(edges.where(F.col("stride") == bit).select("node", "label", "child"), ["node", "label"]).select(
             "id", F.col("child").alias("node"), (F.col("rest") - bit).alias("rest"), F.expr("slice(labels, 2, size(labels))").alias("labels")
         )
         waiting = states.where((F.col("rest") > 0) & (F.col("rest").bitwiseAND(F.lit(bit)) == 0))
-        states = written(moved.unionByName(waiting), "trie-states")
+        before, states = states, written(moved.unionByName(waiting), "trie-states")
+        forget(steps if level == 0 else before, shuffles=True)  # the first states are made from the steps
         level += 1
         if states.where("rest > 0").isEmpty():
             done.append(states.select("id", "node"))
             break
+    forget(edges)
     found = done[0]
     for more in done[1:]:
         found = found.unionByName(more)

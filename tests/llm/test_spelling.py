@@ -1,6 +1,7 @@
 """Spelling variants against all pairs."""
 
 import collections
+import os
 import random
 import re
 import zlib
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowloom.llm import queries, spelling
+from rowloom.session import _app_folder
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -111,3 +113,12 @@ def test_chain_of_forms(spark):
     words = {"chainaa": 10**6, "chainab": 10**4, "chainbb": 10**2, "chaibbb": 3}
     got = {r.word: (r.form, r.root) for r in spelling.variants(spark.createDataFrame(list(words.items()), "word string, n long")).collect()}
     assert got["chaibbb"] == ("chainbb", "chainaa") and got["chainaa"] == (None, "chainaa")
+
+
+def test_states_of_earlier_levels_are_deleted(spark):
+    words = spark.createDataFrame([(i, w, 9 - i) for i, w in enumerate(["letters", "lettera", "lettersx", "fetters", "another"])], "id long, word string, n long")
+    before = set(os.listdir(_app_folder(spark))) if os.path.isdir(_app_folder(spark)) else set()
+    pairs = sorted(tuple(r) for r in spelling.near_pairs(words).collect())
+    assert pairs == [(0, 1), (0, 2), (0, 3)]
+    left = [name.rsplit("-", 1)[0] for name in set(os.listdir(_app_folder(spark))) - before]
+    assert left.count("trie-states") == 1 and "trie-steps" not in left and "trie-edges" not in left
