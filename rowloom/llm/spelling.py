@@ -39,6 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowloom.llm.common import ascii_lower, crc32_of, portions, text_of
+from rowloom.llm.lines import free_shuffles
 from rowloom.session import forget, written
 
 LETTERS = "A-Za-zÀ-ÿ"
@@ -160,13 +161,15 @@ def near_pairs(words: DataFrame) -> DataFrame:
         _by_word(words, "id long, node long, letter long, child long, rest long, labels array<long>, drops boolean", _steps),
         "trie-steps",
     )
+    free_shuffles(steps)
     state = ("id", "node", "rest", "labels")
     # A letter less; of equal letters in a row only the last is dropped.
     dropped = steps.where("drops").select(*state)
     # Another letter; the smaller one is enough, as the other word has the greater.
     branches = steps.select("node", F.col("letter").alias("taken"), F.col("child").alias("to")).distinct()
     turned = steps.join(branches, "node").where("taken < letter").select("id", F.col("to").alias("node"), "rest", "labels")
-    states, done, level = dropped.unionByName(turned), [], 0
+    states, done, level = written(dropped.unionByName(turned), "trie-states"), [], 0
+    forget(steps, shuffles=True)
     while True:
         bit = 1 << level
         done.append(written(states.where("rest = 0").select("id", "node"), "trie-done"))
@@ -176,7 +179,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
         )
         waiting = states.where((F.col("rest") > 0) & (F.col("rest").bitwiseAND(F.lit(bit)) == 0))
         before, states = states, written(moved.unionByName(waiting), "trie-states")
-        forget(steps if level == 0 else before, shuffles=True)  # the first states are made from the steps
+        forget(before, shuffles=True)
         level += 1
         if states.where("rest > 0").isEmpty():
             done.append(states.select("id", "node"))
