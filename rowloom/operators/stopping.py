@@ -88,21 +88,56 @@ def _pointers(records: DataFrame, patience: int, min_delta: float, segment_rows:
 
 def _leave_blocks(pointers: DataFrame, segment_rows: int) -> DataFrame:
     """Every pointer followed until it leaves its block of places, or ends."""
-    schema = pointers.schema
-
-    def follow(block: pa.Table) -> pa.Table:
-        block = block.sort_by("i")
-        i, to = (block.column(c).to_numpy().astype(np.int64) for c in ("i", "to"))
-        step = np.where(to <= i[-1], np.searchsorted(i, to), np.arange(len(i)))
+    names = ["run_id", "i", "to"]
+
+    def follow(rows: pa.Table, first: np.ndarray) -> pa.Table:
+        """``rows`` in order, ``first`` at the first one of each block: all blocks at once."""
+        i, to = (rows.column(c).to_numpy().astype(np.int64) for c in ("i", "to"))
+        block = np.cumsum(first) * segment_rows
+        place = block + i % segment_rows
+        aim = block + to % segment_rows
+        there = np.minimum(np.searchsorted(place, aim), len(i) - 1)
+        inside = (to // segment_rows == i // segment_rows) & (place[there] == aim)
+        step = np.where(inside, there, np.arange(len(i)))
         while True:
             further = step[step]
             if np.array_equal(further, step):
                 break
             step = further
-        reached = pa.array(to[step], block.schema.field("to").type)
-        return block.set_column(block.schema.get_field_index("to"), "to", reached)
+        reached = pa.array(to[step], rows.schema.field("to").type)
+        return rows.set_column(rows.schema.get_field_index("to"), "to", reached)
 
-    return pointers.groupBy("run_id", F.expr(f"i div {segment_rows}")).applyInArrow(follow, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
+            first = _block_starts(rows)
+            cut = int(np.flatnonzero(first)[-1])
+            rest = rows.slice(cut)  # one block: the next batch may go on with it
+            if cut:
+                yield from follow(rows.slice(0, cut).select(names), first[:cut]).to_batches()
+        if rest is not None:
+            yield from follow(rest.select(names), _block_starts(rest)).to_batches()
+
+    blocks = pointers.select(*names, F.expr(f"i div {segment_rows}").alias("block"))
+    return blocks.repartition("run_id", "block").sortWithinPartitions("run_id", "block", "i").mapInArrow(run, pointers.select(*names).schema)
+
+
+def _block_starts(rows: pa.Table) -> np.ndarray:
+    """Which rows differ from the one before in run or block?  Runs of any type, NULL being one."""
+    first = np.ones(len(rows), bool)
+    if len(rows) > 1:
+        run, block = rows.column("run_id").combine_chunks(), rows.column("block").to_numpy()
+        if pa.types.is_nested(run.type):
+            cells = run.to_pylist()
+            other = np.array([a != b for a, b in zip(cells[1:], cells)])
+        else:
+            code = run.dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
+            other = code[1:] != code[:-1]
+        first[1:] = other | (block[1:] != block[:-1])
+    return first
 
 
 def last_improvement(records: DataFrame, patience: int, min_delta: float, segment_rows: int) -> DataFrame:

@@ -224,6 +224,31 @@ def test_long_runs_follow_pointers(spark, patience, min_delta):
         assert r["stop_epoch"] == stop
 
 
+def test_blocks_of_pointers_are_followed_many_at_once(spark):
+    """No call of Python per block; blocks that reach over Arrow batches; runs of strings, NULL and structs."""
+    draw = np.random.default_rng(2)
+    rows, ends = [], {}
+    for run in ["a", "b", None]:
+        places = sorted({1, *draw.integers(1, 300, 120).tolist()})
+        to = {i: places[min(k + int(draw.integers(0, 3)), len(places) - 1)] for k, i in enumerate(places)}
+        for i in places:
+            j = i
+            while to[j] != j and j // 40 == i // 40:
+                j = to[j]
+            rows.append((run, i, to[i]))
+            ends[run, i] = j
+    pointers = spark.createDataFrame(rows, "run_id string, i long, to long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        left = stopping._leave_blocks(pointers, 40)
+        assert "FlatMapGroups" not in left._jdf.queryExecution().executedPlan().toString()
+        assert {(r.run_id, r.i): r.to for r in left.collect()} == ends
+        nested = stopping._leave_blocks(pointers.withColumn("run_id", F.struct("run_id")), 40)
+        assert {(r.run_id.run_id, r.i): r.to for r in nested.collect()} == ends
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_improving_bound_is_exact():
     draw = np.random.default_rng(5)
     best = np.concatenate([draw.normal(size=500) * 10.0 ** draw.integers(-300, 300, 500), [0.0, -0.0, 5e-324, math.inf, -math.inf, math.nan]])
