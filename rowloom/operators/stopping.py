@@ -1,15 +1,21 @@
 """Early stopping over runs of any length: every record points at its next improvement.
 
-Within a run records fall strictly, so the first record that beats record ``i`` by more than
-``min_delta`` is the first one at or below a bound that depends on ``i`` alone.  In ascending
+Within a run records fall strictly, so the records that beat record ``i`` by more than
+``min_delta`` are those from some place on, and only places up to ``patience`` after ``i`` count:
+blocks of places with a copied look-ahead of that many places find it by bisection.
+
+A patience longer than a segment would make the look-ahead too long.  Then the first record that
+beats ``i`` is the first one at or below a bound that depends on ``i`` alone; in ascending
 order of values that is the smallest place passed so far: a running minimum, divided like any
-other.  Pointers are then followed by doubling, first within blocks of places and then between
+other.
+
+Pointers are then followed by doubling, first within blocks of places and then between
 blocks, so that the number of joins grows with the logarithm of the number of blocks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,7 +72,7 @@ def _pointers(records: DataFrame, patience: int, min_delta: float, segment_rows:
     """``(run_id, i, to)``: the next improvement, or ``i`` itself where none comes in time."""
     bounded = _bounded(records, min_delta)
     known = F.col("v").isNotNull() & ~F.isnan("v")
-    marks = bounded.where(known).select("run_id", "i", F.col("v").alias("x"), F.lit(False).alias("asks")).unionByName(
+    marks = records.where(known).select("run_id", "i", F.col("v").alias("x"), F.lit(False).alias("asks")).unionByName(
         bounded.select("run_id", "i", F.col("bound").alias("x"), F.lit(True).alias("asks"))
     )
     # A question without a bound (NULL) stands before every record and finds none.
@@ -91,21 +97,66 @@ def _leave_blocks(pointers: DataFrame, segment_rows: int) -> DataFrame:
     names = ["run_id", "i", "to"]
 
     def follow(rows: pa.Table, first: np.ndarray) -> pa.Table:
-        """``rows`` in order, ``first`` at the first one of each block: all blocks at once."""
         i, to = (rows.column(c).to_numpy().astype(np.int64) for c in ("i", "to"))
         block = np.cumsum(first) * segment_rows
         place = block + i % segment_rows
         aim = block + to % segment_rows
         there = np.minimum(np.searchsorted(place, aim), len(i) - 1)
         inside = (to // segment_rows == i // segment_rows) & (place[there] == aim)
-        step = np.where(inside, there, np.arange(len(i)))
-        while True:
-            further = step[step]
-            if np.array_equal(further, step):
-                break
-            step = further
+        step = _followed(np.where(inside, there, np.arange(len(i))))
         reached = pa.array(to[step], rows.schema.field("to").type)
-        return rows.set_column(rows.schema.get_field_index("to"), "to", reached)
+        return rows.select(names).set_column(names.index("to"), "to", reached)
+
+    blocks = pointers.select(*names, F.expr(f"i div {segment_rows}").alias("block"))
+    return _by_block(blocks, follow, pointers.select(*names).schema)
+
+
+# Places of a block for each place of the look-ahead that is copied from the next one.
+_LOOK_AHEAD_SHARE = 8
+
+
+def _near_pointers(records: DataFrame, patience: int, min_delta: float, segment_rows: int) -> DataFrame:
+    """``(run_id, i, to)``: next improvements within ``patience`` places, followed until they leave their block, or end."""
+    length = max(segment_rows, _LOOK_AHEAD_SHARE * patience)
+    span = length + 2 * patience + 1
+    place_type = records.schema["i"].dataType
+    schema = T.StructType([records.schema["run_id"], T.StructField("i", place_type), T.StructField("to", place_type)])
+
+    def follow(rows: pa.Table, first: np.ndarray) -> pa.Table:
+        i, block = (rows.column(c).to_numpy().astype(np.int64) for c in ("i", "block"))
+        v = rows.column("v").to_numpy().astype(np.float64)  # NULL as NaN
+        at, inside = np.arange(len(i)), i - block * length
+        place = np.cumsum(first) * span + inside
+        end = np.searchsorted(place, place + patience, side="right")
+        low, high = at + 1, end.copy()
+        with np.errstate(all="ignore"):
+            while (open_ := np.flatnonzero(low < high)).size:
+                middle = (low[open_] + high[open_]) // 2
+                beats = v[open_] - v[middle] > min_delta
+                high[open_] = np.where(beats, middle, high[open_])
+                low[open_] = np.where(beats, low[open_], middle + 1)
+        # ``high`` fell from ``end`` only where a record beats this one.
+        following = np.where(high < end, high, at)
+        home = inside < length
+        step = _followed(np.where(home[following], following, at))
+        reached = pa.array(i[following[step]], rows.schema.field("i").type)
+        return rows.select(["run_id", "i"]).append_column("to", reached).filter(pa.array(home))
+
+    home = F.expr(f"i div {length}")
+    copied = F.when((F.col("i") % length < patience) & (home > 0), home - 1)
+    blocks = records.withColumn("block", F.explode(F.array_compact(F.array(home, copied))))
+    return _by_block(blocks, follow, schema)
+
+
+def _followed(step: np.ndarray) -> np.ndarray:
+    """Each row's last row, by doubling."""
+    while not np.array_equal(further := step[step], step):
+        step = further
+    return step
+
+
+def _by_block(blocks: DataFrame, follow: Callable[[pa.Table, np.ndarray], pa.Table], schema: T.StructType) -> DataFrame:
+    """``follow`` over tables of whole blocks in order of places, many at once; it is told the first row of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -117,12 +168,11 @@ def _leave_blocks(pointers: DataFrame, segment_rows: int) -> DataFrame:
             cut = int(np.flatnonzero(first)[-1])
             rest = rows.slice(cut)  # one block: the next batch may go on with it
             if cut:
-                yield from follow(rows.slice(0, cut).select(names), first[:cut]).to_batches()
+                yield from follow(rows.slice(0, cut), first[:cut]).to_batches()
         if rest is not None:
-            yield from follow(rest.select(names), _block_starts(rest)).to_batches()
+            yield from follow(rest, _block_starts(rest)).to_batches()
 
-    blocks = pointers.select(*names, F.expr(f"i div {segment_rows}").alias("block"))
-    return blocks.repartition("run_id", "block").sortWithinPartitions("run_id", "block", "i").mapInArrow(run, pointers.select(*names).schema)
+    return blocks.repartition("run_id", "block").sortWithinPartitions("run_id", "block", "i").mapInArrow(run, schema)
 
 
 def _block_starts(rows: pa.Table) -> np.ndarray:
@@ -144,12 +194,17 @@ def last_improvement(records: DataFrame, patience: int, min_delta: float, segmen
     """``(run_id, best, at)``: value and place of the improvement at which each run ends or is stopped.
 
     ``records`` are rows ``(run_id, i, v)``: place 1 of every run, and later places whose
-    value lies below all earlier ones.  No task gets more than ``segment_rows`` records.
+    value lies below all earlier ones.  A block has ``segment_rows`` places, or a few times
+    ``patience`` where that is more; with a longer patience it never has more than ``segment_rows``.
     """
     records = written(records.select("run_id", "i", "v"), "records")
     # A negative min_delta asks no more of a record than to be one.
-    pointers = _pointers(records, patience, max(min_delta, 0.0), segment_rows)
-    blocks = written(_leave_blocks(pointers, segment_rows), "record-pointers")
+    min_delta = max(min_delta, 0.0)
+    if patience <= segment_rows:
+        left = _near_pointers(records, patience, min_delta, segment_rows)
+    else:
+        left = _leave_blocks(_pointers(records, patience, min_delta, segment_rows), segment_rows)
+    blocks = written(left, "record-pointers")
     # Only first places and places pointed at are on a way; they are what is left to be joined.
     wanted = blocks.select("run_id", F.col("to").alias("i")).unionByName(blocks.where("i = 1").select("run_id", "i"))
     wanted = wanted.distinct().select(F.col("run_id").alias("__run"), F.col("i").alias("__i"))

@@ -321,3 +321,26 @@ def test_unbounded_batches_and_names_are_refused(spark, monkeypatch):
     with pytest.raises(TrainingError) as error:
         evaluate.epoch_summary(history)
     assert error.value.code == "too_many_metrics"
+
+
+def test_next_improvements_come_from_one_pass(spark, monkeypatch):
+    """A patience within a segment needs no order of values: no bounds, no questions among the records."""
+    from rowloom.operators import stopping
+
+    monkeypatch.setattr(stopping, "_pointers", None)
+    draw = np.random.default_rng(5)
+    values = {f"r{k}": (np.linspace(20, 0, 300) + 0.03 * draw.normal(size=300)).tolist() for k in range(4)}
+    values[None] = [math.nan, 3.0, 2.0, 1.9, 1.8]
+    records = [(run, i, v) for run, vs in values.items() for i, v in enumerate(vs, 1) if i == 1 or not v >= np.fmin.reduce(vs[: i - 1])]
+    frame = spark.createDataFrame(records, "run_id string, i int, v double")
+    for patience, min_delta, segment_rows in [(4, 0.15, 5), (9, 0.5, 9), (1, 0.0, 200), (6, 0.0, 16)]:
+        got = {r.run_id: (r.best, r["at"]) for r in stopping.last_improvement(frame, patience, min_delta, segment_rows).collect()}
+        for run in values:
+            kept = [(i, v) for r, i, v in records if r == run]
+            at, best = kept[0]
+            for i, v in kept[1:]:
+                if i - at > patience:
+                    break
+                if best - v > min_delta:
+                    at, best = i, v
+            assert got[run] == (pytest.approx(best, nan_ok=True, rel=0, abs=0), at), (run, patience)
