@@ -6,13 +6,14 @@ Nodes are the distinct shingle sets, named by (size, 64-bit digest); copies shar
    rarity, so passages that many documents share come last.
 2. A set of n shingles sends its rarest ones as postings.  Sets that link share at least
    ``need(n)`` of them, so a set with fewer shared postings can link with nothing.
-3. Texts of the sets that are left are fetched once; each gives a parity bitmap of at least two bits per shingle
+3. Texts of the sets that are left are fetched once, past a bitmap of their keys that keeps most others out of the shuffle; each gives a parity bitmap of at least two bits per shingle
    and its sorted shingles.
 4. In ``TURNS`` rounds, every set meets the leaders drawn by hash from its (shingle, size
    band) and the bands beside it, with ``LEADERS`` draws: linear in the group.  The one with the
    nearest bitmap is compared exactly.  What links becomes components, and the next round
    looks only at shingles whose sets lie in more than one component.
-5. Bands that are still open are cut into tiles of at most about ``TILE`` sets a side, and
+5. Pairs that share a token of at most ``FEW`` sets are made at once, and each is compared by bit count.
+   Bands of other tokens that are still open are cut into tiles of at most about ``TILE`` sets a side, and
    sets of different components are compared tile by tile.  A tile where more pairs pass
    the bit count than it has rows gives a spanning forest of them, nearest first, so a tile
    never gives more rows than it gets.  What links is merged; only tokens of such tiles are
@@ -44,7 +45,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowloom.llm.common import text_of
 from rowloom.llm.graph import components
-from rowloom.session import forget, written
+from rowloom.session import forget, free_shuffles, written
 
 WORDS = 4
 PERCENT = 85
@@ -53,6 +54,8 @@ BITS = 1024
 TILE = 256
 LEADERS = 4
 TURNS = 3
+FILTER_BITS = 1 << 24
+FEW = 8
 _PAIRS = 100_000  # pairs that a task looks at in one go
 _PAIR_BYTES = 16_000_000
 _K1, _K2, _K3 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -226,11 +229,28 @@ def shared_postings(all_postings: DataFrame, percent: int) -> DataFrame:
     return enough_
 
 
+def perhaps_wanted(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """``texts`` without those that a bitmap of ``FILTER_BITS`` hashed keys rules out: most others need not be shuffled."""
+    slot = F.pmod("key", F.lit(FILTER_BITS))
+    words = keys.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(key, {FILTER_BITS}) & 63 as int))")).alias("bits"))
+    found = words.toArrow()  # at most FILTER_BITS / 64 rows, whatever the corpus
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots = np.mod(batch.column(0).to_numpy(), FILTER_BITS)
+            yield batch.filter(pa.array((bits[slots >> 6] >> (slots & 63)) & 1 == 1))
+
+    return texts.mapInArrow(run, "key long, text string")
+
+
 def set_table(df: DataFrame, rows: DataFrame, wanted: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
     """Written n, d, bits, items of the wanted sets, made from one text each."""
     first = rows.join(wanted, ["n", "d"], "left_semi").groupBy("n", "d").agg(F.min("key").alias("key"))
+    first = written(first, "set-keys")
     texts = df.select(row_key(doc_id, text).alias("key"), text_of(text).alias("text"))
-    found = texts.join(first.hint("shuffle_hash"), "key")
+    found = perhaps_wanted(texts, first).join(first.hint("shuffle_hash"), "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -248,7 +268,9 @@ def set_table(df: DataFrame, rows: DataFrame, wanted: DataFrame, doc_id: str, te
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, types)], names=["n", "d", "bits", "items"])
 
     sets = found.select("text", "n", "d").mapInArrow(run, "n int, d long, bits binary, items binary")
-    return written(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
+    made = written(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
+    forget(first, shuffles=True)
+    return made
 
 
 def _distance(bits: np.ndarray, bits2: np.ndarray) -> np.ndarray:
@@ -283,8 +305,8 @@ def exact(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _with_sets(pairs, sets, "items").mapInArrow(run, "id long, id2 long")
 
 
-def closest(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """For each id the id2 whose bitmap is nearest, of those that the bit counts leave."""
+def passing(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """id, id2, apart: the pairs that the bit counts leave."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -299,8 +321,12 @@ def closest(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 found = pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(apart)], names=["id", "id2", "apart"])
                 yield found.filter(keep)
 
-    left = _with_sets(pairs, sets, "n", "bits").mapInArrow(run, "id long, id2 long, apart long")
-    best = left.groupBy("id").agg(F.min(F.struct("apart", "id2")).alias("best"))
+    return _with_sets(pairs, sets, "n", "bits").mapInArrow(run, "id long, id2 long, apart long")
+
+
+def closest(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """For each id the id2 whose bitmap is nearest, of those that the bit counts leave."""
+    best = passing(pairs, sets, percent).groupBy("id").agg(F.min(F.struct("apart", "id2")).alias("best"))
     return best.select("id", F.col("best.id2").alias("id2"))
 
 
@@ -344,6 +370,13 @@ def _sizes_fit(percent: int) -> Column:
     return 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
 
 
+def few_pairs(open_: DataFrame, percent: int) -> DataFrame:
+    """id, id2 of different components that share one of these tokens, each of which has at most ``FEW`` sets."""
+    other = open_.select("token", F.col("n").alias("n2"), F.col("id").alias("id2"), F.col("root").alias("root2"))
+    met = open_.join(other, "token").where("id < id2 and root <> root2").where(_sizes_fit(percent))
+    return met.select("id", "id2").distinct()
+
+
 def _forest(i: np.ndarray, j: np.ndarray, weight: np.ndarray, nodes: int) -> np.ndarray:
     """Places of the pairs that make a spanning forest of least weight: fewer than there are nodes."""
     label, taken, left = np.arange(nodes), [], np.lexsort((j, i, weight))
@@ -510,14 +543,22 @@ def similar_sets(
     for turn in range(TURNS):
         open_ = _rooted(shared, roots)
         leaders = leaders_of(open_, turn)
-        near = written(exact(closest(leader_pairs(open_, leaders, percent), sets, percent), sets, percent), "links")
+        nearest = written(closest(leader_pairs(open_, leaders, percent), sets, percent), "nearest")
         forget(leaders, *([] if roots is None else [open_]), shuffles=True)
+        near = written(exact(nearest, sets, percent), "links")
+        forget(nearest, shuffles=True)
         found = near if found is None else found.union(near)
         roots = components(found.select(*edges))
-    open_ = _rooted(shared, roots)
+    both = _rooted(shared, roots)
+    crowded = written(both.groupBy("token").count().where(F.col("count") > FEW).select("token"), "crowded-tokens")
+    few = written(passing(few_pairs(both.join(crowded, "token", "left_anti"), percent), sets, percent).select("id", "id2"), "few-pairs")
+    open_ = written(both.join(crowded, "token", "left_semi"), "crowded-postings")
+    forget(both, crowded, shuffles=True)
     for whole in (False, True):
         met = written(tile_pairs(open_, sets, percent, tile, whole), "tile-pairs")
-        pairs = met.where("token is null").select("id", "id2").distinct()
+        free_shuffles(met)
+        pairs = met.where("token is null").select("id", "id2")
+        pairs = (pairs if whole else pairs.union(few)).distinct()
         near = written(exact(pairs, sets, percent), "links")
         found = found.union(near)
         if not near.isEmpty():
@@ -530,7 +571,7 @@ def similar_sets(
         open_ = _rooted(left, roots)
         forget(left)
     ids = written(sets.select("n", "d", F.col("id").alias("v")), "set-ids")
-    forget(shared, open_, sets, met, shuffles=True)
+    forget(shared, open_, sets, met, few, shuffles=True)
     roots = roots.union(roots.select(F.col("root").alias("v"), "root").distinct())
     return rows, roots.join(ids, "v").select("n", "d", "root")
 

@@ -32,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowloom.llm.common import text_of
-from rowloom.session import forget, written
+from rowloom.session import forget, free_shuffles, written
 
 WORDS = 5
 PERCENT = 80
@@ -156,11 +156,6 @@ def _fits(percent: int) -> Column:
     return (100 * least >= percent * most) & _enough(reach, F.col("n"), F.col("n0"), percent)
 
 
-def free_shuffles(df: DataFrame) -> None:
-    """Have Spark drop the shuffle files of steps that are written; it does so when the driver collects garbage."""
-    df.sparkSession._jvm.System.gc()
-
-
 def mark_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Written row, doc_id, key, at, removed: one row per line."""
     counts = slot_counts(text_lines(df, doc_id, text))

@@ -39,8 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowloom.llm.common import ascii_lower, crc32_of, portions, text_of
-from rowloom.llm.lines import free_shuffles
-from rowloom.session import forget, written
+from rowloom.session import free_shuffles, forget, written
 
 LETTERS = "A-Za-zÀ-ÿ"
 LEAST_LETTERS, LEAST_COUNT, MORE = 7, 2, 10

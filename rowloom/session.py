@@ -107,6 +107,10 @@ def forget(*tables: DataFrame, shuffles: bool = False) -> None:
         spark = table.sparkSession
         folder = spark._jvm.org.apache.hadoop.fs.Path(path[1])
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-        if shuffles:
-            spark._jvm.System.gc()
-            shuffles = False
+    if shuffles and tables:
+        free_shuffles(tables[0])
+
+
+def free_shuffles(df: DataFrame) -> None:
+    """Have Spark drop the shuffle files of steps that are written; it does so when the driver collects garbage."""
+    df.sparkSession._jvm.System.gc()

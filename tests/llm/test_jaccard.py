@@ -163,3 +163,39 @@ def test_language_accuracy_and_odd_rows(spark):
     assert langid.identify(df.limit(0), held_out(F.col("doc_id"), 0)).isEmpty()
     unlabelled = df.limit(3).withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in langid.identify(unlabelled, F.lit(False)).collect()} == {"und"}
+
+
+def test_texts_that_are_not_wanted_stay_where_they_are(spark):
+    """The bitmap of keys loses no wanted text, whatever its key's sign, and rules out nearly all others."""
+    texts = spark.range(20000).select(F.xxhash64("id").alias("key"), F.col("id").cast("string").alias("text"))
+    wanted = texts.where("cast(text as int) % 7 = 0").select("key")
+    found = jaccard.perhaps_wanted(texts, wanted)
+    assert found.join(wanted, "key").count() == wanted.count()
+    assert found.count() < 1.05 * wanted.count()
+
+
+def test_pairs_of_small_groups_carry_no_bitmaps(spark):
+    rows = [(7, 0, 10, 1, 1), (7, 0, 10, 2, 2), (7, 0, 11, 3, 2), (8, 0, 10, 1, 1), (8, 0, 10, 2, 2), (9, 0, 10, 1, 1), (9, 9, 40, 4, 4)]
+    open_ = spark.createDataFrame(rows, "token long, band int, n int, id long, root long")
+    assert sorted(map(tuple, jaccard.few_pairs(open_, 85).collect())) == [(1, 2), (1, 3)]
+
+
+def test_groups_just_below_and_above_few(spark, monkeypatch):
+    """Groups on both sides of the limit give the same components, and only larger ones reach the tiles."""
+    draw, rows = random.Random(8), []
+    for group, size in enumerate([2, 5, jaccard.FEW, jaccard.FEW + 1, 3 * jaccard.FEW]):
+        base = [f"g{group}w{k}" for k in range(60)]
+        for _ in range(size):
+            copy = list(base)
+            for at in draw.sample(range(60), draw.randrange(0, 4)):
+                copy[at] = f"x{draw.randrange(10**9)}"
+            rows.append((len(rows), " ".join(copy)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, tiles = [], jaccard.tile_pairs
+    monkeypatch.setattr(jaccard, "tile_pairs", lambda open_, *a: seen.append(open_) or tiles(open_, *a))
+    monkeypatch.setattr(jaccard, "TURNS", 1)
+    least = lambda: sorted((r.doc_id, r.component_id) for r in jaccard.components_of(df).collect())
+    mixed = least()
+    monkeypatch.setattr(jaccard, "FEW", 0)
+    assert least() == mixed
+    assert len(seen) >= 2
