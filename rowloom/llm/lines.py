@@ -174,6 +174,7 @@ def mark_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     other = lambda f: f("h").over(by).isNotNull() & (f("h").over(by) != F.col("h"))
     cold = postings.where(F.col("token") < hot_class).withColumn("shared", other(F.lag) | other(F.lead)).where("shared").drop("shared")
     with_copies = written(cold.union(postings.where(F.col("token") >= hot_class)).distinct(), "line-shared")
+    free_shuffles(with_copies)
     enough = with_copies.groupBy("n", "h").agg(F.count("*").alias("shared")).where(F.col("shared") >= need(F.col("n"), percent))
     shared = with_copies.join(enough.drop("shared"), ["n", "h"], "left_semi").join(classes, ["n", "h"])
     band = F.floor(F.log("n") / math.log(1 / (percent / 100 - 0.01))).cast("int")
