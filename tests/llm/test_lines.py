@@ -37,6 +37,19 @@ def mine(rows, found):
     return got
 
 
+def tables(monkeypatch):
+    """Rows per label of the tables that an operator writes from here on."""
+    found, write = {}, lines.written
+
+    def kept(df, label):
+        table = write(df, label)
+        found.setdefault(label, []).append(table.count())
+        return table
+
+    monkeypatch.setattr(lines, "written", kept)
+    return found
+
+
 @pytest.fixture(scope="module")
 def made():
     draw = random.Random(11)
@@ -72,3 +85,51 @@ def test_small_table_against_all_pairs(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("length(text) < 3000")
     rows = sorted((r.doc_id, r.text) for r in df.collect())
     assert mine(rows, lines.removals(lines.mark_lines(df)).collect()) == brute(rows)
+
+
+def test_lines_with_a_common_passage_give_few_pairs(spark, monkeypatch):
+    """Unlike lines that share their rarest words are told apart before their sets are fetched."""
+    draw = random.Random(5)
+    rare = [f"passage{k}" for k in range(9)]
+    rows = []
+    for i in range(120):
+        own = [draw.choice("abcdefgh") + draw.choice("xyz") for _ in range(30)]
+        rows.append((i, " ".join(own[:15] + rare + own[15:])))
+    rows.append((120, rows[0][1] + " end"))
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = tables(monkeypatch)
+    assert mine(rows, lines.removals(lines.mark_lines(df)).collect()) == brute(rows) == {(120, 0)}
+    assert sum(found["line-pairs"]) <= 10  # of 7260; the place of a passage in the order says nothing
+
+
+def test_most_lines_stay_out_of_the_shuffle(spark):
+    df = spark.range(20_000).select(F.xxhash64("id").alias("lk"), F.lit("x").alias("line"))
+    keys = df.limit(500)
+    left = lines.perhaps_wanted(df, keys)
+    assert left.join(keys, "lk", "left_semi").count() == 500
+    assert left.count() < 600
+
+
+def test_filters_keep_every_similar_pair(spark):
+    """Sets of every size against all pairs: similar ones pass, and meet at as many prefix tokens as is asked for."""
+    draw = random.Random(8)
+    rows = []
+    for i in range(260):
+        n = draw.choice([1, 2, 5, 12, 39, 40, 41, 80, 160, 400])
+        a = [draw.getrandbits(63) - 2**62 for _ in range(n + 100)]
+        swapped = draw.randrange(0, max(1, n // 7) + 1)
+        b = a[swapped : n + draw.randrange(0, swapped + 1)]
+        rows.append((i, sorted(a[:n]), sorted(b) or [0]))
+    df = spark.createDataFrame(rows, "i int, a array<long>, b array<long>")
+
+    def side(name, o):
+        rows = df.select("i", F.col(name).alias("tokens"))
+        rows = rows.withColumns({c: lines._parity(k) for k, c in enumerate(lines._BITS)} | {"n": F.size("tokens")})
+        rows = rows.withColumn("prefix", F.slice("tokens", 1, lines.prefix_length(F.col("n"), lines.PERCENT)))
+        rows = rows.select("i", F.posexplode("prefix").alias("pos", "token"), "n", *lines._BITS)
+        return rows.withColumnsRenamed({c: c + o for c in ("pos", "n", *lines._BITS)})
+
+    both = side("a", "").join(side("b", "0"), ["i", "token"]).where(lines._fits(lines.PERCENT))
+    met = {r.i: r["count"] for r in both.groupBy("i", "n", "n0").count().where(F.col("count") >= lines.pair_need(F.col("n"), F.col("n0"))).collect()}
+    similar = {i for i, a, b in rows if 100 * len({*a} & {*b}) >= lines.PERCENT * len({*a} | {*b})}
+    assert similar <= met.keys() and 50 < len(similar) < 260
