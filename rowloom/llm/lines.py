@@ -231,17 +231,15 @@ def mark_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     band = F.element_at(_bands(F.col("n"), F.col("n"), narrow), 1).alias("band")
     leaders = shared.groupBy("token", band).agg(F.min(F.struct("first", "n", "pos", *_BITS)).alias("p")).select("token", "p.*")
     gone = matched(candidates(shared, leaders, narrow))
-    left = written(shared.withColumns({c: F.col("first")[c] for c in _NAME}).join(gone, _NAME, "left_anti").select(*shared.columns), "line-left")
-    free_shuffles(left)
+    left = shared.withColumns({c: F.col("first")[c] for c in _NAME}).join(gone, _NAME, "left_anti").select(*shared.columns)
     # Wide bands: an earlier class is sent to fewer of them.
     pairs = candidates(left, shared, 2.0).where(F.col("met") >= pair_need(F.col("n"), F.col("n0")))
     later_gone = matched(pairs)
-    forget(shared, left, made, shuffles=True)
+    forget(shared, made, shuffles=True)
 
     gone = gone.union(later_gone).withColumn("gone", F.lit(True)).withColumnsRenamed({c: c + "0" for c in _NAME})
     verdict = classes.select(*_CLASS, F.col("first.row").alias("row0"), F.col("first.at").alias("at0"))
-    verdict = written(verdict.join(gone, ["row0", "at0"], "left"), "line-verdicts")
-    marked = slim.join(verdict, _CLASS, "left")
+    marked = slim.join(verdict.join(gone, ["row0", "at0"], "left"), _CLASS, "left")
     removed = F.col("row0").isNotNull() & ((F.col("row") != F.col("row0")) | (F.col("at") != F.col("at0")) | F.col("gone").isNotNull())
     return written(marked.select("row", "doc_id", "key", "at", removed.alias("removed")), "line-marks")
 
